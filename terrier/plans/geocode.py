@@ -41,8 +41,7 @@ PAYLOAD = {
 
 # A street or postcode may be shared by very many sale addresses, so those lookups are salted. The
 # postcode side is tiny (one row per postcode and commune), the street side is not.
-POSTCODE_SALTS = 32
-STREET_SALTS = 4
+SALTS = {"VOIE_SEULE": 4, "CODE_POSTAL": 32}
 
 
 def normalised_address(sales: DataFrame, *others: str | Column) -> DataFrame:
@@ -196,21 +195,71 @@ def commune_centroids(register: DataFrame) -> DataFrame:
     return area_centroids(register, key, "COMMUNE", "MUNICIPALITY")
 
 
-def dim_address_enriched(staged: DataFrame, register: DataFrame) -> DataFrame:
-    """Distinct sale addresses with their best register match."""
+def level_sides(register: DataFrame) -> dict[str, DataFrame]:
+    """Reduced register per match level, as ``(key, payload)``."""
     exact = exact_winners(register)
-    sides = {
-        "EXACT": (exact.select("key", "payload"), 1),
-        "SANS_TYPE": (untyped_winners(exact), 1),
-        "VOIE_SEULE": (street_winners(register), STREET_SALTS),
-        "CODE_POSTAL": (postcode_centroids(register), POSTCODE_SALTS),
+    return {
+        "EXACT": exact.select("key", "payload"),
+        "SANS_TYPE": untyped_winners(exact),
+        "VOIE_SEULE": street_winners(register),
+        "CODE_POSTAL": postcode_centroids(register),
     }
+
+
+def identified_addresses(staged: DataFrame) -> DataFrame:
+    addresses = unique_addresses(staged)
+    return addresses.select(keys.address_id(*ADDRESS_COLUMNS).alias("ADDRESS_ID"), "*")
+
+
+def match_level(addresses: DataFrame, side: DataFrame, level: str) -> DataFrame:
+    """Addresses that hit at one level, with their payload."""
+    hits = addresses.withColumn("key", sale_match_keys()[level]).join(side, "key")
+    return hits.select(*addresses.columns, "payload.*")
+
+
+def match_commune(addresses: DataFrame, register: DataFrame) -> DataFrame:
+    """Addresses joined to the centroids of their postcode, commune and INSEE code."""
+    areas = commune_centroids(register).select(
+        "CODE_POSTAL", F.col("NOM_COMMUNE").alias("COMMUNE"), "payload"
+    )
+    hits = addresses.join(areas, ["CODE_POSTAL", "COMMUNE"])
+    return hits.select(*addresses.columns, "payload.*")
+
+
+def unmatched(addresses: DataFrame, *matches: DataFrame) -> DataFrame:
+    """Addresses that none of the given levels matched."""
+    rest = addresses
+    for matched in matches:
+        rest = rest.join(matched.select("ADDRESS_ID"), "ADDRESS_ID", "left_anti")
+    return rest.select(*addresses.columns)
+
+
+def matches_by_level(staged: DataFrame, register: DataFrame) -> dict[str, DataFrame]:
+    """The levels one by one, each over the addresses that the better levels left.
+
+    For looking at single levels; :func:`dim_address_enriched` gets the same in one pass.
+    """
+    addresses = identified_addresses(staged)
+    found: dict[str, DataFrame] = {}
+    for level, side in level_sides(register).items():
+        found[level] = match_level(unmatched(addresses, *found.values()), side, level)
+    found["COMMUNE"] = match_commune(unmatched(addresses, *found.values()), register)
+    rest = unmatched(addresses, *found.values())
+    found["NO_MATCH"] = rest.select("*", payload_struct("NO_MATCH").alias("p")).select(
+        *addresses.columns, "p.*"
+    )
+    return found
+
+
+def dim_address_enriched(staged: DataFrame, register: DataFrame) -> DataFrame:
+    """Distinct sale addresses with their best register match."""
+    sides = level_sides(register)
     matched = unique_addresses(staged).withColumn(
-        "best", F.lit(None).cast(sides["EXACT"][0].schema["payload"].dataType)
+        "best", F.lit(None).cast(sides["EXACT"].schema["payload"].dataType)
     )
     for level, key in sale_match_keys().items():
-        side, salts = sides[level]
-        joined = lookup_left(matched.withColumn("key", key), side, "key", ADDRESS_COLUMNS, salts)
+        keyed = matched.withColumn("key", key)
+        joined = lookup_left(keyed, sides[level], "key", ADDRESS_COLUMNS, SALTS.get(level, 1))
         matched = joined.select(*ADDRESS_COLUMNS, F.coalesce("best", "payload").alias("best"))
     found = matched.withColumn("best", F.coalesce("best", payload_struct("NO_MATCH")))
     return found.select(

@@ -36,13 +36,14 @@ def read_raw(
     fmt: str = "parquet",
     sep: str = ",",
     encoding: str = "UTF-8",
+    null_text: str = "",
 ) -> DataFrame:
     """Read a raw source with its fixed all-text schema; nothing is inferred."""
     reader = spark.read.schema(schema)
     if fmt == "csv":
         return reader.csv(
             path, header=True, sep=sep, encoding=encoding, enforceSchema=False,
-            quote='"', escape='"', mode="FAILFAST",
+            quote='"', escape='"', mode="FAILFAST", nullValue=null_text,
         )
     return reader.format(fmt).load(path)
 
