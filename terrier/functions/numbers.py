@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,6 +52,20 @@ def parse_french_date(c: Column | str) -> Column:
     return F.to_date(_col(c), "dd/MM/yyyy")
 
 
+def in_period(date: Column | str, year: int | None = None, quarter: int | None = None) -> Column:
+    """Date within a year, a quarter of a year, or that quarter of any year.
+
+    A year is tested as a range of dates, which the Parquet reader can skip by.
+    """
+    date = _col(date)
+    if year is None:
+        return F.lit(True) if quarter is None else F.quarter(date) == quarter
+    first, months = (1, 12) if quarter is None else (3 * quarter - 2, 3)
+    start = dt.date(year, first, 1)
+    end = dt.date(year + (first + months > 12), (first + months - 1) % 12 + 1, 1)
+    return (date >= F.lit(start)) & (date < F.lit(end))
+
+
 def price_per_m2(price: Column | str, surface: Column | str) -> Column:
     """Double-precision price per square metre, NULL for a zero or missing surface."""
     surface = _col(surface).cast("double")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrier.session import written
+
 
 def lookup_left(
     left: DataFrame,
@@ -26,6 +28,29 @@ def lookup_left(
     return salted.join(copies, [key, "_salt"], "left").drop("_salt")
 
 
+# Rows up to which a side is broadcast; a row of codes and positions takes well under a kilobyte.
+BROADCAST_ROWS = 100_000
+
+
+def lookup_left_measured(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread_by: list[str],
+    salts: int,
+    limit: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """As :func:`lookup_left` for a side that is expected to be small.
+
+    The side is stored and counted. Up to ``limit`` rows it is broadcast, so ``left`` is neither
+    shuffled nor skewed; a larger side is joined with salts.
+    """
+    stored = written(right, "lookup")
+    if stored.count() <= limit:
+        return left.join(F.broadcast(stored), key, "left")
+    return lookup_left(left, stored, key, spread_by, salts)
+
+
 def equal_as_blank(left: Column, right: Column) -> Column:
     """Equality with NULL counting as ``''``."""
     return F.coalesce(left, F.lit("")) == F.coalesce(right, F.lit(""))

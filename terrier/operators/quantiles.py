@@ -118,6 +118,12 @@ def _locate(hist: DataFrame, by: list[str], spec: Summary) -> DataFrame:
     return ranked.groupBy(*by).agg(*aggs)
 
 
+def _is_open(m: str) -> Column:
+    """The histogram found where a quantile lies, but not its value."""
+    unsettled = F.col(f"x_lo_{m}").isNull() | F.col(f"x_hi_{m}").isNull()
+    return F.col(f"r_lo_{m}").isNotNull() & unsettled
+
+
 def _refine(rows: DataFrame, located: DataFrame, by: list[str], names: list[str]) -> DataFrame:
     """Values at the ranks that the histogram left open, one row per group.
 
@@ -126,8 +132,7 @@ def _refine(rows: DataFrame, located: DataFrame, by: list[str], names: list[str]
     """
     open_cases = [
         F.when(
-            (F.col(f"r_lo_{m}").isNotNull())
-            & (F.col(f"x_lo_{m}").isNull() | F.col(f"x_hi_{m}").isNull()),
+            _is_open(m),
             F.struct(
                 F.lit(i).alias("_m"),
                 F.when(F.col(f"x_lo_{m}").isNull(), F.col(f"b_lo_{m}"))
@@ -138,8 +143,8 @@ def _refine(rows: DataFrame, located: DataFrame, by: list[str], names: list[str]
         )
         for i, m in enumerate(names)
     ]
-    # No broadcast hint: the table was written, so its real size decides how it is joined.
-    targets = located.select(
+    # No broadcast hint: open groups were written apart, so their real size decides the join.
+    targets = located.where("_open").select(
         *by, F.explode(F.array_compact(F.array(*open_cases))).alias("_t")
     ).select(*by, "_t.*")
     values = rows.join(targets, _same(rows, targets, [*by, "_bucket"]))
@@ -171,9 +176,11 @@ def summarise(df: DataFrame, by: list[str], spec: Summary) -> DataFrame:
     """
     names = list(spec.quantiles)
     rows = _rows(df, by, spec)
-    located = written(_locate(_histogram(rows, by, spec, names), by, spec), "quantiles")
+    located = _locate(_histogram(rows, by, spec, names), by, spec)
+    any_open = reduce(lambda a, b: a | b, (_is_open(m) for m in names))
+    located = written(located.withColumn("_open", any_open), "quantiles", split_by="_open")
     refined = _refine(rows, located, by, names)
-    out = located.join(refined, _same(located, refined, by), "left") if by else None
+    out = located.join(refined, _same(located, refined, by), "left")
     columns = [located[k] for k in by]
     for m in names:
         low = F.coalesce(located[f"x_lo_{m}"], refined[f"y_lo_{m}"])

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrier.functions.keys import premises_is
-from terrier.functions.numbers import price_per_m2
+from terrier.functions.numbers import in_period, price_per_m2
 from terrier.functions.scoring import level_rank
 from terrier.operators.quantiles import Quantile, Summary, summarise
 from terrier.plans.kpi import APARTMENT
@@ -40,7 +40,7 @@ def _commune_names(communes: DataFrame) -> DataFrame:
 
 def median_by_commune(fact: DataFrame, communes: DataFrame, year: int) -> DataFrame:
     """Communes of highest median price in one year."""
-    sold = fact.where((F.year("DATE_MUTATION") == year) & F.col("COMMUNE_ID").isNotNull())
+    sold = fact.where(in_period("DATE_MUTATION", year) & F.col("COMMUNE_ID").isNotNull())
     spec = Summary(
         F.col("VALEUR_FONCIERE"), {"prix_median": Quantile()}, counts={"nb_transactions": None}
     )

@@ -7,13 +7,15 @@ fans out, and the first level that hits wins by coalescing whole payload structs
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrier.functions import keys, text
 from terrier.functions.scoring import MATCH_SCORES
 from terrier.operators.dedup import best_per_key, distinct_blank_insensitive, nulls_last
-from terrier.operators.lookup import lookup_left
+from terrier.operators.lookup import BROADCAST_ROWS, lookup_left, lookup_left_measured
 
 ADDRESS_COLUMNS = [
     "NO_VOIE", "TYPE_DE_VOIE", "VOIE", "CODE_POSTAL", "COMMUNE", "CODE_DEPARTEMENT",
@@ -39,9 +41,9 @@ PAYLOAD = {
     "NOM_AFNOR": "string",
 }
 
-# A street or postcode may be shared by very many sale addresses, so those lookups are salted. The
-# postcode side is tiny (one row per postcode and commune), the street side is not.
-SALTS = {"VOIE_SEULE": 4, "CODE_POSTAL": 32}
+# A street or postcode may be shared by very many sale addresses: rows of one key are spread over
+# this many tasks. The postcode side has one row per postcode and commune and is usually broadcast.
+STREET_SALTS, POSTCODE_SALTS = 4, 32
 
 
 def normalised_address(sales: DataFrame, *others: str | Column) -> DataFrame:
@@ -251,15 +253,30 @@ def matches_by_level(staged: DataFrame, register: DataFrame) -> dict[str, DataFr
     return found
 
 
-def dim_address_enriched(staged: DataFrame, register: DataFrame) -> DataFrame:
-    """Distinct sale addresses with their best register match."""
+def dim_address_enriched(
+    staged: DataFrame, register: DataFrame, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Distinct sale addresses with their best register match.
+
+    Runs one job, for the few rows of the postcode level; the rest is lazy.
+    """
     sides = level_sides(register)
     matched = unique_addresses(staged).withColumn(
         "best", F.lit(None).cast(sides["EXACT"].schema["payload"].dataType)
     )
+    joins = {
+        "EXACT": partial(lookup_left, key="key"),
+        "SANS_TYPE": partial(lookup_left, key="key"),
+        "VOIE_SEULE": partial(
+            lookup_left, key="key", spread_by=ADDRESS_COLUMNS, salts=STREET_SALTS
+        ),
+        "CODE_POSTAL": partial(
+            lookup_left_measured, key="key", spread_by=ADDRESS_COLUMNS, salts=POSTCODE_SALTS,
+            limit=broadcast_rows,
+        ),
+    }
     for level, key in sale_match_keys().items():
-        keyed = matched.withColumn("key", key)
-        joined = lookup_left(keyed, sides[level], "key", ADDRESS_COLUMNS, SALTS.get(level, 1))
+        joined = joins[level](matched.withColumn("key", key), sides[level])
         matched = joined.select(*ADDRESS_COLUMNS, F.coalesce("best", "payload").alias("best"))
     found = matched.withColumn("best", F.coalesce("best", payload_struct("NO_MATCH")))
     return found.select(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrier.functions.keys import premises_is
-from terrier.functions.numbers import price_per_m2
+from terrier.functions.numbers import in_period, price_per_m2
 from terrier.operators.geo import cell
 from terrier.operators.quantiles import Quantile, Summary, summarise
 from terrier.plans.geocode import POSITION_COLUMNS
@@ -28,15 +28,15 @@ def filter_sales(
     max_price: float | None = None,
 ) -> DataFrame:
     """Sales by premises type, period and price range; every filter is optional."""
-    date, price = F.col("DATE_MUTATION"), F.col("VALEUR_FONCIERE")
-    wanted = [
-        (premises, lambda: premises_is(premises)),
-        (year, lambda: F.year(date) == year),
-        (quarter, lambda: F.quarter(date) == quarter),
-        (min_price, lambda: price >= min_price),
-        (max_price, lambda: price <= max_price),
-    ]
-    return reduce(lambda df, w: df if w[0] is None else df.where(w[1]()), wanted, fact)
+    price = F.col("VALEUR_FONCIERE")
+    wanted = in_period("DATE_MUTATION", year, quarter)
+    if premises is not None:
+        wanted &= premises_is(premises)
+    if min_price is not None:
+        wanted &= price >= min_price
+    if max_price is not None:
+        wanted &= price <= max_price
+    return fact.where(wanted)
 
 
 def zone_statistics(fact: DataFrame, zone: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrier.plans import dims, fact, geocode, kpi, silver
+from terrier.sources.files import overwrite_table
 from terrier.sources.seeds import ref_departements
 
 GOLD_TABLES = (
@@ -34,6 +35,20 @@ def with_audit(name: str, df: DataFrame) -> DataFrame:
     return df.select("*", *(F.current_timestamp().alias(c) for c in AUDIT_COLUMNS.get(name, ())))
 
 
+def parquet_store(root: str, schema: str = "gold") -> Callable[[str, DataFrame], DataFrame]:
+    """Full refresh of every gold table below ``root/schema``; the fact is split by year."""
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        path = f"{root.rstrip('/')}/{schema}/{name}"
+        audited = with_audit(name, df)
+        if name != "fct_mutation":
+            return overwrite_table(audited, path)
+        dated = audited.withColumn("ANNEE", F.year("DATE_MUTATION"))
+        return overwrite_table(dated, path, ["ANNEE"])
+
+    return store
+
+
 class Star:
     """Tables of the star schema over two raw sources, each built on first use.
 

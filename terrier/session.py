@@ -48,13 +48,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, split_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
     Cuts the lineage at a durable table, so a lost executor costs no recomputation, and gives the
-    optimiser the real size of the result.
+    optimiser the real size of the result; with ``split_by`` also that of each value's rows.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(split_by) if split_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
