@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
 WHOLE = "decimal(38,0)"
-
-# Finite decimal notation only: keeps NaN, Infinity and type suffixes out of averages.
-_NUMERIC = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,2})?\s*$"
+# Exact to the precision of a double for any coordinate in degrees or metres.
+COORDINATE = "decimal(30,15)"
 
 
 def _col(c: Column | str) -> Column:
@@ -19,7 +18,7 @@ def _col(c: Column | str) -> Column:
 
 
 def decimal_point(c: Column | str) -> Column:
-    return F.translate(_col(c), ",", ".")
+    return F.replace(_col(c), F.lit(","), F.lit("."))
 
 
 def parse_amount(c: Column | str, scale0: bool = False) -> Column:
@@ -36,10 +35,8 @@ def try_parse_amount(c: Column | str, scale0: bool = False) -> Column:
 
 
 def try_parse_coordinate(c: Column | str, scale0: bool = False) -> Column:
-    text = decimal_point(c)
-    if scale0:
-        return text.try_cast(WHOLE).cast("double")
-    return F.when(text.rlike(_NUMERIC), text.try_cast("double"))
+    """Finite decimal notation only: ``NaN``, ``Infinity`` or ``1d`` would be doubles as well."""
+    return decimal_point(c).try_cast(WHOLE if scale0 else COORDINATE).cast("double")
 
 
 def try_parse_count(c: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -35,22 +35,23 @@ def first_per_key(
 ) -> DataFrame:
     """The first of ``keep`` per key, in ascending order of ``order`` with NULLs last.
 
-    Exact copies are removed by a hash aggregation before the ordered one sees them.
+    Exact copies are removed by a hash aggregation before anything is sorted.
     """
     distinct = df.select(*dict.fromkeys([*key, *order, *keep])).distinct()
-    rank = F.struct(*(part for c in order for part in nulls_last(F.col(c))))
-    return (
-        distinct.groupBy(*key)
-        .agg(F.min_by(F.struct(*keep), rank).alias("_first"))
-        .select(*key, "_first.*")
-    )
+    window = Window.partitionBy(*key).orderBy(*(F.asc_nulls_last(c) for c in order))
+    return _first_row(distinct, window).select(*key, *keep)
+
 
+def best_per_key(df: DataFrame, key: str, payload: Column, order: list[Column]) -> DataFrame:
+    """``payload`` of the first row per key in the given order, as ``(key, payload)``.
 
-def nulls_last(c: Column) -> tuple[Column, Column]:
-    """Two struct fields that sort ``c`` ascending with NULLs last."""
-    return c.isNull(), c
+    The optimiser keeps one row per key and map task, so a hot key arrives as a few rows.
+    """
+    ranks = {f"_o{i}": c for i, c in enumerate(order)}
+    rows = df.select(key, payload.alias("payload"), *(c.alias(n) for n, c in ranks.items()))
+    window = Window.partitionBy(key).orderBy(*(F.asc_nulls_last(n) for n in ranks))
+    return _first_row(rows, window).select(key, "payload")
 
 
-def best_per_key(df: DataFrame, key: str, payload: Column, order: list[Column]) -> DataFrame:
-    """``payload`` of the row with the smallest ``order`` per key, as ``(key, payload)``."""
-    return df.groupBy(key).agg(F.min_by(payload, F.struct(*order)).alias("payload"))
+def _first_row(df: DataFrame, window: WindowSpec) -> DataFrame:
+    return df.withColumn("_row", F.row_number().over(window)).where(F.col("_row") == 1)

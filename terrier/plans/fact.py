@@ -60,10 +60,8 @@ def computed_commune_id() -> Column:
     The dimension trims the collapsed name once more, so a name that still starts or ends with a
     blank has no partner there.
     """
-    return F.when(
-        text.norm_upper("COMMUNE") == F.col("COMMUNE"),
-        keys.commune_id("COMMUNE", "CODE_DEPARTEMENT"),
-    )
+    held = (text.norm_upper("COMMUNE") == F.col("COMMUNE")) & F.col("CODE_DEPARTEMENT").isNotNull()
+    return F.when(held, keys.commune_id("COMMUNE", "CODE_DEPARTEMENT"))
 
 
 def computed_parcel_id() -> Column:

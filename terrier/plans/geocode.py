@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from terrier.functions import keys, text
 from terrier.functions.scoring import MATCH_SCORES
-from terrier.operators.dedup import best_per_key, distinct_blank_insensitive, nulls_last
+from terrier.operators.dedup import best_per_key, distinct_blank_insensitive
 from terrier.operators.lookup import BROADCAST_ROWS, lookup_left, lookup_left_measured
 
 ADDRESS_COLUMNS = [
@@ -110,7 +110,7 @@ def exact_winners(register: DataFrame) -> DataFrame:
         F.col("PRECISION_SCORE").alias("precision"),
     )
     keyed = register.withColumnRenamed("MATCH_KEY_EXACT", "key")
-    order = [-F.col("QUALITY_SCORE"), -F.col("PRECISION_SCORE"), *nulls_last(F.col("BAN_ID"))]
+    order = [-F.col("QUALITY_SCORE"), -F.col("PRECISION_SCORE"), F.col("BAN_ID")]
     return best_per_key(keyed, "key", row, order).select("key", "payload.*")
 
 
@@ -123,11 +123,7 @@ def untyped_winners(exact: DataFrame) -> DataFrame:
     payload = F.col("payload").withField("MATCH_LEVEL", F.lit("SANS_TYPE")).withField(
         "MATCH_SCORE", F.lit(MATCH_SCORES["SANS_TYPE"])
     )
-    order = [
-        -F.col("payload.BAN_QUALITY_SCORE"),
-        -F.col("precision"),
-        *nulls_last(F.col("payload.BAN_ID")),
-    ]
+    order = [-F.col("payload.BAN_QUALITY_SCORE"), -F.col("precision"), F.col("payload.BAN_ID")]
     candidates = exact.select(F.col("untyped_key").alias("key"), "payload", "precision")
     return best_per_key(candidates, "key", payload, order)
 
@@ -149,10 +145,7 @@ def street_winners(register: DataFrame) -> DataFrame:
     payload = payload_struct(
         "VOIE_SEULE", **own, TYPE_POSITION=F.lit("STREET"), BAN_QUALITY_SCORE="QUALITY_SCORE"
     )
-    order = [
-        -F.col("QUALITY_SCORE"),
-        *(part for c in ("BAN_ID", "CODE_INSEE", "ID_FANTOIR") for part in nulls_last(F.col(c))),
-    ]
+    order = [-F.col("QUALITY_SCORE"), *(F.col(c) for c in ("BAN_ID", "CODE_INSEE", "ID_FANTOIR"))]
     return best_per_key(street_points(register), "key", payload, order)
 
 

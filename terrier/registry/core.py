@@ -20,8 +20,8 @@ ORACLES: dict[str, str] = {}
 class Context:
     """Tables over one folder of input data, shared by the queries of a session.
 
-    The raw sources and the gold tables are stored once, as a warehouse does. ``lazy`` gives every
-    table as a plan over the raw sources, ``gold`` the stored tables.
+    The raw sources and the gold tables are stored once, as a warehouse does, and ``gold`` gives
+    those tables. ``lazy`` gives every table as a new plan over the raw sources.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -37,7 +37,7 @@ class Context:
     def bronze_ban(self) -> DataFrame:
         return written(derived_register(self.spark, self.folder).hint("rebalance"), "bronze_ban")
 
-    @cached_property
+    @property
     def lazy(self) -> Star:
         return Star(self.bronze_dvf, self.bronze_ban)
 
@@ -48,7 +48,7 @@ class Context:
 
         return Star(self.bronze_dvf, self.bronze_ban, store)
 
-    @cached_property
+    @property
     def indicators(self) -> Star:
         """Indicators computed anew, over the stored fact and dimensions."""
         star = Star(self.bronze_dvf, self.bronze_ban)
