@@ -75,29 +75,41 @@ def computed_postcode_id() -> Column:
     return F.when(present, keys.postcode_id("CODE_POSTAL", "CODE_DEPARTEMENT"))
 
 
-def with_computed_keys(clean: DataFrame) -> DataFrame:
-    """Sale lines with every foreign key but the address, and without the columns behind them."""
+def sale_rows(clean: DataFrame) -> DataFrame:
+    """Sale lines as narrow as the address join allows: components, two keys and measures."""
     return clean.select(
         *ADDRESS_COLUMNS,
-        computed_commune_id().alias("COMMUNE_ID"),
         computed_parcel_id().alias("PARCELLE_ID"),
         keys.premises_id("TYPE_LOCAL").alias("TYPE_LOCAL_ID"),
-        computed_postcode_id().alias("CODE_POSTAL_ID"),
         *MEASURES,
     )
 
 
+def keyed_places(enriched: DataFrame) -> DataFrame:
+    """Geocoded addresses with the keys that follow from their components.
+
+    Hashing once per address is cheaper than once per sale, and keeps the keys out of the shuffle
+    of the sales.
+    """
+    return enriched.select(
+        *ADDRESS_COLUMNS, *GEOCODED_COLUMNS,
+        computed_commune_id().alias("COMMUNE_ID"), computed_postcode_id().alias("CODE_POSTAL_ID"),
+    )
+
+
 def _address_hash(df: DataFrame) -> Column:
     return F.xxhash64(*(F.coalesce(df[c], F.lit("")) for c in ADDRESS_COLUMNS))
 
 
-def join_address(sales: DataFrame, enriched: DataFrame) -> DataFrame:
-    """Left join on six components: blank-insensitive for number, street type and street.
+def join_address(
+    sales: DataFrame, places: DataFrame, columns: list[str] = GEOCODED_COLUMNS
+) -> DataFrame:
+    """Left join on six components, blank-insensitive for number, street type and street.
 
     The hash leads the join key: a merge join then sorts on one long instead of six strings of few
     distinct values. Equality of the components still decides.
     """
-    right = enriched.select(*ADDRESS_COLUMNS, *GEOCODED_COLUMNS)
+    right = places.select(*ADDRESS_COLUMNS, *columns)
     right = right.withColumn("_h", _address_hash(right)).alias("a")
     left = sales.withColumn("_h", _address_hash(sales)).alias("s")
     on = F.col("s._h") == F.col("a._h")
@@ -106,7 +118,7 @@ def join_address(sales: DataFrame, enriched: DataFrame) -> DataFrame:
     for c in ADDRESS_COLUMNS[3:]:
         on &= F.col(f"s.{c}") == F.col(f"a.{c}")
     kept = [F.col(f"s.{c}") for c in sales.columns]
-    return left.join(right, on, "left").select(*kept, *(f"a.{c}" for c in GEOCODED_COLUMNS))
+    return left.join(right, on, "left").select(*kept, *(f"a.{c}" for c in columns))
 
 
 def join_commune(sales: DataFrame, communes: DataFrame) -> DataFrame:
@@ -146,7 +158,11 @@ def _fact_columns(linked: DataFrame) -> DataFrame:
 
 def fct_mutation(staged: DataFrame, enriched: DataFrame) -> DataFrame:
     """One row per staged sale line; dimensions from the same staged sales."""
-    return _fact_columns(join_address(with_computed_keys(clean_sales(staged)), enriched))
+    place_keys = {"COMMUNE_ID": computed_commune_id(), "CODE_POSTAL_ID": computed_postcode_id()}
+    linked = join_address(
+        sale_rows(clean_sales(staged)), keyed_places(enriched), [*GEOCODED_COLUMNS, *place_keys]
+    )
+    return _fact_columns(linked.withColumns({k: F.coalesce(k, c) for k, c in place_keys.items()}))
 
 
 def fct_mutation_joined(

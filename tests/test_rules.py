@@ -145,13 +145,19 @@ def test_calendar_ranges(spark):
     assert df.where(numbers.in_period("d")).count() == 14
 
 
+def _means_rounded(df):
+    """Means of doubles differ in the last bits with the order of addition."""
+    return df.select(*(F.round(c, 9).alias(c) if t == "double" else c for c, t in df.dtypes))
+
+
 def test_stored_star_equals_lazy_star(spark, tmp_path):
     lazy = Star(golden.sales(spark, EDGES), golden.register(spark))
     stored = Star(golden.sales(spark, EDGES), golden.register(spark), parquet_store(str(tmp_path)))
     tables = build_all(stored)
     assert (tmp_path / "gold" / "fct_mutation" / "ANNEE=2023").is_dir()
     for name, table in tables.items():
-        plain = lazy.table(name)
-        assert table.select(plain.columns).exceptAll(plain).count() == 0
-        assert table.count() == plain.count()
+        plain = _means_rounded(lazy.table(name))
+        kept = _means_rounded(table.select(plain.columns))
+        assert kept.exceptAll(plain).count() == 0
+        assert kept.count() == plain.count()
     assert tables["fct_mutation"].where(F.col("CREATED_AT").isNull()).count() == 0
