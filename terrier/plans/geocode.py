@@ -16,6 +16,7 @@ from terrier.functions import keys, text
 from terrier.functions.scoring import MATCH_SCORES
 from terrier.operators.dedup import best_per_key, distinct_blank_insensitive
 from terrier.operators.lookup import BROADCAST_ROWS, lookup_left, lookup_left_measured
+from terrier.session import written
 
 ADDRESS_COLUMNS = [
     "NO_VOIE", "TYPE_DE_VOIE", "VOIE", "CODE_POSTAL", "COMMUNE", "CODE_DEPARTEMENT",
@@ -41,6 +42,14 @@ PAYLOAD = {
     "NOM_AFNOR": "string",
 }
 
+# Register columns that the cascade reads.
+MATCHED_COLUMNS = [
+    "BAN_ID", "CODE_INSEE", "ID_FANTOIR", *POSITION_COLUMNS, "TYPE_POSITION", "SOURCE_POSITION",
+    "PARCELLES_CADASTRALES", "LIBELLE_ACHEMINEMENT", "NOM_AFNOR", "PRECISION_SCORE",
+    "QUALITY_SCORE", "MATCH_KEY_EXACT", "MATCH_KEY_SANS_TYPE", "MATCH_KEY_VOIE",
+    "MATCH_KEY_CODE_POSTAL",
+]
+
 # A street or postcode may be shared by very many sale addresses: rows of one key are spread over
 # this many tasks. The postcode side has one row per postcode and commune and is usually broadcast.
 STREET_SALTS, POSTCODE_SALTS = 4, 32
@@ -251,9 +260,11 @@ def dim_address_enriched(
 ) -> DataFrame:
     """Distinct sale addresses with their best register match.
 
-    Runs one job, for the few rows of the postcode level; the rest is lazy.
+    Three levels read the register, and normalising its text costs far more than reading it back:
+    it is written once, without the columns no level needs. That and the few rows of the postcode
+    level are jobs of their own; the rest is lazy.
     """
-    sides = level_sides(register)
+    sides = level_sides(written(register.select(*MATCHED_COLUMNS), "register"))
     matched = unique_addresses(staged).withColumn(
         "best", F.lit(None).cast(sides["EXACT"].schema["payload"].dataType)
     )
