@@ -14,8 +14,12 @@ VALID_FROM, VALID_TO, IS_CURRENT = "VALID_FROM", "VALID_TO", "IS_CURRENT"
 def new_rows(current: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key the stored table does not hold; NULL is an ordinary key value."""
     known = stored.select(*(F.col(k).alias(f"_k_{k}") for k in keys)).distinct()
-    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys))
-    return current.join(known, same, "left_anti")
+    return current.join(known, _same_key(keys), "left_anti")
+
+
+def _same_key(keys: list[str]) -> Column:
+    """Key of one side equal to the ``_k_`` key of the other, NULLs being equal."""
+    return reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys))
 
 
 def loaded_since(df: DataFrame, last_run: dt.datetime) -> DataFrame:
@@ -44,7 +48,8 @@ def merge_history(
     """Type-2 history after a new snapshot.
 
     Rows whose tracked columns changed are closed at ``as_of`` and followed by a new version; keys
-    missing from the snapshot are closed; unknown keys start. One full join on the key.
+    missing from the snapshot are closed; unknown keys start. One full join on the key, in which
+    NULL is an ordinary value.
     """
     columns = [*keys, *tracked]
     current = history.where(F.col(IS_CURRENT)).select(
@@ -52,9 +57,12 @@ def merge_history(
         F.col(VALID_FROM).alias("_from"),
     )
     incoming = snapshot.select(
-        *keys, F.struct(*tracked).alias("_new"), _fingerprint(tracked).alias("_new_hash")
+        *(F.col(k).alias(f"_k_{k}") for k in keys),
+        F.struct(*tracked).alias("_new"),
+        _fingerprint(tracked).alias("_new_hash"),
     )
-    both = current.join(incoming, keys, "full")
+    both = current.join(incoming, _same_key(keys), "full")
+    known = F.col("_old_hash").isNotNull()
     unchanged = F.coalesce(F.col("_old_hash") == F.col("_new_hash"), F.lit(False))
 
     def version(row: str, start: Column, end: Column, open_: Column, when: Column) -> Column:
@@ -69,13 +77,12 @@ def merge_history(
     never = F.lit(None).cast("date")
     kept = version(
         "_old", F.col("_from"), F.when(~unchanged, F.lit(as_of)), unchanged,
-        F.col("_old_hash").isNotNull(),
+        known,
     )
     started = version(
         "_new", F.lit(as_of), never, F.lit(True), F.col("_new_hash").isNotNull() & ~unchanged
     )
-    versions = both.select(
-        *keys, F.inline(F.array_compact(F.array(kept, started)))
-    )
+    key = [F.when(known, F.col(k)).otherwise(F.col(f"_k_{k}")).alias(k) for k in keys]
+    versions = both.select(*key, F.inline(F.array_compact(F.array(kept, started))))
     closed = history.where(~F.col(IS_CURRENT)).select(*columns, VALID_FROM, VALID_TO, IS_CURRENT)
     return closed.unionByName(versions.select(*columns, VALID_FROM, VALID_TO, IS_CURRENT))

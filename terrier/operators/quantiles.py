@@ -172,7 +172,8 @@ def _refine(rows: DataFrame, located: DataFrame, by: list[str], names: list[str]
 def summarise(df: DataFrame, by: list[str], spec: Summary) -> DataFrame:
     """``by``, the counts, means and sums, and the exact quantiles (NULL where no value counts).
 
-    NULL is an ordinary group. Runs one job, for the histogram; the rest is lazy.
+    NULL is an ordinary group. Runs one job, for the histogram; the rest is lazy. The input is read
+    twice, so it should be a stored table rather than a long plan.
     """
     names = list(spec.quantiles)
     rows = _rows(df, by, spec)

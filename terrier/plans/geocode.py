@@ -108,33 +108,19 @@ _OWN_COLUMNS = {
 }
 
 
-def exact_winners(register: DataFrame) -> DataFrame:
-    """Best register row per exact key, as ``(key, payload, precision)``.
-
-    Kept with its untyped key: the winners of the next level are chosen among these.
-    """
-    row = F.struct(
-        payload_struct("EXACT", **_OWN_COLUMNS, BAN_QUALITY_SCORE="QUALITY_SCORE").alias("payload"),
-        F.col("MATCH_KEY_SANS_TYPE").alias("untyped_key"),
-        F.col("PRECISION_SCORE").alias("precision"),
-    )
-    keyed = register.withColumnRenamed("MATCH_KEY_EXACT", "key")
+def row_winners(register: DataFrame, key: str, level: str) -> DataFrame:
+    """Best register row per match key, as ``(key, payload)``."""
+    payload = payload_struct(level, **_OWN_COLUMNS, BAN_QUALITY_SCORE="QUALITY_SCORE")
     order = [-F.col("QUALITY_SCORE"), -F.col("PRECISION_SCORE"), F.col("BAN_ID")]
-    return best_per_key(keyed, "key", row, order).select("key", "payload.*")
+    return best_per_key(register.withColumnRenamed(key, "key"), "key", payload, order)
 
 
-def untyped_winners(exact: DataFrame) -> DataFrame:
-    """Best row per key without street type.
+def exact_winners(register: DataFrame) -> DataFrame:
+    return row_winners(register, "MATCH_KEY_EXACT", "EXACT")
 
-    Rows of one exact key share their untyped key, so the best of the exact winners is the best of
-    all register rows; the register is neither scanned nor shuffled a second time.
-    """
-    payload = F.col("payload").withField("MATCH_LEVEL", F.lit("SANS_TYPE")).withField(
-        "MATCH_SCORE", F.lit(MATCH_SCORES["SANS_TYPE"])
-    )
-    order = [-F.col("payload.BAN_QUALITY_SCORE"), -F.col("precision"), F.col("payload.BAN_ID")]
-    candidates = exact.select(F.col("untyped_key").alias("key"), "payload", "precision")
-    return best_per_key(candidates, "key", payload, order)
+
+def untyped_winners(register: DataFrame) -> DataFrame:
+    return row_winners(register, "MATCH_KEY_SANS_TYPE", "SANS_TYPE")
 
 
 def street_points(register: DataFrame) -> DataFrame:
@@ -201,10 +187,9 @@ def commune_centroids(register: DataFrame) -> DataFrame:
 
 def level_sides(register: DataFrame) -> dict[str, DataFrame]:
     """Reduced register per match level, as ``(key, payload)``."""
-    exact = exact_winners(register)
     return {
-        "EXACT": exact.select("key", "payload"),
-        "SANS_TYPE": untyped_winners(exact),
+        "EXACT": exact_winners(register),
+        "SANS_TYPE": untyped_winners(register),
         "VOIE_SEULE": street_winners(register),
         "CODE_POSTAL": postcode_centroids(register),
     }
@@ -260,7 +245,7 @@ def dim_address_enriched(
 ) -> DataFrame:
     """Distinct sale addresses with their best register match.
 
-    Three levels read the register, and normalising its text costs far more than reading it back:
+    Every level reads the register, and normalising its text costs far more than reading it back:
     it is written once, without the columns no level needs. That and the few rows of the postcode
     level are jobs of their own; the rest is lazy.
     """

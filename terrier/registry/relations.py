@@ -150,7 +150,7 @@ register(
 register(
     "jn_14_seed_fallback",
     lambda c: rounded(
-        c.lazy.gold_kpi_departement.select(
+        c.indicators.gold_kpi_departement.select(
             "CODE_DEPARTEMENT", "ANNEE", "NOM_DEPARTEMENT", "LATITUDE_CENTROID",
             "LONGITUDE_CENTROID",
         ),

@@ -63,11 +63,12 @@ def _load(spark, rows):
 def test_history_over_three_loads(spark):
     first = history.start_history(_load(spark, [("a", "x", 1), ("b", "x", 1), (None, "x", 1)]), DAYS[0])
     second = history.merge_history(
-        first.where("k is not null"), _load(spark, [("a", "x", 1), ("b", None, 1), ("c", "x", 1)]),
+        first, _load(spark, [("a", "x", 1), ("b", None, 1), ("c", "x", 1), (None, "x", 1)]),
         ["k"], ["v", "n"], DAYS[1],
     )
     third = history.merge_history(
-        second, _load(spark, [("a", "y", 1), ("b", None, 1)]), ["k"], ["v", "n"], DAYS[2]
+        second, _load(spark, [("a", "y", 1), ("b", None, 1), (None, "z", 1)]), ["k"], ["v", "n"],
+        DAYS[2],
     )
     found = {tuple(r) for r in third.collect()}
     assert found == {
@@ -76,6 +77,8 @@ def test_history_over_three_loads(spark):
         ("b", "x", 1, DAYS[0], DAYS[1], False),
         ("b", None, 1, DAYS[1], None, True),
         ("c", "x", 1, DAYS[1], DAYS[2], False),
+        (None, "x", 1, DAYS[0], DAYS[2], False),
+        (None, "z", 1, DAYS[2], None, True),
     }
 
 

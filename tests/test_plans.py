@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import golden
-from terrier.plans import consumer, fact, kpi, reports
+from terrier.plans import consumer, fact, geocode, kpi, reports
 from terrier.plans.warehouse import Star
 from terrier.registry.core import context
 
@@ -49,6 +49,13 @@ def test_sample_is_cut_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") >= 2
 
 
+def test_register_winners_are_cut_before_the_shuffle(spark):
+    """One row per key and map task: a hot key cannot fill a task."""
+    register = context(spark, FOLDER).lazy.stg_ban_addresses_normalized
+    text = plan(geocode.exact_winners(register)).split("\n\n")[0]
+    assert text.count("WindowGroupLimit") == 2 and text.count("Exchange") == 1
+
+
 def test_fact_needs_one_join(spark):
     ctx = context(spark, FOLDER)
     text = plan(fact.fct_mutation(ctx.lazy.stg_dvf_transactions, ctx.gold.dim_address_enriched))
