@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from terrier.session import written
 
-# Buckets per factor of e, about 0.02 % wide each.
-RESOLUTION = 4096
+# Buckets per factor of e, about 0.1 % wide each: fine enough that a bucket holds a thousandth of a
+# large group, coarse enough that a map task sends few buckets.
+RESOLUTION = 1024
 # ln of the smallest double is above -746: keeps the bucket numbers of positive values positive.
 _SHIFT = 750 * RESOLUTION
 
