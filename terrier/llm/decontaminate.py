@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -102,46 +103,70 @@ class Index:
         return out
 
 
-def _searched(index: Index):
+def _found(index: Index, column) -> list[tuple[int, int, int, int]]:
+    """Row number, item, shingles of the item and shared ones for all items found in some texts."""
+    out = []
+    for first, data, offsets in text.parts(column):
+        by_doc = defaultdict(list)
+        for d, i in index.hits(text.Words(data, offsets)):
+            by_doc[d].append(i)
+        for d in sorted(by_doc):
+            raw = data[offsets[d] : offsets[d + 1]].tobytes()
+            out += [(first + d, *found) for found in index.verified(raw, sorted(by_doc[d]))]
+    return out
+
+
+def _searching(index: Index):
     def search(batches):
         for batch in batches:
-            rows, items, sizes, shared = [], [], [], []
-            for first, data, offsets in text.parts(batch.column(1)):
-                by_doc = defaultdict(list)
-                for d, i in index.hits(text.Words(data, offsets)):
-                    by_doc[d].append(i)
-                for d in sorted(by_doc):
-                    raw = data[offsets[d] : offsets[d + 1]].tobytes()
-                    for item, n, both in index.verified(raw, sorted(by_doc[d])):
-                        rows.append(first + d)
-                        items.append(item)
-                        sizes.append(n)
-                        shared.append(both)
-            ids = batch.column(0).take(pa.array(rows, pa.int64()))
+            found = _found(index, batch.column(1))
+            rows, items, sizes, shared = zip(*found) if found else ((),) * 4
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(items, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(shared, pa.int64())],
+                [batch.column(0).take(pa.array(rows, pa.int64())),
+                 *(pa.array(c, pa.int64()) for c in (items, sizes, shared))],
                 names=["doc_id", "item_id", "n_shingles", "n_shared"])
 
     return search
 
 
+def _rejecting(index: Index, at: int):
+    def reject(batches):
+        for batch in batches:
+            keep = np.ones(len(batch), bool)
+            keep[[row for row, *_ in _found(index, batch.column(at))]] = False
+            yield batch.filter(pa.array(keep))
+
+    return reject
+
+
+def _blocks(items: DataFrame, threshold: float) -> Iterator[Index]:
+    items = items.select(F.col("item_id").cast("long"), "text").filter("text is not null").distinct()
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = math.ceil(size / BLOCK_BYTES)
+    for block in range(n):
+        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == block)
+        yield Index([tuple(r) for r in own.sort("item_id", "text").collect()], threshold)
+
+
 def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
                     id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id``, ``item_id``, ``n_shingles`` of the item and ``n_shared`` for every item found.
 
     ``items`` has ``item_id`` and ``text``; they are read in blocks, one scan of ``docs`` for each.
     """
-    spark = docs.sparkSession
     kind = docs.schema[id_column].dataType.simpleString()
     schema = f"doc_id {kind}, item_id long, n_shingles long, n_shared long"
-    items = items.select(F.col("item_id").cast("long"), "text").filter("text is not null").distinct()
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = math.ceil(size / BLOCK_BYTES)
-    found = spark.createDataFrame([], schema)
-    for block in range(n_blocks):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block)
-        index = Index([tuple(r) for r in own.sort("item_id", "text").collect()], threshold)
+    found = docs.sparkSession.createDataFrame([], schema)
+    for index in _blocks(items, threshold):
         found = found.union(
-            docs.select(id_column, text_column).mapInArrow(_searched(index), schema))
+            docs.select(id_column, text_column).mapInArrow(_searching(index), schema))
     return found
+
+
+def without_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
+                  text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no item is found, with all their columns."""
+    at = docs.columns.index(text_column)
+    for index in _blocks(items, threshold):
+        docs = docs.mapInArrow(_rejecting(index, at), docs.schema)
+    return docs
