@@ -6,9 +6,10 @@ to canonical turns of role and text. Layouts with optional fields have one finge
 combination. The turns are rendered into one string, and the places of the assistant's texts are the
 loss mask.
 
-Template: ``<s>[INST]role[/INST]text</s>`` for every turn. A backslash, and the first character of
-any control string inside a role or a text, is preceded by a backslash, so the string is read back
-by scanning for unescaped control strings, and unescaping gives every text back.
+Template: ``<s>[INST]role[/INST]text</s>`` for every turn. Inside roles and texts a backslash is doubled,
+and a control string gets one after its first character, so control strings stand in the result only
+where the template puts them; it is read back by scanning for them, and unescaping gives every text
+back.
 
 Nulls: null roles and texts are empty; a record that is null, no JSON object or of an unknown layout
 has no turns and fingerprint or mapping null. Turns of equal number are ordered by role and text, those
@@ -98,7 +99,7 @@ def canonical(record) -> tuple[str | None, str | None, list[tuple[str, str]]]:
 
 
 def escape(text: str) -> str:
-    return _CONTROL.sub(lambda m: "\\" + m[0], text.replace("\\", "\\\\"))
+    return _CONTROL.sub(lambda m: f"{m[0][0]}\\{m[0][1:]}", text.replace("\\", "\\\\"))
 
 
 def unescape(text: str) -> str:

@@ -116,8 +116,8 @@ def mixed_documents(docs: DataFrame, path: list[Column], weights: list[dict[str,
         F.sum("mix_in_slice").over(running), F.lit(0)).alias("mix_before"))
     within = Window.partitionBy(*names, "mix_slice").orderBy("mix_key", id_column).rowsBetween(
         Window.unboundedPreceding, 0)
-    taken = (F.col("mix_before") + F.sum("mix_tokens").over(within)) <= F.col("mix_rest")
-    taken = F.when(F.col("mix_rest") > 0, taken).otherwise(F.lit(False))
+    earlier = F.col("mix_before") + F.sum("mix_tokens").over(within) - F.col("mix_tokens")
+    taken = earlier < F.col("mix_rest")
     return (
         keyed.join(slices, [*names, "mix_slice"])
         .withColumn("mix_copies", F.col("mix_epochs") + taken.cast("long"))

@@ -49,7 +49,7 @@ read AS (SELECT docs.*, epochs, rest, sum(n_tokens) OVER (
                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
          FROM docs JOIN plan USING (domain, lang, source))
 SELECT doc_id, domain, lang, source, CAST(n_tokens AS BIGINT) AS n_tokens, copies FROM (
-  SELECT *, CAST(epochs + CASE WHEN rest > 0 AND running <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies
+  SELECT *, CAST(epochs + CASE WHEN running - n_tokens < rest THEN 1 ELSE 0 END AS BIGINT) AS copies
   FROM read) WHERE copies > 0
 """
 

@@ -84,3 +84,19 @@ def test_nulls_repeats_and_foreign_columns(spark):
     none = backoff_lm.scored(docs, F.lit(False)).collect()
     assert all(r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in none)
     assert backoff_lm.scored(docs.limit(0), F.col("train")).count() == 0
+
+
+def test_messages_keep_keys_and_counts():
+    import numpy as np
+
+    from terrier.llm import exchange
+
+    for keys in ([], [5], [0, 1, 2**63, 2**64 - 1], [7, 8, 2**47]):
+        keys = np.array(keys, np.uint64)
+        counts = np.arange(len(keys)) * 300
+        table = exchange.question(3, keys, counts, 4)
+        distinct, total, answer = exchange.totals(table)
+        assert distinct.tolist() == keys.tolist() and total.tolist() == counts.tolist()
+        replies = table.select(["range"]).append_column(
+            "counts", [[answer(i) for i in range(len(table))]])
+        assert exchange.answers(replies).tolist() == counts.tolist()
