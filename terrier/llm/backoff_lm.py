@@ -74,63 +74,56 @@ class Grams:
 
     def indexed(self) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct keys, and for every order and token the place of its key (or -1)."""
-        distinct, inverse = np.unique(self.keys[self.exists], return_inverse=True)
-        index = np.full(self.keys.shape, -1, np.int64)
-        index[self.exists] = inverse
-        return distinct, index
+        distinct = np.unique(self.keys[self.exists])
+        return distinct, np.where(self.exists, np.searchsorted(distinct, self.keys), -1)
 
 
 class Automaton:
     """The part of the model that the documents of ``grams`` can reach.
 
-    ``count`` has the corpus count of every distinct n-gram, of which ``index`` has the places.
+    ``count`` has the corpus count of every distinct n-gram, of which ``index`` has the places. States
+    and arcs are named by n-grams: a state is its history, an arc the n-gram of its source and word.
+    So the arc of a state of ``d`` words for the next word of a text is the n-gram of ``d + 1`` words
+    that ends there, if the model has it.
     """
 
     def __init__(self, grams: Grams, index: np.ndarray, count: np.ndarray, tokens: int, words: int,
                  strength: float):
         order = len(index)
-        self.order, self.word = order, index[0]
-        self.n_grams = len(count)
+        self.order, self.index = order, index
         read = grams.place > 0  # the start is a history, never read
         chance = np.where(read, (count[index[0]] + 0.5) / (tokens + 0.5 * (words + 1)), 1.0)
         self.base = np.log10(chance)
-        history = np.full(index.shape, -1, np.int64)  # of one word less, before the token
-        history[:, 1:] = index[:, :-1]
-        weight = np.full(len(count), np.nan)  # of arcs, by n-gram
-        weight[index[0][read]] = self.base[read]
-        arcs = [(np.full(read.sum(), _EMPTY), index[0][read], index[0][read])]
         # Unseen words lead to the empty state, as all words do if no history counts.
-        state_of = np.where((count > 0) & (order > 1), np.arange(len(count)), _EMPTY)
-        shorter = np.full(len(count), _EMPTY)
+        self.next = np.where((count > 0) & (order > 1), np.arange(len(count)), _EMPTY)
+        self.shorter = np.full(len(count) + 1, _EMPTY)  # where failure arcs lead; last: the empty state
+        self.depth = np.zeros(len(count) + 1, np.int64)
+        self.weight = np.full(len(count), np.nan)  # of arcs; the empty state reads every word
+        self.depth[index[0]] = 1
+        self.weight[index[0][read]] = self.base[read]
         for k in range(1, order):
             at = np.flatnonzero(grams.exists[k])
-            before, own = history[k - 1][at], index[k][at]
-            n = count[before]
+            own, n = index[k][at], count[index[k - 1][at - 1]]
             chance[at] = np.where(n > 0, (count[own] + strength * chance[at]) / (n + strength), chance[at])
             seen = count[own] > 0
-            weight[own[seen]] = np.log10(chance[at[seen]])
-            arcs.append((before[seen], index[0][at[seen]], own[seen]))
-            shorter[own] = state_of[index[k - 1][at]]
+            self.weight[own[seen]] = np.log10(chance[at[seen]])
+            suffix = self.next[index[k - 1][at]]
+            self.shorter[own], self.depth[own] = suffix, k + 1
             if k == order - 1:  # the longest n-grams are no states: their arcs lead to the shorter ones
-                state_of[own] = state_of[index[k - 1][at]]
-        self.to_fail = np.log10(strength / (count + strength))
-        self.shorter = shorter
-        source, read_word, gram = (np.concatenate(x) for x in zip(*arcs))
-        key = (source + 1) * np.int64(self.n_grams + 1) + read_word
-        self.arcs, first = np.unique(key, return_index=True)
-        self.weight, self.next = weight[gram[first]], state_of[gram[first]]
-
-    def read(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """States after one word each, and the weights of the arcs taken."""
+                self.next[own] = suffix
+        self.to_fail = np.append(np.log10(strength / (count + strength)), 0.0)
+
+    def read(self, state: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States after reading the token at each place, and the weights of the arcs taken."""
         state, total = state.copy(), np.zeros(len(state))
         open_ = np.arange(len(state))
         while len(open_):
-            key = (state[open_] + 1) * np.int64(self.n_grams + 1) + word[open_]
-            at = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1)
-            found = self.arcs[at] == key
-            hit, arc = open_[found], at[found]
-            total[hit] += self.weight[arc]
-            state[hit] = self.next[arc]
+            arc = self.index[self.depth[state[open_]], place[open_]]
+            weight = self.weight[arc]
+            found = (arc >= 0) & ~np.isnan(weight)
+            hit = open_[found]
+            total[hit] += weight[found]
+            state[hit] = self.next[arc[found]]
             open_ = open_[~found]
             total[open_] += self.to_fail[state[open_]]
             state[open_] = self.shorter[state[open_]]
@@ -144,19 +137,19 @@ class Automaton:
         begin = 1 + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)) * piece
         end = np.minimum(begin + piece, grams.sizes[doc])
         at = grams.first[doc]
-        start = self.word[at]
+        start = self.index[0][at]
         # At a document's start the state is the start itself; a later piece reads the words before it.
         state = np.where((begin == 1) & (count[start] > 0) & (self.order > 1), start, _EMPTY)
         for back in range(self.order - 1, 0, -1):
             use = np.flatnonzero(begin - back >= 1)
-            state[use], _ = self.read(state[use], self.word[at[use] + begin[use] - back])
+            state[use], _ = self.read(state[use], at[use] + begin[use] - back)
         total = np.zeros(len(doc))
         open_ = np.arange(len(doc))
         for step in range(piece):
             open_ = open_[begin[open_] + step < end[open_]]
             if not len(open_):
                 break
-            state[open_], weights = self.read(state[open_], self.word[at[open_] + begin[open_] + step])
+            state[open_], weights = self.read(state[open_], at[open_] + begin[open_] + step)
             total[open_] += weights
         return np.bincount(doc, total, len(tokens))
 
@@ -164,21 +157,23 @@ class Automaton:
 def _asking(order: int, n: int):
     def ask(key: tuple[pa.Scalar, ...], docs: pa.Table) -> pa.Table:
         grams = Grams(docs["text"], order)
-        distinct, index = grams.indexed()
         learned = docs["train"].to_numpy().astype(bool)[grams.doc]
-        places = index[:, learned][grams.exists[:, learned]]
-        return exchange.question(key[0].as_py(), distinct, np.bincount(places, minlength=len(distinct)), n)
+        seen, times = np.unique(grams.keys[grams.exists & learned], return_counts=True)
+        distinct = np.union1d(seen, grams.keys[grams.exists & ~learned])
+        counts = np.zeros(len(distinct), np.int64)
+        counts[np.searchsorted(distinct, seen)] = times
+        return exchange.question(key[0].as_py(), distinct, counts, n)
 
     return ask
 
 
 def _answer(messages: pa.Table) -> pa.Table:
-    distinct, total, places = exchange.totals(messages)
+    distinct, total, answer = exchange.totals(messages)
     words = (distinct & _TAG) == 1
     n = len(messages)
     return pa.table({
         "block": messages["block"], "range": messages["range"],
-        "counts": pa.array([total[p].tobytes() for p in places], pa.binary()),
+        "counts": pa.array([answer(i) for i in range(n)], pa.binary()),
         "tokens": pa.array(np.full(n, total[words].sum(), np.int64)),
         "words": pa.array(np.full(n, (total[words] > 0).sum(), np.int64)),
     })
@@ -219,7 +214,7 @@ def scored(docs: DataFrame, train: Column, id_column: str = "doc_id", text_colum
     kind = flagged.schema["id"].dataType.simpleString()
     answers = (
         dealt.groupBy("block").applyInArrow(_asking(order, n), exchange.ASKED)
-        .groupBy("range").applyInArrow(_answer, ANSWERED)
+        .repartition(n, "range").groupBy("range").applyInArrow(_answer, ANSWERED)
     )
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _scoring(order, strength),

@@ -10,27 +10,31 @@ asked, so keys are not sent back. Keys are hashes: ranges are even, however freq
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 ASKED = "range int, block int, keys binary, counts binary"
 ANSWERED = "block int, range int, counts binary"
 
 
 def blocks_of(docs: DataFrame, id_column: str, text_column: str, block_bytes: int = BLOCK_BYTES,
               ) -> tuple[DataFrame, int]:
-    """``id``, ``text`` (null: empty) and ``block`` of every row, and the number of blocks."""
+    """``id``, ``text`` (null: empty) and ``block`` of every row, dealt, and the number of blocks.
+
+    The number of partitions is given: merging small ones would take work from idle cores.
+    """
     own = docs.select(F.col(id_column).alias("id"),
                       F.coalesce(F.col(text_column), F.lit("")).alias("text"),
                       *[c for c in ("train",) if c in docs.columns])
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(size / block_bytes))
     block = F.pmod(F.xxhash64("id", F.octet_length("text")), F.lit(n)).cast("int")
-    return own.withColumn("block", block), n
+    return own.withColumn("block", block).repartition(n, "block"), n
 
 
 def range_of(keys: np.ndarray, n: int) -> np.ndarray:
@@ -42,28 +46,56 @@ def edges(keys: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(range_of(keys, n), np.arange(n + 1, dtype=np.uint64), "left")
 
 
+def _squeezed(keys: np.ndarray) -> bytes:
+    """Sorted keys as their differences in 6 bytes each, or in 8 if one does not fit."""
+    steps = np.diff(keys, prepend=keys[:1])
+    narrow = not len(steps) or int(steps.max()) < 1 << 48
+    raw = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : 6 if narrow else 8]
+    return (b"\6" if narrow else b"\10") + keys[:1].astype("<u8").tobytes() + raw.tobytes()
+
+
+def _spread(raw: bytes) -> np.ndarray:
+    width = raw[0]
+    body = np.frombuffer(raw, np.uint8)[1 + 8 * (len(raw) > 1) :].reshape(-1, width)
+    steps = np.zeros((len(body), 8), np.uint8)
+    steps[:, :width] = body
+    keys = steps.view("<u8").ravel()
+    keys[:1] = np.frombuffer(raw, "<u8", min(1, len(keys)), 1)
+    return np.cumsum(keys, dtype=np.uint64)
+
+
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs; the first byte tells how many."""
+    kind = np.min_scalar_type(int(counts.max(initial=0)))
+    return bytes([kind.itemsize]) + counts.astype(kind.newbyteorder("<")).tobytes()
+
+
+def _wide(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.uint64)
+
+
 def question(block: int, keys: np.ndarray, counts: np.ndarray, n: int) -> pa.Table:
     """Messages about sorted distinct keys, one for each range, empty ones too."""
     at = edges(keys, n)
-    counts = counts.astype(np.uint32)
     return pa.table({
         "range": pa.array(np.arange(n), pa.int32()),
         "block": pa.array(np.full(n, block), pa.int32()),
-        "keys": pa.array([keys[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary()),
-        "counts": pa.array([counts[a:b].tobytes() for a, b in zip(at, at[1:])], pa.binary()),
+        "keys": pa.array([_squeezed(keys[a:b]) for a, b in zip(at, at[1:])], pa.binary()),
+        "counts": pa.array([_narrow(counts[a:b]) for a, b in zip(at, at[1:])], pa.binary()),
     })
 
 
-def totals(messages: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Distinct keys of all messages, their summed counts, and per message the place of its keys."""
-    keys = [np.frombuffer(k, np.uint64) for k in messages["keys"].to_pylist()]
-    counts = np.concatenate([np.frombuffer(c, np.uint32) for c in messages["counts"].to_pylist()])
-    distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(inverse, counts, len(distinct)).astype(np.uint64)
-    return distinct, total, np.split(inverse, np.cumsum([len(k) for k in keys])[:-1])
+def totals(messages: pa.Table) -> tuple[np.ndarray, np.ndarray, Callable[[int], bytes]]:
+    """Distinct keys of all messages, their summed counts, and the answer to each message."""
+    keys = [_spread(k) for k in messages["keys"].to_pylist()]
+    distinct = np.unique(np.concatenate(keys))
+    total = np.zeros(len(distinct), np.uint64)
+    for own, counts in zip(keys, messages["counts"].to_pylist()):
+        total[np.searchsorted(distinct, own)] += _wide(counts)  # keys of a message differ
+    return distinct, total, lambda i: _narrow(total[np.searchsorted(distinct, keys[i])])
 
 
 def answers(messages: pa.Table) -> np.ndarray:
     """Counts from all ranges, in the order of the block's sorted keys."""
     ordered = messages.sort_by("range")["counts"].to_pylist()
-    return np.concatenate([np.frombuffer(c, np.uint64) for c in ordered] or [np.zeros(0, np.uint64)])
+    return np.concatenate([_wide(c) for c in ordered] or [np.zeros(0, np.uint64)])
