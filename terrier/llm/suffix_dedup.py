@@ -4,19 +4,21 @@ A byte goes if a string of ``length`` (200) bytes that covers it also starts any
 never cross documents, may overlap, and are judged on the input.
 
 Distribution. Of the ``ANCHOR``-byte windows in a string of 200 bytes, the one with the smallest hash
-(leftmost of equals) is the string's anchor. Equal strings have equal anchors, and the strings that
-have one anchor are consecutive, so a text falls into segments of at most ``length - ANCHOR + 1``
-starts. A string can only occur twice if its anchor does. So blocks of documents first ask how often
-their anchors occur (8 bytes for about 75 bytes of text, see ``exchange``), then send the segments of
-anchors found twice or more to the range of the anchor, equal segments of a block once.
+(leftmost of equals) is the string's anchor. Equal strings have equal anchors at equal places, so the
+starts of a text fall into segments: runs that share an anchor, cut into ``BANDS`` by the distance to
+it. All strings of a segment cover the same core (about 160 bytes around the anchor), and a string can
+only occur twice if its core does. So blocks of documents first ask how often their cores occur (one
+hash for about 20 bytes of text, see ``exchange``), then send the segments of cores found twice or
+more to the range of the core, equal segments of a block once. A passage that very many documents
+share is one segment after another, each of them once; where the texts around it differ, so do cores.
 
 Suffix sorting. A range sorts the suffixes of its distinct segments with a difference cover modulo 3:
 the triples at places 1 and 2 modulo 3 are sorted and named; unless the names differ or already span
 200 bytes, the string of names is sorted recursively; the remaining suffixes are sorted by their
 first symbol and the rank of the next, and merged in. Neighbours in that order are then compared over
-200 bytes. A range works anchor by anchor in batches of ``BATCH_BYTES``, so its memory does not depend
-on how much it holds, only on the distinct segments of one anchor; equal segments, however many there
-are, count once. Starts found go back to the blocks, which cut their texts.
+200 bytes. A range works core by core in batches of ``BATCH_BYTES``, so its memory does not depend on how
+much it holds, only on the distinct segments of one core; equal segments, however many there are, count
+once. Starts found go back to the blocks, which cut their texts.
 
 Nulls: a null text counts as empty; rows of null id are treated like others. A text under 200 bytes
 loses nothing. Repeated rows remove each other like any copies. An empty table gives an empty result.
@@ -36,7 +38,8 @@ from terrier.llm import exchange, text
 
 LENGTH = 200
 ANCHOR = 50
-BATCH_BYTES = 1 << 20
+BANDS = 4
+BATCH_BYTES = 1 << 17
 
 _BYTE = text.seeds(256, 11)
 _ODD = 0x9E3779B97F4A7C15
@@ -54,11 +57,20 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out)
 
 
-def _window_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """A number for every run of ``size`` bytes, from sums of random numbers times powers."""
-    n = len(data)
-    sums = np.r_[np.uint64(0), np.cumsum(_BYTE[data] * _powers(_ODD, n))]
-    return text.mixed((sums[size:] - sums[: n - size + 1]) * _powers(_INVERSE, n)[: n - size + 1])
+class _Hashes:
+    """Numbers for any runs of bytes, from sums of random numbers times powers."""
+
+    def __init__(self, data: np.ndarray):
+        self.sums = np.r_[np.uint64(0), np.cumsum(_BYTE[data] * _powers(_ODD, len(data)))]
+        self.scale = _powers(_INVERSE, len(data) + 1)
+
+    def windows(self, size: int) -> np.ndarray:
+        """Of all runs of ``size`` bytes."""
+        n = len(self.sums) - size
+        return text.mixed((self.sums[size:] - self.sums[:n]) * self.scale[:n])
+
+    def runs(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return text.mixed((self.sums[end] - self.sums[begin]) * self.scale[begin])
 
 
 def _sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -70,22 +82,30 @@ def _sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """Anchor key, document, first start (in its document) and number of starts of every segment."""
+    """Core key, document, first start (in its document) and number of starts of every segment."""
+    none = tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64))
     width = length - anchor + 1
     if len(data) < length:
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64))
-    hashes = _window_hashes(data, anchor)
-    place = np.arange(len(hashes), dtype=np.uint64)
-    lowest = _sliding_minimum((hashes >> np.uint64(32) << np.uint64(32)) | place, width)
+        return none
+    hashes = _Hashes(data)
+    of_window = hashes.windows(anchor)
+    place = np.arange(len(of_window), dtype=np.uint64)
+    lowest = _sliding_minimum((of_window >> np.uint64(32) << np.uint64(32)) | place, width)
     at = (lowest & np.uint64(0xFFFFFFFF)).astype(np.int64)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(at)]
     start = np.flatnonzero(np.arange(len(at)) + length <= offsets[1:][doc])
+    if not len(start):
+        return none
     at, doc = at[start], doc[start]
-    if not len(at):
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64))
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    wide = -(-width // BANDS)
+    band = (at - start) // wide
+    first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (band[1:] != band[:-1])])
     n = np.diff(np.r_[first, len(at)])
-    return hashes[at[first]], doc[first], start[first] - offsets[doc[first]], n
+    at, band, start, doc = at[first], band[first], start[first], doc[first]
+    # What every string of the band covers, from the nearest to the farthest of them.
+    farthest = np.minimum((band + 1) * wide, width) - 1
+    core = hashes.runs(at - band * wide, at - farthest + length)
+    return text.mixed(core ^ of_window[at] + band.astype(np.uint64)), doc, start - offsets[doc], n
 
 
 class _Block:
@@ -116,15 +136,15 @@ def _asking(n: int, length: int, anchor: int):
 
 
 def _answer(messages: pa.Table) -> pa.Table:
-    _, total, places = exchange.totals(messages)
+    _, _, answer = exchange.totals(messages)
     return pa.table({
         "block": messages["block"], "range": messages["range"],
-        "counts": pa.array([total[p].tobytes() for p in places], pa.binary()),
+        "counts": pa.array([answer(i) for i in range(len(messages))], pa.binary()),
     })
 
 
 def _sending(n: int, length: int, anchor: int):
-    """Sends every segment whose anchor occurs twice, equal ones once, with all their places."""
+    """Sends every segment whose core occurs twice, equal ones once, with all their places."""
 
     def send(docs: pa.Table, messages: pa.Table) -> pa.Table:
         block = _Block(docs, length, anchor)
@@ -181,38 +201,35 @@ def suffix_order(symbols: np.ndarray, length: int, span: int = 1) -> np.ndarray:
     """
     n = len(symbols)
     if n < 3:
-        return np.array(sorted(range(n), key=lambda i: symbols[i:].tolist()), np.int64)
-    padded = np.r_[symbols.astype(np.int64), 0, 0, 0, 0]
-    place = np.arange(n + (n % 3 == 1))  # one empty suffix more, so that a full triple ends place 1
-    ones, twos = place[1::3], place[2::3]
-    sample = np.r_[ones, twos]
-    names = _named([padded[sample], padded[sample + 1], padded[sample + 2]])
+        return np.array(sorted(range(n), key=lambda i: symbols[i:].tolist()), np.int32)
+    padded = np.zeros(n + 4, np.int32)
+    padded[:n] = symbols
+    place = np.arange(n + (n % 3 == 1), dtype=np.int32)  # an empty suffix more: a full triple ends place 1
+    sample = np.r_[place[1::3], place[2::3]]
+    names = _named([padded[sample], padded[sample + 1], padded[sample + 2]]).astype(np.int32)
     if names.max() == len(names) or 3 * span >= length:
-        order = np.argsort(names, kind="stable")
-        ranked = names
+        order = np.argsort(names, kind="stable").astype(np.int32)
     else:
         order = suffix_order(names, length, 3 * span)
-        ranked = np.empty(len(names), np.int64)
-        ranked[order] = np.arange(1, len(names) + 1)
-    rank = np.zeros(n + 4, np.int64)
-    rank[sample] = ranked
+        names[order] = np.arange(1, len(names) + 1, dtype=np.int32)
+    rank = np.zeros(n + 4, np.int32)
+    rank[sample] = names
     sampled = sample[order]
     sampled = sampled[sampled < n]
-    rest = np.arange(0, n, 3)
+    rest = np.arange(0, n, 3, dtype=np.int32)
     rest = rest[np.argsort(_named([padded[rest], rank[rest + 1]]), kind="stable")]
     # How many sampled suffixes stand before each of the rest: compare a symbol and a rank with those
     # at place 1, two symbols and a rank with those at place 2.
     before = np.zeros(len(rest), np.int64)
-    for residue, reach in ((1, 1), (2, 2)):
+    for residue in (1, 2):
         others = sampled[sampled % 3 == residue]
         both = np.r_[rest, others]
-        key = _named([*(padded[both + j] for j in range(reach)), rank[both + reach]])
+        key = _named([*(padded[both + j] for j in range(residue)), rank[both + residue]])
         before += np.searchsorted(key[len(rest):], key[: len(rest)], "left")
     # Where names already span all bytes, suffixes that agree on them may be counted in any order.
-    before = np.maximum.accumulate(before)
-    out = np.empty(n, np.int64)
+    at = np.arange(len(rest)) + np.maximum.accumulate(before)
+    out = np.empty(n, np.int32)
     taken = np.zeros(n, bool)
-    at = np.arange(len(rest)) + before
     out[at] = rest
     taken[at] = True
     out[~taken] = sampled
@@ -224,7 +241,7 @@ def repeated_starts(parts_: list[bytes], length: int) -> list[np.ndarray]:
     sizes = np.array([len(p) for p in parts_])
     joined = np.frombuffer(b"\0".join(parts_), np.uint8)
     ends = np.cumsum(sizes + 1) - 1
-    symbols = joined.astype(np.int64) + 2
+    symbols = joined.astype(np.int32) + 2
     symbols[ends[:-1]] = 1
     order = suffix_order(symbols, length)
     end = ends[np.searchsorted(ends, order, "left")]
@@ -270,6 +287,9 @@ def _sorting(length: int):
         batch, size = [], 0
         for _, group in groupby(sorted(times), key=lambda part: part[0]):
             parts_ = list(group)
+            if len(parts_) == 1:  # starts of one segment have one anchor: they all differ
+                found[parts_[0]] = np.full(len(parts_[0][1]) - length + 1, times[parts_[0]] > 1)
+                continue
             batch += parts_
             size += sum(len(c) for _, c in parts_)
             if size >= BATCH_BYTES:
@@ -336,12 +356,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_column: str = "doc
     dealt, n = exchange.blocks_of(docs, id_column, text_column, block_bytes)
     answers = (
         dealt.groupBy("block").applyInArrow(_asking(n, length, anchor), exchange.ASKED)
-        .groupBy("range").applyInArrow(_answer, exchange.ANSWERED)
+        .repartition(n, "range").groupBy("range").applyInArrow(_answer, exchange.ANSWERED)
     )
     found = (
         dealt.groupBy("block").cogroup(answers.groupBy("block"))
         .applyInArrow(_sending(n, length, anchor), SEGMENTS)
-        .groupBy("range").applyInArrow(_sorting(length), FOUND)
+        .repartition(n, "range").groupBy("range").applyInArrow(_sorting(length), FOUND)
     )
     kind = dealt.schema["id"].dataType.simpleString()
     return dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(
