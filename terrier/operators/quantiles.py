@@ -4,7 +4,9 @@ The built-in exact percentile holds every distinct value of a group in one task.
 first reduced to a histogram of logarithmic buckets, on the map side, so that a group holding a
 third of all rows costs no more than any other. The histogram tells which bucket holds the wanted
 ranks; the smallest and the largest value of a bucket are known, which settles most groups at once.
-Only for the rest are the values of that one bucket read again and ranked.
+For the rest that one bucket is cut into equal slots, again by a hash aggregation, until the wanted
+ranks are settled: each pass narrows the range a thousandfold, and no task ever holds the values of a
+bucket.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from terrier.session import written
 # Buckets per factor of e, about 0.1 % wide each: fine enough that a bucket holds a thousandth of a
 # large group, coarse enough that a map task sends few buckets.
 RESOLUTION = 1024
+# Equal slots into which a pass cuts an open range.
+SLOTS = 1024
 # ln of the smallest double is above -746: keeps the bucket numbers of positive values positive.
 _SHIFT = 750 * RESOLUTION
 
@@ -115,6 +119,8 @@ def _locate(hist: DataFrame, by: list[str], spec: Summary) -> DataFrame:
                 F.max(F.when(here, F.col("_bucket"))).alias(f"b_{side}_{m}"),
                 F.max(F.when(here, inside)).alias(f"r_{side}_{m}"),
                 F.max(F.when(here, settled)).alias(f"x_{side}_{m}"),
+                F.max(F.when(here, least)).alias(f"least_{side}_{m}"),
+                F.max(F.when(here, most)).alias(f"most_{side}_{m}"),
             ]
     return ranked.groupBy(*by).agg(*aggs)
 
@@ -125,74 +131,136 @@ def _is_open(m: str) -> Column:
     return F.col(f"r_lo_{m}").isNotNull() & unsettled
 
 
-def _refine(rows: DataFrame, located: DataFrame, by: list[str], names: list[str]) -> DataFrame:
-    """Values at the ranks that the histogram left open, one row per group.
+def _open_ranges(located: DataFrame, by: list[str], names: list[str]) -> DataFrame:
+    """The quantiles that the histogram left open: their bucket and its bounds, ranks within it.
 
     Both ranks of a quantile are neighbours: if they lie in two buckets, they are the last value of
     one and the first of the next, and settled. So an open quantile has one bucket.
     """
-    open_cases = [
-        F.when(
-            _is_open(m),
-            F.struct(
-                F.lit(i).alias("_m"),
-                F.when(F.col(f"x_lo_{m}").isNull(), F.col(f"b_lo_{m}"))
-                .otherwise(F.col(f"b_hi_{m}")).alias("_bucket"),
-                F.when(F.col(f"x_lo_{m}").isNull(), F.col(f"r_lo_{m}")).alias("_lo"),
-                F.when(F.col(f"x_hi_{m}").isNull(), F.col(f"r_hi_{m}")).alias("_hi"),
-            ),
-        )
-        for i, m in enumerate(names)
-    ]
-    # No broadcast hint: open groups were written apart, so their real size decides the join.
-    targets = located.where("_open").select(
-        *by, F.explode(F.array_compact(F.array(*open_cases))).alias("_t")
-    ).select(*by, "_t.*")
-    values = rows.join(targets, _same(rows, targets, [*by, "_bucket"]))
+    cases = []
+    for i, m in enumerate(names):
+        side = F.when(F.col(f"x_lo_{m}").isNull(), F.lit("lo")).otherwise(F.lit("hi"))
+        cases.append(F.when(_is_open(m), F.struct(
+            F.lit(i).alias("_m"),
+            *(F.when(side == "lo", F.col(f"{c}_lo_{m}")).otherwise(F.col(f"{c}_hi_{m}")).alias(n)
+              for c, n in (("b", "_bucket"), ("least", "_least"), ("most", "_most"))),
+            F.when(F.col(f"x_lo_{m}").isNull(), F.col(f"r_lo_{m}")).alias("_lo"),
+            F.when(F.col(f"x_hi_{m}").isNull(), F.col(f"r_hi_{m}")).alias("_hi"),
+        )))
+    return located.where("_open").select(
+        *by, F.explode(F.array_compact(F.array(*cases))).alias("_t")).select(*by, "_t.*")
+
+
+def _narrowed(rows: DataFrame, ranges: DataFrame, by: list[str], names: list[str], zones) -> DataFrame:
+    """One pass: values of the ranks that it settles, narrower ranges for the others."""
+    fine, keys = ranges, by
+    if zones is not None:
+        fine, keys = zones.spread(ranges), zones.fine(by)
+    # No broadcast hint: the ranges are stored, so their real size decides the join.
+    values = rows.join(fine, _same(rows, fine, [*keys, "_bucket"]))
     value = F.when(F.lit(False), F.lit(None).cast("double"))
     for i, m in enumerate(names):
         value = value.when(F.col("_m") == i, F.col(f"v_{m}"))
-    case = [*(targets[k].alias(k) for k in by), "_m", "_lo", "_hi"]
-    counted = (
-        values.select(*case, value.alias("_x"))
-        .where(F.col("_x").isNotNull())
-        .groupBy(*by, "_m", "_lo", "_hi", "_x")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    order = Window.partitionBy(*by, "_m").orderBy("_x")
-    upto = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counted.withColumn("_upto", upto)
-    picks = []
-    for i, m in enumerate(names):
-        for side in ("lo", "hi"):
-            reached = (F.col("_m") == i) & (F.col("_upto") >= F.col(f"_{side}"))
-            picks.append(F.min(F.when(reached, F.col("_x"))).alias(f"y_{side}_{m}"))
-    return ranked.groupBy(*by).agg(*picks)
+    case = [*(fine[k].alias(k) for k in by), "_m", "_lo", "_hi", "_least", "_most"]
+    inside = values.select(*case, fine["_bucket"].alias("_bucket"), value.alias("_x")).where(
+        F.col("_x").between(F.col("_least"), F.col("_most")))
+    # Halved before the difference, which could exceed the largest double.
+    part = (F.col("_x") / 2 - F.col("_least") / 2) / (F.col("_most") / 2 - F.col("_least") / 2)
+    slot = F.least(F.lit(SLOTS - 1), F.floor(part * SLOTS))
+    key = [*by, "_m", "_lo", "_hi", "_bucket"]
+    slots = inside.groupBy(*key, slot.alias("_slot")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_least"), F.max("_x").alias("_most"))
+    before = F.coalesce(F.sum("_n").over(
+        Window.partitionBy(*by, "_m").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = slots.withColumn("_before", before)
+    aggs = []
+    for side in ("lo", "hi"):
+        rank = F.col(f"_{side}") - F.col("_before")
+        here = (rank >= 1) & (rank <= F.col("_n"))
+        least, most = F.col("_least"), F.col("_most")
+        settled = F.when((rank == 1) | (least == most), least).when(rank == F.col("_n"), most)
+        aggs += [F.max(F.when(here, settled)).alias(f"_y_{side}"),
+                 F.max(F.when(here & settled.isNull(), F.struct(rank.alias("r"), "_least", "_most"))).alias(f"_o_{side}")]
+    return ranked.groupBy(*key).agg(*aggs)
+
+
+def _refined(rows: DataFrame, ranges: DataFrame, by: list[str], names: list[str], zones) -> DataFrame:
+    """Values at the open ranks, one row per group: ``y_lo_m`` and ``y_hi_m`` for each quantile m."""
+    found = []
+    while True:
+        passed = written(_narrowed(rows, ranges, by, names, zones), "pass")
+        found.append(passed.select(*by, "_m", "_y_lo", "_y_hi"))
+        left = passed.where("_o_lo is not null or _o_hi is not null")
+        if left.isEmpty():
+            break
+        bounds = F.coalesce("_o_lo", "_o_hi")
+        ranges = left.select(
+            *by, "_m", "_bucket", bounds["_least"].alias("_least"), bounds["_most"].alias("_most"),
+            F.col("_o_lo.r").alias("_lo"), F.col("_o_hi.r").alias("_hi"))
+    picks = [
+        F.max(F.when(F.col("_m") == i, F.col(f"_y_{side}"))).alias(f"y_{side}_{m}")
+        for i, m in enumerate(names) for side in ("lo", "hi")
+    ]
+    return reduce(DataFrame.unionByName, found).groupBy(*by).agg(*picks)
+
+
+@dataclass
+class Zones:
+    """Groups of a finer key: ``table`` has ``key`` and the column ``zone``, one row per key.
+
+    Histograms are taken by the finer key and added up by zone, so the table meets histograms and
+    open ranges, not rows.
+    """
+
+    table: DataFrame
+    key: str
+    zone: str
+
+    def fine(self, by: list[str]) -> list[str]:
+        return [self.key if k == self.zone else k for k in by]
+
+    def spread(self, ranges: DataFrame) -> DataFrame:
+        return ranges.join(self.table.select(self.key, self.zone), self.zone)
+
+    def gathered(self, hist: DataFrame, by: list[str]) -> DataFrame:
+        how = {"min": F.min, "max": F.max}
+        aggs = [how.get(c.split("_")[0], F.sum)(c).alias(c)
+                for c in hist.columns if c not in (*self.fine(by), "_bucket")]
+        placed = hist.join(self.table.select(self.key, self.zone), self.key)
+        return placed.groupBy(*by, "_bucket").agg(*aggs)
 
 
-def summarise(df: DataFrame, by: list[str], spec: Summary) -> DataFrame:
+def summarise(df: DataFrame, by: list[str], spec: Summary, zones: Zones | None = None) -> DataFrame:
     """``by``, the counts, means and sums, and the exact quantiles (NULL where no value counts).
 
-    NULL is an ordinary group. Runs one job, for the histogram; the rest is lazy. The input is read
-    twice, so it should be a stored table rather than a long plan.
+    NULL is an ordinary group. Runs one job for the histogram and one or two for each pass over open
+    ranges; the input is read again by each, so it should be a stored table rather than a long plan.
+    With ``zones`` one of ``by`` is a column of the zone table.
     """
     names = list(spec.quantiles)
-    rows = _rows(df, by, spec)
-    located = _locate(_histogram(rows, by, spec, names), by, spec)
+    fine = by if zones is None else zones.fine(by)
+    rows = _rows(df, fine, spec)
+    hist = _histogram(rows, fine, spec, names)
+    if zones is not None:
+        hist = zones.gathered(hist, by)
     any_open = reduce(lambda a, b: a | b, (_is_open(m) for m in names))
-    located = written(located.withColumn("_open", any_open), "quantiles", split_by="_open")
-    refined = _refine(rows, located, by, names)
-    out = located.join(refined, _same(located, refined, by), "left")
-    columns = [located[k] for k in by]
+    located = written(_locate(hist, by, spec).withColumn("_open", any_open), "quantiles", split_by="_open")
+    ranges = _open_ranges(located, by, names)
+    out = located
+    if not ranges.isEmpty():
+        refined = _refined(rows, ranges, by, names, zones)
+        kept = [c for c in refined.columns if c not in by]
+        out = located.join(refined, _same(located, refined, by), "left").select(located["*"], *kept)
+    columns = [F.col(k) for k in by]
     for m in names:
-        low = F.coalesce(located[f"x_lo_{m}"], refined[f"y_lo_{m}"])
-        high = F.coalesce(located[f"x_hi_{m}"], refined[f"y_hi_{m}"])
-        weight = located[f"w_{m}"]
+        low, high, weight = F.col(f"x_lo_{m}"), F.col(f"x_hi_{m}"), F.col(f"w_{m}")
+        if out is not located:
+            low, high = F.coalesce(low, f"y_lo_{m}"), F.coalesce(high, f"y_hi_{m}")
         blended = (F.lit(1.0) - weight) * low + weight * high
         columns.append(F.when(weight == 0, low).otherwise(blended).alias(m))
-    columns += [located[f"c_{c}"].alias(c) for c in spec.counts]
-    columns += [located[f"m_{c}"].alias(c) for c in spec.means]
-    columns += [located[f"s_{c}"].alias(c) for c in spec.sums]
+    columns += [F.col(f"c_{c}").alias(c) for c in spec.counts]
+    columns += [F.col(f"m_{c}").alias(c) for c in spec.means]
+    columns += [F.col(f"s_{c}").alias(c) for c in spec.sums]
     return out.select(*columns)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrier.functions.keys import premises_is
 from terrier.functions.numbers import price_per_m2
-from terrier.operators.quantiles import Quantile, Summary, summarise
+from terrier.operators.quantiles import Quantile, Summary, Zones, summarise
 
 # Premises types with own indicators; sales needed for a reliable indicator.
 APARTMENT, HOUSE = "APPARTEMENT", "MAISON"
@@ -62,11 +62,9 @@ def gold_kpi_departement(
     fact: DataFrame, communes: DataFrame, departements: DataFrame
 ) -> DataFrame:
     """Per département; name and centroid fall back to the reference list."""
-    zones = communes.where(F.col("CODE_DEPARTEMENT").isNotNull())
-    located = eligible(fact).join(zones.select("COMMUNE_ID", "CODE_DEPARTEMENT"), "COMMUNE_ID")
-    kpis = summarise(
-        located, ["CODE_DEPARTEMENT", "ANNEE"], _spec(centroid=True, counts_by_type=True)
-    )
+    zones = Zones(communes.where(F.col("CODE_DEPARTEMENT").isNotNull()), "COMMUNE_ID", "CODE_DEPARTEMENT")
+    spec = _spec(centroid=True, counts_by_type=True)
+    kpis = summarise(eligible(fact), ["CODE_DEPARTEMENT", "ANNEE"], spec, zones)
     joined = kpis.join(departements, "CODE_DEPARTEMENT", "left")
     return joined.select(
         "CODE_DEPARTEMENT",
@@ -97,11 +95,11 @@ def gold_kpi_commune(fact: DataFrame, communes: DataFrame) -> DataFrame:
 def gold_kpi_code_postal(fact: DataFrame, postcodes: DataFrame) -> DataFrame:
     """Per postcode and INSEE code, sales without INSEE code forming a group of their own.
 
-    A postcode may lie in several départements, so its keys are resolved before grouping.
+    A postcode may lie in several départements: the histograms of its keys are added up.
     """
-    zones = postcodes.where(F.col("CODE_POSTAL").isNotNull())
-    coded = eligible(fact).join(zones.select("CODE_POSTAL_ID", "CODE_POSTAL"), "CODE_POSTAL_ID")
-    kpis = summarise(coded, ["CODE_POSTAL", "CODE_INSEE", "ANNEE"], _spec(centroid=True))
+    zones = Zones(postcodes.where(F.col("CODE_POSTAL").isNotNull()), "CODE_POSTAL_ID", "CODE_POSTAL")
+    by = ["CODE_POSTAL", "CODE_INSEE", "ANNEE"]
+    kpis = summarise(eligible(fact), by, _spec(centroid=True), zones)
     return _zero_centroid_and_flag(kpis).select(
         "CODE_POSTAL", F.col("CODE_INSEE").alias("CODE_COMMUNE"), "ANNEE", "PRIX_MEDIAN_M2",
         "NB_VENTES", "PRIX_MEDIAN_APPARTEMENT", "PRIX_MEDIAN_MAISON", "LATITUDE_CENTROID",

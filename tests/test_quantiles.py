@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from terrier.operators.quantiles import Quantile, Summary, bucket_of, grouped_median, summarise
+from terrier.operators.quantiles import Quantile, Summary, Zones, bucket_of, grouped_median, summarise
 
 
 def _frame(spark, rows):
@@ -80,3 +80,27 @@ def test_buckets_keep_the_order_of_values(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     found = [r[0] for r in df.select(bucket_of(F.col("v"))).collect()]
     assert None not in found and found == sorted(found)
+
+
+def test_many_values_in_one_bucket(spark):
+    """Ten million distinct values within 0.05 %: settled by passes over slots, in many tasks."""
+    n = 10_000_000
+    df = spark.range(n, numPartitions=8).select(
+        F.lit("a").alias("g"), (1.0 + F.col("id") * 5e-11).alias("v"), F.lit(0).alias("c"))
+    spec = Summary(F.col("v"), {"m": Quantile(), "q": Quantile(0.25)}, counts={"n": None})
+    row = summarise(df, ["g"], spec).collect()[0]
+    assert row.n == n
+    assert row.m == pytest.approx(1.0 + (n - 1) / 2 * 5e-11, abs=1e-13)
+    assert row.q == pytest.approx(1.0 + (n - 1) / 4 * 5e-11, abs=1e-13)
+
+
+def test_zones_are_added_up_from_finer_groups(spark):
+    chance = random.Random(4)
+    rows = [(f"k{chance.randrange(9)}", chance.choice([1.0, 1.0001]) * chance.randrange(1, 50), 0) for _ in range(4000)]
+    zones = spark.createDataFrame([(f"k{i}", f"z{i % 3}") for i in range(8)], "g string, zone string")
+    got = summarise(_frame(spark, rows), ["zone"], Summary(F.col("v"), {"m": Quantile()}, counts={"n": None}),
+                    Zones(zones, "g", "zone")).collect()
+    for r in got:
+        own = [v for g, v, _ in rows if g != "k8" and f"z{int(g[1:]) % 3}" == r.zone]
+        assert (r.n, r.m) == (len(own), statistics.median(own))
+    assert len(got) == 3
