@@ -49,6 +49,13 @@ def parse_french_date(c: Column | str) -> Column:
     return F.to_date(_col(c), "dd/MM/yyyy")
 
 
+def period(year: int, quarter: int | None = None) -> tuple[dt.date, dt.date]:
+    """First day of a year or a quarter of it, and the first day after."""
+    first, months = (1, 12) if quarter is None else (3 * quarter - 2, 3)
+    end = dt.date(year + (first + months > 12), (first + months - 1) % 12 + 1, 1)
+    return dt.date(year, first, 1), end
+
+
 def in_period(date: Column | str, year: int | None = None, quarter: int | None = None) -> Column:
     """Date within a year, a quarter of a year, or that quarter of any year.
 
@@ -57,9 +64,7 @@ def in_period(date: Column | str, year: int | None = None, quarter: int | None =
     date = _col(date)
     if year is None:
         return F.lit(True) if quarter is None else F.quarter(date) == quarter
-    first, months = (1, 12) if quarter is None else (3 * quarter - 2, 3)
-    start = dt.date(year, first, 1)
-    end = dt.date(year + (first + months > 12), (first + months - 1) % 12 + 1, 1)
+    start, end = period(year, quarter)
     return (date >= F.lit(start)) & (date < F.lit(end))
 
 

@@ -5,50 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrier.session import written
 
-
-def lookup_left(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    spread_by: list[str] | None = None,
-    salts: int = 1,
-) -> DataFrame:
+def lookup_left(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join on ``key``, unique in ``right``.
 
-    With ``salts`` > 1 the rows of one key are spread over that many tasks by a hash of the
-    ``spread_by`` columns (which must tell the left rows apart) and ``right`` is repeated as often:
-    meant for a right side that was reduced to few rows while a key may be hot on the left.
-    """
-    if salts <= 1:
-        return left.join(right, key, "left")
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
-
-
-# Rows up to which a side is broadcast; a row of codes and positions takes well under a kilobyte.
-BROADCAST_ROWS = 100_000
-
-
-def lookup_left_measured(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    spread_by: list[str],
-    salts: int,
-    limit: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """As :func:`lookup_left` for a side that is expected to be small.
-
-    The side is stored and counted. Up to ``limit`` rows it is broadcast, so ``left`` is neither
-    shuffled nor skewed; a larger side is joined with salts.
+    How is left to the optimiser: it knows the size of a stored side, and splits hot keys of the left
+    side of a merge join at run time.
     """
-    stored = written(right, "lookup")
-    if stored.count() <= limit:
-        return left.join(F.broadcast(stored), key, "left")
-    return lookup_left(left, stored, key, spread_by, salts)
+    return left.join(right, key, "left")
 
 
 def equal_as_blank(left: Column, right: Column) -> Column:

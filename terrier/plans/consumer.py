@@ -1,25 +1,26 @@
 """Queries that readers ask of the star schema.
 
-Dimensions are joined to finished groups or to the few rows a ranking keeps, never to all sales.
+Here dimensions are joined to finished groups or to the few rows a ranking keeps, not to all sales.
 """
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrier.functions.keys import premises_is
-from terrier.functions.numbers import in_period, price_per_m2
+from terrier.functions.numbers import price_per_m2
 from terrier.functions.scoring import level_rank
 from terrier.operators.quantiles import Quantile, Summary, summarise
+from terrier.plans.fact import sold_between, sold_in
 from terrier.plans.kpi import APARTMENT
 from terrier.plans.reports import share_of_total
 
-# Match levels that locate a sale precisely; lengths of the rankings.
+# Match levels that locate a sale precisely.
 PRECISE_LEVELS = ("EXACT", "SANS_TYPE")
-TOP_MEDIAN, TOP_PRECISE, TOP_ACTIVE = 20, 100, 10
 
 
 def _month() -> Column:
@@ -38,9 +39,9 @@ def _commune_names(communes: DataFrame) -> DataFrame:
     return communes.select("COMMUNE_ID", "COMMUNE", "CODE_DEPARTEMENT")
 
 
-def median_by_commune(fact: DataFrame, communes: DataFrame, year: int) -> DataFrame:
-    """Communes of highest median price in one year."""
-    sold = fact.where(in_period("DATE_MUTATION", year) & F.col("COMMUNE_ID").isNotNull())
+def median_by_commune(fact: DataFrame, communes: DataFrame, year: int, top: int = 20) -> DataFrame:
+    """The ``top`` communes of highest median price in one year."""
+    sold = sold_in(fact, year).where(F.col("COMMUNE_ID").isNotNull())
     spec = Summary(
         F.col("VALEUR_FONCIERE"), {"prix_median": Quantile()}, counts={"nb_transactions": None}
     )
@@ -49,7 +50,7 @@ def median_by_commune(fact: DataFrame, communes: DataFrame, year: int) -> DataFr
         groups.join(_commune_names(communes), "COMMUNE_ID")
         .select("COMMUNE", "CODE_DEPARTEMENT", "prix_median", "nb_transactions")
         .orderBy(F.desc("prix_median"), "COMMUNE", "CODE_DEPARTEMENT")
-        .limit(TOP_MEDIAN)
+        .limit(top)
     )
 
 
@@ -66,7 +67,8 @@ def mean_price_by_type(fact: DataFrame, types: DataFrame) -> DataFrame:
 
 def monthly_trend(fact: DataFrame, today: dt.date, years: int = 2) -> DataFrame:
     """Sales, median price and volume per month over the years before ``today``."""
-    recent = fact.where(F.col("DATE_MUTATION") >= F.add_months(F.lit(today), -12 * years))
+    last = calendar.monthrange(today.year - years, today.month)[1]  # the 29th of February may be missing
+    recent = sold_between(fact, dt.date(today.year - years, today.month, min(today.day, last)))
     spec = Summary(
         F.col("VALEUR_FONCIERE"),
         {"prix_median": Quantile()},
@@ -85,27 +87,24 @@ def monthly_apartment_price(fact: DataFrame) -> DataFrame:
 
 
 def precisely_located(
-    fact: DataFrame, enriched: DataFrame, since: dt.date, premises: str = APARTMENT
+    fact: DataFrame, enriched: DataFrame, since: dt.date, premises: str = APARTMENT, top: int = 100
 ) -> DataFrame:
-    """Most expensive sales of one premises type at a precisely known place.
+    """The ``top`` most expensive sales of one premises type at a precisely known place.
 
     A sale with a match level has its address in the dimension, so ranking before the join drops
     nothing, and the join meets only the ranked sales.
     """
     order = [F.desc("VALEUR_FONCIERE"), F.asc("ADDRESS_ID"), F.asc("SURFACE_REELLE_BATI")]
-    top = (
-        fact.where(
-            F.col("GEOCODING_MATCH_LEVEL").isin(*PRECISE_LEVELS)
-            & (F.col("DATE_MUTATION") >= F.lit(since))
-            & premises_is(premises)
-        )
+    ranked = (
+        sold_between(fact, since)
+        .where(F.col("GEOCODING_MATCH_LEVEL").isin(*PRECISE_LEVELS) & premises_is(premises))
         .select("ADDRESS_ID", "VALEUR_FONCIERE", "SURFACE_REELLE_BATI")
         .orderBy(*order)
-        .limit(TOP_PRECISE)
+        .limit(top)
     )
     places = enriched.select("ADDRESS_ID", "ADDRESS_FULL", "LONGITUDE", "LATITUDE")
     return (
-        places.join(F.broadcast(top), "ADDRESS_ID")  # at most TOP_PRECISE rows
+        places.join(F.broadcast(ranked), "ADDRESS_ID")  # at most ``top`` rows
         .orderBy(*order)
         .select(
             "ADDRESS_FULL", "LONGITUDE", "LATITUDE", "VALEUR_FONCIERE", "SURFACE_REELLE_BATI",
@@ -122,7 +121,7 @@ def geocoding_quality(fact: DataFrame) -> DataFrame:
     )
 
 
-def most_active_communes(fact: DataFrame, communes: DataFrame) -> DataFrame:
+def most_active_communes(fact: DataFrame, communes: DataFrame, top: int = 10) -> DataFrame:
     groups = fact.where(F.col("COMMUNE_ID").isNotNull()).groupBy("COMMUNE_ID").agg(
         F.count(F.lit(1)).alias("nb_transactions"), F.sum("VALEUR_FONCIERE").alias("volume_total")
     )
@@ -130,5 +129,5 @@ def most_active_communes(fact: DataFrame, communes: DataFrame) -> DataFrame:
         groups.join(_commune_names(communes), "COMMUNE_ID")
         .select("COMMUNE", "CODE_DEPARTEMENT", "nb_transactions", "volume_total")
         .orderBy(F.desc("nb_transactions"), "COMMUNE", "CODE_DEPARTEMENT")
-        .limit(TOP_ACTIVE)
+        .limit(top)
     )

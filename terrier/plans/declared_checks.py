@@ -7,36 +7,40 @@ from terrier.operators.checks import Check
 
 # Columns per table that must be present.
 NOT_NULL = {
-    "stg_dvf_transactions": "DATE_MUTATION VALEUR_FONCIERE",
-    "stg_ban_addresses": "ID CODE_POSTAL CODE_INSEE",
+    "stg_dvf_transactions": ("DATE_MUTATION", "VALEUR_FONCIERE"),
+    "stg_ban_addresses": ("ID", "CODE_POSTAL", "CODE_INSEE"),
     "stg_ban_addresses_normalized": (
-        "BAN_ID MATCH_KEY_EXACT MATCH_KEY_SANS_TYPE MATCH_KEY_VOIE MATCH_KEY_CODE_POSTAL "
-        "MATCH_KEY_COMMUNE LONGITUDE LATITUDE QUALITY_SCORE TYPE_POSITION"
+        "BAN_ID", "MATCH_KEY_EXACT", "MATCH_KEY_SANS_TYPE", "MATCH_KEY_VOIE",
+        "MATCH_KEY_CODE_POSTAL", "MATCH_KEY_COMMUNE", "LONGITUDE", "LATITUDE", "QUALITY_SCORE",
+        "TYPE_POSITION",
     ),
-    "dim_address": "ADDRESS_ID CODE_POSTAL COMMUNE CODE_DEPARTEMENT CREATED_AT",
+    "dim_address": ("ADDRESS_ID", "CODE_POSTAL", "COMMUNE", "CODE_DEPARTEMENT", "CREATED_AT"),
     "dim_address_enriched": (
-        "ADDRESS_ID CODE_POSTAL COMMUNE CODE_DEPARTEMENT MATCH_LEVEL MATCH_SCORE CREATED_AT "
-        "UPDATED_AT"
+        "ADDRESS_ID", "CODE_POSTAL", "COMMUNE", "CODE_DEPARTEMENT", "MATCH_LEVEL",
+        "MATCH_SCORE", "CREATED_AT", "UPDATED_AT",
+    ),
+    "dim_code_postal": ("CODE_POSTAL_ID", "CODE_POSTAL", "CODE_DEPARTEMENT", "CREATED_AT"),
+    "dim_commune": ("COMMUNE_ID", "COMMUNE", "CODE_DEPARTEMENT", "CREATED_AT"),
+    "dim_parcelle": ("PARCELLE_ID", "IS_PARTIAL", "CREATED_AT"),
+    "dim_type_local": ("TYPE_LOCAL_ID", "TYPE_LOCAL", "CREATED_AT", "SOURCE_SYSTEM"),
+    "gold_kpi_france": (
+        "ANNEE", "PRIX_MEDIAN_M2", "NB_VENTES", "NB_VENTES_APPARTEMENT", "NB_VENTES_MAISON",
     ),
-    "dim_code_postal": "CODE_POSTAL_ID CODE_POSTAL CODE_DEPARTEMENT CREATED_AT",
-    "dim_commune": "COMMUNE_ID COMMUNE CODE_DEPARTEMENT CREATED_AT",
-    "dim_parcelle": "PARCELLE_ID IS_PARTIAL CREATED_AT",
-    "dim_type_local": "TYPE_LOCAL_ID TYPE_LOCAL CREATED_AT SOURCE_SYSTEM",
-    "gold_kpi_france": "ANNEE PRIX_MEDIAN_M2 NB_VENTES NB_VENTES_APPARTEMENT NB_VENTES_MAISON",
     "gold_kpi_departement": (
-        "CODE_DEPARTEMENT NOM_DEPARTEMENT ANNEE PRIX_MEDIAN_M2 NB_VENTES NB_VENTES_APPARTEMENT "
-        "NB_VENTES_MAISON LATITUDE_CENTROID LONGITUDE_CENTROID"
+        "CODE_DEPARTEMENT", "NOM_DEPARTEMENT", "ANNEE", "PRIX_MEDIAN_M2", "NB_VENTES",
+        "NB_VENTES_APPARTEMENT", "NB_VENTES_MAISON", "LATITUDE_CENTROID", "LONGITUDE_CENTROID",
     ),
     "fct_mutation": (
-        "ADDRESS_ID ADDRESS_MATCH_STRATEGY DATE_MUTATION NATURE_MUTATION CREATED_AT"
+        "ADDRESS_ID", "ADDRESS_MATCH_STRATEGY", "DATE_MUTATION", "NATURE_MUTATION",
+        "CREATED_AT",
     ),
     "gold_kpi_commune": (
-        "CODE_COMMUNE CODE_DEPARTEMENT ANNEE PRIX_MEDIAN_M2 NB_VENTES LATITUDE_CENTROID "
-        "LONGITUDE_CENTROID HAS_SUFFICIENT_DATA"
+        "CODE_COMMUNE", "CODE_DEPARTEMENT", "ANNEE", "PRIX_MEDIAN_M2", "NB_VENTES",
+        "LATITUDE_CENTROID", "LONGITUDE_CENTROID", "HAS_SUFFICIENT_DATA",
     ),
     "gold_kpi_code_postal": (
-        "CODE_POSTAL ANNEE PRIX_MEDIAN_M2 NB_VENTES LATITUDE_CENTROID LONGITUDE_CENTROID "
-        "HAS_SUFFICIENT_DATA"
+        "CODE_POSTAL", "ANNEE", "PRIX_MEDIAN_M2", "NB_VENTES", "LATITUDE_CENTROID",
+        "LONGITUDE_CENTROID", "HAS_SUFFICIENT_DATA",
     ),
 }
 
@@ -79,7 +83,7 @@ KPI_TABLES = (
 
 def declared_checks() -> list[Check]:
     return [
-        *(Check(m, c, "not_null") for m, cols in NOT_NULL.items() for c in cols.split()),
+        *(Check(m, c, "not_null") for m, cols in NOT_NULL.items() for c in cols),
         *(Check(m, c, "unique") for m, c in UNIQUE.items()),
         *(Check(m, c, "accepted_values", values=v) for (m, c), v in ACCEPTED.items()),
         *(

@@ -9,11 +9,13 @@ Two forms with equal results when all dimensions come from the same staged sales
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrier.functions import keys, scoring, text
-from terrier.functions.numbers import try_parse_count
+from terrier.functions.numbers import period, try_parse_count
 from terrier.operators.lookup import equal_as_blank
 from terrier.plans.dims import PARCEL_COLUMNS
 from terrier.plans.geocode import ADDRESS_COLUMNS
@@ -33,6 +35,34 @@ FACT_COLUMNS = [
 ]
 
 
+# Column by which the stored fact is split.
+YEAR_COLUMN = "ANNEE"
+
+
+def by_year(sales: DataFrame) -> DataFrame:
+    """The fact with the year it is stored under."""
+    return sales.withColumn(YEAR_COLUMN, F.year("DATE_MUTATION"))
+
+
+def sold_between(sales: DataFrame, start: dt.date, end: dt.date | None = None) -> DataFrame:
+    """Sales from ``start`` on and before ``end``.
+
+    A stored fact is split by year: naming the years as well leaves the other folders unread.
+    """
+    wanted = F.col("DATE_MUTATION") >= F.lit(start)
+    if end is not None:
+        wanted &= F.col("DATE_MUTATION") < F.lit(end)
+    if YEAR_COLUMN in sales.columns:
+        wanted &= F.col(YEAR_COLUMN) >= start.year
+        if end is not None:
+            wanted &= F.col(YEAR_COLUMN) <= (end - dt.timedelta(days=1)).year
+    return sales.where(wanted)
+
+
+def sold_in(sales: DataFrame, year: int, quarter: int | None = None) -> DataFrame:
+    return sold_between(sales, *period(year, quarter))
+
+
 def clean_sales(staged: DataFrame) -> DataFrame:
     """Sale lines with normalised key columns and typed measures."""
     return staged.where(F.col("NATURE_MUTATION").isin(*KEPT_NATURES)).select(

@@ -7,15 +7,13 @@ fans out, and the first level that hits wins by coalescing whole payload structs
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrier.functions import keys, text
 from terrier.functions.scoring import MATCH_SCORES
 from terrier.operators.dedup import best_per_key, distinct_blank_insensitive
-from terrier.operators.lookup import BROADCAST_ROWS, lookup_left, lookup_left_measured
+from terrier.operators.lookup import lookup_left
 from terrier.session import written
 
 ADDRESS_COLUMNS = [
@@ -50,10 +48,6 @@ MATCHED_COLUMNS = [
     "MATCH_KEY_CODE_POSTAL",
 ]
 
-# A street or postcode may be shared by very many sale addresses: rows of one key are spread over
-# this many tasks. The postcode side has one row per postcode and commune and is usually broadcast.
-STREET_SALTS, POSTCODE_SALTS = 4, 32
-
 
 def normalised_address(sales: DataFrame, *others: str | Column) -> DataFrame:
     """The six address components in their normalised form, with further columns."""
@@ -185,14 +179,25 @@ def commune_centroids(register: DataFrame) -> DataFrame:
     return area_centroids(register, key, "COMMUNE", "MUNICIPALITY")
 
 
-def level_sides(register: DataFrame) -> dict[str, DataFrame]:
-    """Reduced register per match level, as ``(key, payload)``."""
-    return {
-        "EXACT": exact_winners(register),
-        "SANS_TYPE": untyped_winners(register),
-        "VOIE_SEULE": street_winners(register),
-        "CODE_POSTAL": postcode_centroids(register),
-    }
+# Register reduced to one row per key, as ``(key, payload)``, and its key column, by match level.
+LEVEL_SIDES = {
+    "EXACT": exact_winners,
+    "SANS_TYPE": untyped_winners,
+    "VOIE_SEULE": street_winners,
+    "CODE_POSTAL": postcode_centroids,
+}
+LEVEL_KEYS = {
+    "EXACT": "MATCH_KEY_EXACT",
+    "SANS_TYPE": "MATCH_KEY_SANS_TYPE",
+    "VOIE_SEULE": "MATCH_KEY_VOIE",
+    "CODE_POSTAL": "MATCH_KEY_CODE_POSTAL",
+}
+
+
+def asked_for(register: DataFrame, level: str, keyed: DataFrame) -> DataFrame:
+    """Register rows whose key of that level some address has."""
+    asked = keyed.select(F.col("key").alias(LEVEL_KEYS[level])).distinct()
+    return register.join(asked, LEVEL_KEYS[level], "left_semi")
 
 
 def identified_addresses(staged: DataFrame) -> DataFrame:
@@ -230,8 +235,8 @@ def matches_by_level(staged: DataFrame, register: DataFrame) -> dict[str, DataFr
     """
     addresses = identified_addresses(staged)
     found: dict[str, DataFrame] = {}
-    for level, side in level_sides(register).items():
-        found[level] = match_level(unmatched(addresses, *found.values()), side, level)
+    for level, side in LEVEL_SIDES.items():
+        found[level] = match_level(unmatched(addresses, *found.values()), side(register), level)
     found["COMMUNE"] = match_commune(unmatched(addresses, *found.values()), register)
     rest = unmatched(addresses, *found.values())
     found["NO_MATCH"] = rest.select("*", payload_struct("NO_MATCH").alias("p")).select(
@@ -240,38 +245,30 @@ def matches_by_level(staged: DataFrame, register: DataFrame) -> dict[str, DataFr
     return found
 
 
-def dim_address_enriched(
-    staged: DataFrame, register: DataFrame, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def dim_address_enriched(staged: DataFrame, register: DataFrame) -> DataFrame:
     """Distinct sale addresses with their best register match.
 
     Every level reads the register, and normalising its text costs far more than reading it back:
-    it is written once, without the columns no level needs. That and the few rows of the postcode
-    level are jobs of their own; the rest is lazy.
+    it is written once, without the columns no level needs. A level works on the addresses that the
+    better levels left: found ones leave the flow with their payload, the rest is written, so that
+    the next level's join is planned by its real size. The register side of a level is first cut to
+    the keys that the addresses left ask for.
     """
-    sides = level_sides(written(register.select(*MATCHED_COLUMNS), "register"))
-    matched = unique_addresses(staged).withColumn(
-        "best", F.lit(None).cast(sides["EXACT"].schema["payload"].dataType)
-    )
-    joins = {
-        "EXACT": partial(lookup_left, key="key"),
-        "SANS_TYPE": partial(lookup_left, key="key"),
-        "VOIE_SEULE": partial(
-            lookup_left, key="key", spread_by=ADDRESS_COLUMNS, salts=STREET_SALTS
-        ),
-        "CODE_POSTAL": partial(
-            lookup_left_measured, key="key", spread_by=ADDRESS_COLUMNS, salts=POSTCODE_SALTS,
-            limit=broadcast_rows,
-        ),
-    }
+    stored = written(register.select(*MATCHED_COLUMNS), "register")
+    rest = written(unique_addresses(staged), "addresses")
+    found = []
     for level, key in sale_match_keys().items():
-        joined = joins[level](matched.withColumn("key", key), sides[level])
-        matched = joined.select(*ADDRESS_COLUMNS, F.coalesce("best", "payload").alias("best"))
-    found = matched.withColumn("best", F.coalesce("best", payload_struct("NO_MATCH")))
-    return found.select(
+        keyed = rest.withColumn("key", key)
+        joined = written(lookup_left(keyed, LEVEL_SIDES[level](asked_for(stored, level, keyed)), "key"), level)
+        found.append(joined.where(F.col("payload").isNotNull()).select(*ADDRESS_COLUMNS, "payload"))
+        rest = joined.where(F.col("payload").isNull()).select(*ADDRESS_COLUMNS)
+    matched = rest.withColumn("payload", payload_struct("NO_MATCH"))
+    for part in found:
+        matched = matched.unionByName(part)
+    return matched.select(
         keys.address_id(*ADDRESS_COLUMNS).alias("ADDRESS_ID"),
-        "best.BAN_ID",
+        "payload.BAN_ID",
         *ADDRESS_COLUMNS,
         text.address_label_full(*ADDRESS_COLUMNS[:5]).alias("ADDRESS_FULL"),
-        *(f"best.{c}" for c in PAYLOAD if c != "BAN_ID"),
+        *(f"payload.{c}" for c in PAYLOAD if c != "BAN_ID"),
     )

@@ -13,6 +13,7 @@ from terrier.functions.numbers import in_period, price_per_m2
 from terrier.operators.geo import cell
 from terrier.operators.quantiles import Quantile, Summary, summarise
 from terrier.plans.geocode import POSITION_COLUMNS
+from terrier.plans.fact import sold_in
 from terrier.plans.kpi import eligible
 from terrier.session import written
 
@@ -29,14 +30,14 @@ def filter_sales(
 ) -> DataFrame:
     """Sales by premises type, period and price range; every filter is optional."""
     price = F.col("VALEUR_FONCIERE")
-    wanted = in_period("DATE_MUTATION", year, quarter)
+    wanted = in_period("DATE_MUTATION", year, quarter) if year is None else F.lit(True)
     if premises is not None:
         wanted &= premises_is(premises)
     if min_price is not None:
         wanted &= price >= min_price
     if max_price is not None:
         wanted &= price <= max_price
-    return fact.where(wanted)
+    return (fact if year is None else sold_in(fact, year, quarter)).where(wanted)
 
 
 def zone_statistics(fact: DataFrame, zone: list[str]) -> DataFrame:
@@ -61,7 +62,9 @@ def price_evolution(fact: DataFrame, period: str = "quarter") -> DataFrame:
 def compare_communes(fact: DataFrame, communes: DataFrame, names: Sequence[str]) -> DataFrame:
     """Median price per square metre, one column per commune name and one row per year."""
     chosen = communes.where(F.col("COMMUNE").isin(*names)).select("COMMUNE_ID", "COMMUNE")
-    sold = eligible(fact).join(chosen, "COMMUNE_ID")
+    # Written: the two passes of the medians read the few chosen sales, not the join.
+    sold = eligible(fact).select("COMMUNE_ID", "ANNEE", "PRIX_M2").join(chosen, "COMMUNE_ID")
+    sold = written(sold, "chosen-sales")
     medians = summarise(sold, ["ANNEE", "COMMUNE"], Summary(F.col("PRIX_M2"), {"m": Quantile()}))
     return medians.groupBy("ANNEE").pivot("COMMUNE", list(names)).agg(F.max("m")).orderBy("ANNEE")
 
@@ -91,13 +94,17 @@ def price_bands(fact: DataFrame, width: int) -> DataFrame:
 def moving_average(fact: DataFrame, communes: DataFrame, months: int = 12) -> DataFrame:
     """Mean price per square metre per département over the last ``months`` calendar months.
 
-    Monthly sums come first; the window then runs over one row per month.
+    Monthly sums per commune come first: communes are joined to them, not to sales. The window then
+    runs over one row per month.
     """
     zones = communes.where(F.col("CODE_DEPARTEMENT").isNotNull())
-    sold = eligible(fact).join(zones.select("COMMUNE_ID", "CODE_DEPARTEMENT"), "COMMUNE_ID")
-    monthly = sold.groupBy("CODE_DEPARTEMENT", F.trunc("DATE_MUTATION", "month").alias("mois")).agg(
+    local = eligible(fact).groupBy("COMMUNE_ID", F.trunc("DATE_MUTATION", "month").alias("mois")).agg(
         F.sum("PRIX_M2").alias("_sum"), F.count("PRIX_M2").alias("_n")
     )
+    placed = local.join(zones.select("COMMUNE_ID", "CODE_DEPARTEMENT"), "COMMUNE_ID")
+    monthly = placed.groupBy("CODE_DEPARTEMENT", "mois").agg(
+        F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n")
+    )
     index = F.year("mois") * F.lit(12) + F.month("mois")
     window = (
         Window.partitionBy("CODE_DEPARTEMENT").orderBy("_i").rangeBetween(-(months - 1), 0)

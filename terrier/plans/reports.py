@@ -14,12 +14,6 @@ TOTAL_LABEL = "Total adresses"
 GEOCODED_LABEL = "Adresses géocodées"
 IDENTIFIED_LABEL = "Adresses avec BAN_ID"
 
-# Smallest reported commune and length of that ranking; sales that make an unlocated
-# commune suspicious and length of that ranking; addresses shown per match level.
-MIN_COMMUNE_ADDRESSES, WORST_COMMUNES = 10, 10
-SUSPICIOUS_SALES, SUSPICIOUS_CENTROIDS = 100, 20
-SAMPLE_PER_LEVEL = 5
-
 REPORT_SCHEMA = {
     "section": "string", "match_level": "string", "match_score": "int",
     "nb_addresses": "bigint", "pct_addresses": "double",
@@ -106,7 +100,7 @@ def position_type_distribution(enriched: DataFrame) -> DataFrame:
 
 
 def sample_by_level(
-    enriched: DataFrame, per_level: int = SAMPLE_PER_LEVEL, seed: int | None = None
+    enriched: DataFrame, per_level: int = 5, seed: int | None = None
 ) -> DataFrame:
     """Some addresses of every match level: random with a seed, else by hash of the identifier.
 
@@ -127,21 +121,26 @@ def sample_by_level(
     )
 
 
-def worst_communes(enriched: DataFrame) -> DataFrame:
+def large_communes(enriched: DataFrame, min_addresses: int = 10, **measures: Column) -> DataFrame:
+    """Communes of at least so many addresses, with further measures."""
+    return (
+        enriched.groupBy("COMMUNE", "CODE_DEPARTEMENT")
+        .agg(F.count(F.lit(1)).alias("nb_addresses"), *(c.alias(n) for n, c in measures.items()))
+        .where(F.col("nb_addresses") >= min_addresses)
+    )
+
+
+def worst_communes(enriched: DataFrame, min_addresses: int = 10, top: int = 10) -> DataFrame:
+    """The ``top`` communes by share of addresses matched at a low level."""
     rows = F.count(F.lit(1))
     low = F.count_if(F.col("MATCH_LEVEL").isin(*LOW_QUALITY_LEVELS))
     return (
-        enriched.where(F.col("COMMUNE").isNotNull())
-        .groupBy("COMMUNE", "CODE_DEPARTEMENT")
-        .agg(
-            rows.alias("nb_addresses"),
-            low.alias("nb_low_quality"),
-            percent(low, rows).alias("pct_low_quality"),
-            ratio(F.sum("MATCH_SCORE"), rows).alias("avg_match_score"),
+        large_communes(
+            enriched.where(F.col("COMMUNE").isNotNull()), min_addresses, nb_low_quality=low,
+            pct_low_quality=percent(low, rows), avg_match_score=ratio(F.sum("MATCH_SCORE"), rows),
         )
-        .where(F.col("nb_addresses") >= MIN_COMMUNE_ADDRESSES)
         .orderBy(F.desc("pct_low_quality"), "COMMUNE", "CODE_DEPARTEMENT")
-        .limit(WORST_COMMUNES)
+        .limit(top)
     )
 
 
@@ -160,35 +159,41 @@ def _title(spark, text: str) -> DataFrame:
 
 
 def quality_report(enriched: DataFrame) -> DataFrame:
-    """Level distribution and coverage as labelled sections of one table."""
+    """Level distribution and coverage as labelled sections of one table.
+
+    Two passes over the dimension: the rows of the coverage section are one aggregate row, taken apart.
+    """
     spark = enriched.sparkSession
     levels, coverage = match_level_distribution(enriched), geographic_coverage(enriched)
-    parts = [
-        _title(spark, SECTION_LEVELS),
-        _report_rows(levels, **{c.lower(): c for c in levels.columns}),
-        _title(spark, SECTION_COVERAGE),
-        _report_rows(coverage, section=F.lit(TOTAL_LABEL), nb_addresses="total_addresses"),
-        _report_rows(
-            coverage, section=F.lit(GEOCODED_LABEL), nb_addresses="addresses_with_gps",
-            pct_addresses="pct_geocoded",
-        ),
-        _report_rows(
-            coverage, section=F.lit(IDENTIFIED_LABEL), nb_addresses="addresses_with_ban_id",
-            pct_addresses="pct_with_ban_id",
-        ),
+    lines = [
+        (TOTAL_LABEL, "total_addresses", None),
+        (GEOCODED_LABEL, "addresses_with_gps", "pct_geocoded"),
+        (IDENTIFIED_LABEL, "addresses_with_ban_id", "pct_with_ban_id"),
     ]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    apart = coverage.select(F.inline(F.array(*(
+        F.struct(F.lit(label).alias("label"), F.col(n).cast("bigint").alias("n"),
+                 (F.col(share) if share else F.lit(None)).cast("double").alias("share"))
+        for label, n, share in lines
+    ))))
+    return (
+        _title(spark, SECTION_LEVELS)
+        .unionByName(_report_rows(levels, **{c.lower(): c for c in levels.columns}))
+        .unionByName(_title(spark, SECTION_COVERAGE))
+        .unionByName(_report_rows(apart, section="label", nb_addresses="n", pct_addresses="share"))
+    )
 
 
-def suspicious_centroids(kpi_commune: DataFrame) -> DataFrame:
-    """Communes with many sales and no position."""
+def missing_centroids(kpis: DataFrame, min_sales: int = 100) -> DataFrame:
+    """Zones with more than so many sales and no position."""
     nowhere = (F.col("LATITUDE_CENTROID") == 0) | (F.col("LONGITUDE_CENTROID") == 0)
+    return kpis.where(nowhere & (F.col("NB_VENTES") > min_sales))
+
+
+def suspicious_centroids(kpi_commune: DataFrame, min_sales: int = 100, top: int = 20) -> DataFrame:
+    """The ``top`` communes by sales among those with many sales and no position."""
     return (
-        kpi_commune.where(nowhere & (F.col("NB_VENTES") > SUSPICIOUS_SALES))
+        missing_centroids(kpi_commune, min_sales)
         .select("CODE_COMMUNE", "NOM_COMMUNE", "NB_VENTES", "LATITUDE_CENTROID", "LONGITUDE_CENTROID")
         .orderBy(F.desc("NB_VENTES"), "CODE_COMMUNE", "NOM_COMMUNE")
-        .limit(SUSPICIOUS_CENTROIDS)
+        .limit(top)
     )

@@ -3,15 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrier.plans import dims, fact, geocode, kpi, silver
-from terrier.sources.files import overwrite_table
+from terrier.session import written
+from terrier.sources.files import overwrite_table, table_path
 from terrier.sources.seeds import ref_departements
 
+SALE_COLUMNS = (*geocode.ADDRESS_COLUMNS, *dims.PARCEL_COLUMNS, "TYPE_LOCAL", *fact.MEASURES)
+
+# Tables that may be built at the same time, in order of dependency.
+BUILD_STEPS = (
+    ("dim_address", "dim_address_enriched", "dim_code_postal", "dim_parcelle", "dim_type_local"),
+    ("dim_commune", "fct_mutation"),
+    ("gold_kpi_france", "gold_kpi_departement", "gold_kpi_commune", "gold_kpi_code_postal"),
+)
 GOLD_TABLES = (
     "dim_address", "dim_address_enriched", "dim_code_postal", "dim_commune", "dim_parcelle",
     "dim_type_local", "fct_mutation", "gold_kpi_france", "gold_kpi_departement",
@@ -35,16 +45,20 @@ def with_audit(name: str, df: DataFrame) -> DataFrame:
     return df.select("*", *(F.current_timestamp().alias(c) for c in AUDIT_COLUMNS.get(name, ())))
 
 
-def parquet_store(root: str, schema: str = "gold") -> Callable[[str, DataFrame], DataFrame]:
-    """Full refresh of every gold table below ``root/schema``; the fact is split by year."""
+def parquet_store(
+    root: str, schema: str = "gold", schemas: dict[str, str] | None = None
+) -> Callable[[str, DataFrame], DataFrame]:
+    """Full refresh of every gold table below ``root``; the fact is split by year.
+
+    A table goes to ``schema``, or to the schema of its own that ``schemas`` names.
+    """
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        path = f"{root.rstrip('/')}/{schema}/{name}"
+        path = table_path(root, name, schema, (schemas or {}).get(name))
         audited = with_audit(name, df)
         if name != "fct_mutation":
             return overwrite_table(audited, path)
-        dated = audited.withColumn("ANNEE", F.year("DATE_MUTATION"))
-        return overwrite_table(dated, path, ["ANNEE"])
+        return overwrite_table(fact.by_year(audited), path, [fact.YEAR_COLUMN])
 
     return store
 
@@ -53,7 +67,8 @@ class Star:
     """Tables of the star schema over two raw sources, each built on first use.
 
     ``store(name, df)`` keeps a gold table and returns what later tables read; without it every
-    table stays a lazy plan over the raw sources. Silver tables are never stored.
+    table stays a lazy plan over the raw sources. Silver tables are never stored, but a star that
+    stores its gold tables parses the raw sales once: six tables read them.
     """
 
     def __init__(
@@ -66,6 +81,7 @@ class Star:
         self.bronze_dvf = bronze_dvf
         self.bronze_ban = bronze_ban
         self.scale0 = scale0
+        self._stores = store is not None
         self._store = store or (lambda name, df: df)
 
     def table(self, name: str) -> DataFrame:
@@ -82,6 +98,12 @@ class Star:
     def stg_dvf_transactions(self) -> DataFrame:
         return silver.stg_dvf_transactions(self.bronze_dvf, self.scale0)
 
+    @cached_property
+    def sales(self) -> DataFrame:
+        """The staged sales that gold tables are built from, with the columns these need."""
+        staged = self.stg_dvf_transactions.select(*SALE_COLUMNS)
+        return written(staged, "sales") if self._stores else staged
+
     @cached_property
     def stg_ban_addresses(self) -> DataFrame:
         return silver.stg_ban_addresses(self.bronze_ban, self.scale0)
@@ -92,18 +114,18 @@ class Star:
 
     @cached_property
     def dim_address(self) -> DataFrame:
-        return self._gold("dim_address", dims.dim_address(self.stg_dvf_transactions))
+        return self._gold("dim_address", dims.dim_address(self.sales))
 
     @cached_property
     def dim_address_enriched(self) -> DataFrame:
         enriched = geocode.dim_address_enriched(
-            self.stg_dvf_transactions, self.stg_ban_addresses_normalized
+            self.sales, self.stg_ban_addresses_normalized
         )
         return self._gold("dim_address_enriched", enriched)
 
     @cached_property
     def dim_code_postal(self) -> DataFrame:
-        return self._gold("dim_code_postal", dims.dim_code_postal(self.stg_dvf_transactions))
+        return self._gold("dim_code_postal", dims.dim_code_postal(self.sales))
 
     @cached_property
     def dim_commune(self) -> DataFrame:
@@ -111,15 +133,15 @@ class Star:
 
     @cached_property
     def dim_parcelle(self) -> DataFrame:
-        return self._gold("dim_parcelle", dims.dim_parcelle(self.stg_dvf_transactions))
+        return self._gold("dim_parcelle", dims.dim_parcelle(self.sales))
 
     @cached_property
     def dim_type_local(self) -> DataFrame:
-        return self._gold("dim_type_local", dims.dim_type_local(self.stg_dvf_transactions))
+        return self._gold("dim_type_local", dims.dim_type_local(self.sales))
 
     @cached_property
     def fct_mutation(self) -> DataFrame:
-        sales = fact.fct_mutation(self.stg_dvf_transactions, self.dim_address_enriched)
+        sales = fact.fct_mutation(self.sales, self.dim_address_enriched)
         return self._gold("fct_mutation", sales)
 
     @cached_property
@@ -147,6 +169,11 @@ class Star:
         )
 
 
-def build_all(star: Star) -> dict[str, DataFrame]:
-    """Build every gold table in dependency order."""
+def build_all(star: Star, threads: int = 4) -> dict[str, DataFrame]:
+    """Build every gold table in dependency order, independent ones at the same time."""
+    for shared in ("sales", "stg_ban_addresses_normalized", "ref_departements"):
+        star.table(shared)
+    with ThreadPoolExecutor(threads) as pool:
+        for step in BUILD_STEPS:
+            list(pool.map(star.table, step))
     return {name: star.table(name) for name in GOLD_TABLES}

@@ -7,28 +7,41 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from terrier.functions import keys, numbers, scoring, text
-from terrier.plans import kpi, silver
+from terrier.plans import kpi, reports, silver
+from terrier.plans.fact import YEAR_COLUMN, by_year
 from terrier.plans.geocode import ADDRESS_COLUMNS, geocodable, normalised_address
-from terrier.plans.reports import SUSPICIOUS_SALES
+from terrier.plans.warehouse import parquet_store
 from terrier.registry import oracle_tables as o
 from terrier.registry.core import as_double, outcomes, outcomes_sql, register
 from terrier.session import scratch_path
 from terrier.sources import files
-from terrier.sources.bronze import REGISTER_COLUMNS, SALES_COLUMNS, SALES_SCHEMA
-from terrier.sources.bronze import derived_register, derived_sales
+from terrier.sources.bronze import REGISTER_COLUMNS, REGISTER_SCHEMA, SALES_COLUMNS, SALES_SCHEMA
+from terrier.sources.bronze import derived_register, derived_sales, read_raw
+
+# The test tables have no commune of more than 107 sales.
+MIN_SALES = 10
 
 SALES_LIST, REGISTER_LIST = ", ".join(SALES_COLUMNS), ", ".join(REGISTER_COLUMNS)
 
 # ---------------------------------------------------------------- sources and sinks
 
+
+
+def _raw(c, df, schema):
+    """A raw source at rest, read with its fixed schema."""
+    path = scratch_path(c.spark, "raw")
+    df.write.parquet(path)
+    return read_raw(c.spark, path, schema)
+
+
 register(
     "src_1_raw_sales",
-    lambda c: derived_sales(c.spark, c.folder),
+    lambda c: _raw(c, derived_sales(c.spark, c.folder), SALES_SCHEMA),
     f"SELECT {SALES_LIST} FROM bronze_dvf",
 )
 register(
     "src_2_raw_register",
-    lambda c: derived_register(c.spark, c.folder),
+    lambda c: _raw(c, derived_register(c.spark, c.folder), REGISTER_SCHEMA),
     f"SELECT {REGISTER_LIST} FROM bronze_ban",
 )
 register(
@@ -50,7 +63,7 @@ def _ingested(c):
     loaded = files.read_partitioned(c.spark, target, SALES_SCHEMA, ["annee", "departement"])
     return outcomes(
         loaded, annee=F.col("annee"), departement=F.col("departement"),
-        type_local=F.col("TYPE_LOCAL"), no_voie=F.col("NO_VOIE"), no_volume=F.col("NO_VOLUME"),
+        **{c: F.col(c) for c in SALES_COLUMNS},
     )
 
 
@@ -59,7 +72,7 @@ register(
     _ingested,
     outcomes_sql(
         "bronze_dvf", annee="substr(DATE_MUTATION, 7, 4)", departement="CODE_DEPARTEMENT",
-        type_local="TYPE_LOCAL", no_voie="NO_VOIE", no_volume="NO_VOLUME",
+        **{c: c for c in SALES_COLUMNS},
     ),
 )
 
@@ -75,8 +88,10 @@ register("snk_1_silver_view", _view, outcomes_sql("ban", TYPE_POSITION="TYPE_POS
 
 
 def _table(c):
-    sales = c.gold.fct_mutation.withColumn("ANNEE", F.year("DATE_MUTATION"))
-    stored = files.overwrite_table(sales, scratch_path(c.spark, "fact_by_year"), ["ANNEE"])
+    path = scratch_path(c.spark, "fact_by_year")
+    files.overwrite_table(c.gold.dim_commune, path)  # replaced by the version that follows
+    files.overwrite_table(by_year(c.gold.fct_mutation), path, [YEAR_COLUMN])
+    stored = files.read_table(c.spark, path)
     return as_double(
         stored.groupBy("ANNEE").agg(
             F.count(F.lit(1)).alias("n"), F.sum("VALEUR_FONCIERE").alias("volume")
@@ -94,15 +109,22 @@ register(
 
 
 def _namespaces(c):
-    name = files.table_name("type_local", "gold", " silver ")
-    return outcomes(c.gold.dim_type_local, nom=F.lit(name), source=F.col("SOURCE_SYSTEM"))
+    """Two tables stored under the default schema and one of their own, read back by name."""
+    root = scratch_path(c.spark, "warehouse")
+    store = parquet_store(root, "gold", {"dim_type_local": " silver "})
+    for name in ("dim_type_local", "dim_commune"):
+        store(name, c.gold.table(name).drop("CREATED_AT"))
+    types = files.read_table(c.spark, f"{root}/silver/dim_type_local")
+    communes = files.read_table(c.spark, f"{root}/gold/dim_commune")
+    return types.select(F.lit("silver").alias("schema_name"), F.col("TYPE_LOCAL").alias("libelle")).unionByName(
+        communes.select(F.lit("gold").alias("schema_name"), F.col("COMMUNE").alias("libelle")))
 
 
 register(
     "snk_3_schema_naming",
     _namespaces,
-    "SELECT 'silver.type_local' AS nom, SOURCE_SYSTEM AS source, count(*) AS n "
-    "FROM dim_type_local GROUP BY ALL",
+    """SELECT 'silver' AS schema_name, TYPE_LOCAL AS libelle FROM dim_type_local
+    UNION ALL SELECT 'gold', COMMUNE FROM dim_commune""",
 )
 
 
@@ -253,7 +275,7 @@ register(
         complet="CASE WHEN REPETITION IS NULL THEN NUMERO ELSE NUMERO || ' ' || REPETITION END",
     ),
 )
-_REGISTER_KEYS = "EXACT SANS_TYPE VOIE CODE_POSTAL COMMUNE".split()
+_REGISTER_KEYS = ("EXACT", "SANS_TYPE", "VOIE", "CODE_POSTAL", "COMMUNE")
 register(
     "prj_14_register_match_keys",
     lambda c: c.lazy.stg_ban_addresses_normalized.select(
@@ -344,13 +366,21 @@ register(
     ),
     outcomes_sql(
         "bronze_dvf", section="SECTION",
-        partiel="CASE WHEN SECTION IS NULL THEN 1 WHEN NO_PLAN IS NULL THEN 1 ELSE 0 END",
+        partiel="CASE WHEN SECTION IS NULL OR NO_PLAN IS NULL THEN 1 ELSE 0 END",
     ),
 )
 register(
     "prj_23_link_strategy",
-    lambda c: outcomes(c.gold.fct_mutation, strategie=F.col("ADDRESS_MATCH_STRATEGY")),
-    outcomes_sql("fct_mutation", strategie="ADDRESS_MATCH_STRATEGY"),
+    lambda c: outcomes(
+        c.gold.fct_mutation, strategie=F.col("ADDRESS_MATCH_STRATEGY"),
+        # All three labels: by register entry, else by INSEE code.
+        par_ban=scoring.link_strategy(F.col("BAN_ID"), F.col("CODE_INSEE")),
+    ),
+    outcomes_sql(
+        "fct_mutation", strategie="ADDRESS_MATCH_STRATEGY",
+        par_ban="CASE WHEN BAN_ID IS NOT NULL THEN 'MATCH_ADDRESS' "
+        "WHEN CODE_INSEE IS NOT NULL THEN 'FALLBACK_COMMUNE' ELSE 'NO_MATCH' END",
+    ),
 )
 register(
     "prj_24_price_per_m2",
@@ -381,7 +411,9 @@ register(
     ),
     outcomes_sql("dim_type_local", source="'DVF'", date="true"),
 )
-_EMPTY = "BAN_ID CODE_INSEE ID_FANTOIR LONGITUDE TYPE_POSITION BAN_QUALITY_SCORE NOM_AFNOR".split()
+_EMPTY = (
+    "BAN_ID", "CODE_INSEE", "ID_FANTOIR", "LONGITUDE", "TYPE_POSITION", "BAN_QUALITY_SCORE", "NOM_AFNOR",
+)
 register(
     "prj_27_typed_nulls",
     lambda c: outcomes(c.gold.dim_address_enriched, **{x: F.col(x) for x in _EMPTY}).where(
@@ -414,7 +446,8 @@ register(
 register(
     "flt_2_mandatory_fields",
     lambda c: silver.identified_register_rows(c.bronze_ban),
-    f"SELECT {REGISTER_LIST} FROM bronze_ban WHERE (id || code_postal || code_insee) IS NOT NULL",
+    f"""SELECT {REGISTER_LIST} FROM bronze_ban
+    WHERE id IS NOT NULL AND code_postal IS NOT NULL AND code_insee IS NOT NULL""",
 )
 register(
     "flt_3_metropolitan_box",
@@ -433,19 +466,17 @@ register(
 )
 register(
     "flt_6_missing_centroids",
-    lambda c: c.gold.gold_kpi_code_postal.where(
-        ((F.col("LATITUDE_CENTROID") == 0) | (F.col("LONGITUDE_CENTROID") == 0))
-        & (F.col("NB_VENTES") > SUSPICIOUS_SALES // 10)
-    ).select("CODE_POSTAL", "ANNEE", "NB_VENTES"),
-    """SELECT CODE_POSTAL, ANNEE, NB_VENTES FROM gold_kpi_code_postal
-    WHERE (LATITUDE_CENTROID = 0 OR LONGITUDE_CENTROID = 0) AND NB_VENTES > 10""",
+    lambda c: reports.missing_centroids(c.gold_scale0.gold_kpi_commune, MIN_SALES).select(
+        "CODE_COMMUNE", "NOM_COMMUNE", "ANNEE", "NB_VENTES"
+    ),
+    f"""SELECT CODE_COMMUNE, NOM_COMMUNE, ANNEE, NB_VENTES FROM gold_kpi_commune
+    WHERE (LATITUDE_CENTROID = 0 OR LONGITUDE_CENTROID = 0) AND NB_VENTES > {MIN_SALES}""",
+    scale0=True,
 )
 register(
     "flt_7_minimum_group_size",
-    lambda c: c.gold.dim_address_enriched.groupBy("COMMUNE", "CODE_DEPARTEMENT")
-    .agg(F.count(F.lit(1)).alias("n"))
-    .where(F.col("n") >= 10),
-    """SELECT COMMUNE, CODE_DEPARTEMENT, count(*) AS n FROM dim_address_enriched
+    lambda c: reports.large_communes(c.gold.dim_address_enriched),
+    """SELECT COMMUNE, CODE_DEPARTEMENT, count(*) AS nb_addresses FROM dim_address_enriched
     GROUP BY ALL HAVING count(*) >= 10""",
 )
 register(

@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrier.plans.fact import YEAR_COLUMN, by_year
 from terrier.plans.warehouse import Star, with_audit
 from terrier.registry.oracle_tables import oracle
 from terrier.session import written
@@ -43,10 +44,19 @@ class Context:
 
     @cached_property
     def gold(self) -> Star:
-        def store(name: str, df: DataFrame) -> DataFrame:
-            return written(with_audit(name, df), name)
+        return Star(self.bronze_dvf, self.bronze_ban, self._stored)
 
-        return Star(self.bronze_dvf, self.bronze_ban, store)
+    @cached_property
+    def gold_scale0(self) -> Star:
+        """The same star with whole amounts and coordinates."""
+        return Star(self.bronze_dvf, self.bronze_ban, self._stored, scale0=True)
+
+    @staticmethod
+    def _stored(name: str, df: DataFrame) -> DataFrame:
+        audited = with_audit(name, df)
+        if name != "fct_mutation":
+            return written(audited, name)
+        return written(by_year(audited), name, split_by=YEAR_COLUMN)
 
     @property
     def indicators(self) -> Star:
@@ -73,12 +83,14 @@ def context(spark: SparkSession, folder: str) -> Context:
     return _CONTEXTS[key]
 
 
-def register(key: str, run: Callable[[Context], DataFrame], sql: str | None = None) -> None:
+def register(
+    key: str, run: Callable[[Context], DataFrame], sql: str | None = None, scale0: bool = False
+) -> None:
     if key in QUERIES:
         raise ValueError(f"registered twice: {key}")
     QUERIES[key] = lambda spark, folder: run(context(spark, folder))
     if sql is not None:
-        ORACLES[key] = oracle(sql)
+        ORACLES[key] = oracle(sql, scale0)
 
 
 def outcomes(df: DataFrame, **columns: Column) -> DataFrame:

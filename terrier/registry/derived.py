@@ -6,10 +6,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from terrier.functions.keys import address_id
 from terrier.operators import geo, history
 from terrier.plans import dims, geocode, market
 from terrier.registry import oracle_tables as o
-from terrier.registry.core import as_double, outcomes, register, rounded
+from terrier.registry.core import as_double, register, rounded
 
 _HALF, _VOLUME = "CAST(sum(VALEUR_FONCIERE) AS DOUBLE) AS volume_total", ("volume_total",)
 _PRICE_MEDIAN = "median(CAST(VALEUR_FONCIERE AS DOUBLE)) AS prix_median"
@@ -163,13 +164,13 @@ def _near(c):
 register(
     "d_14_sales_near_sites",
     _near,
-    f"""SELECT s.BAN_ID, CAST(sum(p.ventes) AS BIGINT) AS nb_near, {_metre('min(d)')} AS nearest_m
+    f"""SELECT BAN_ID, CAST(sum(ventes) AS BIGINT) AS nb_near, {_metre('min(d)')} AS nearest_m
     FROM (SELECT s.BAN_ID, p.ventes,
         sqrt(power(s.X_LAMBERT93 - p.X_LAMBERT93, 2) + power(s.Y_LAMBERT93 - p.Y_LAMBERT93, 2)) AS d
       FROM ban s, (SELECT X_LAMBERT93, Y_LAMBERT93, count(*) AS ventes FROM fct_mutation
         JOIN dim_address_enriched USING (ADDRESS_ID) WHERE X_LAMBERT93 IS NOT NULL GROUP BY ALL) p
       WHERE s.TYPE_POSITION = 'MUNICIPALITY') x
-    WHERE d <= 150 GROUP BY BAN_ID""".replace("SELECT s.BAN_ID, CAST(sum(p.ventes)", "SELECT BAN_ID, CAST(sum(ventes)"),
+    WHERE d <= 150 GROUP BY BAN_ID""",
 )
 register(
     "d_15_price_hotspots",
@@ -189,14 +190,17 @@ register(
     lambda c: market.parcels_of_addresses(
         c.gold.dim_address_enriched,
         c.gold.dim_parcelle,
-        register_key=lambda code: F.regexp_extract(code, r"(\d{4})$", 1),
-        parcel_key=lambda _: F.lpad("NO_PLAN", 4, "0"),
+        # Section and plan: the register ends its codes with both, the plan in four digits.
+        register_key=lambda code: F.regexp_extract(code, r"([0-9A-Z]{2}\d{4,})$", 1),
+        parcel_key=lambda _: F.concat(
+            "SECTION", F.lpad("NO_PLAN", F.greatest(F.lit(4), F.length("NO_PLAN")), F.lit("0"))
+        ),
     ),
     """SELECT ADDRESS_ID, parcelle_ban, coalesce(n, 0) AS nb_parcelles_vente
     FROM (SELECT ADDRESS_ID, trim(unnest(string_split(replace(PARCELLES_CADASTRALES, ',', '|'), '|'))) AS parcelle_ban
       FROM dim_address_enriched) a
-    LEFT JOIN (SELECT lpad(NO_PLAN, 4, '0') AS plan, count(*) AS n FROM dim_parcelle GROUP BY 1) p
-      ON plan = right(parcelle_ban, 4)""",
+    LEFT JOIN (SELECT SECTION || repeat('0', 4 - length(NO_PLAN)) || NO_PLAN AS code, count(*) AS n
+      FROM dim_parcelle GROUP BY 1) p ON code = parcelle_ban""",
 )
 _POSITIONS = ("LONGITUDE", "LATITUDE", "X_LAMBERT93", "Y_LAMBERT93")
 register(
@@ -207,18 +211,15 @@ register(
     + " FROM ban GROUP BY MATCH_KEY_VOIE",
 )
 
-# The sales known at an earlier load, for comparing two loads.
+# The sales known at an earlier load, for comparing two loads, and when that load ran.
 CUT = dt.date(1996, 1, 1)
-
-
-def _earlier(c):
-    return c.lazy.stg_dvf_transactions.where(F.col("DATE_MUTATION") < F.lit(CUT))
-
+LAST_RUN = dt.datetime(2020, 1, 1)
 
 register(
     "d_19_new_rows",
     lambda c: history.new_rows(
-        c.gold.dim_address.select("ADDRESS_ID", "ADDRESS"), dims.dim_address(_earlier(c)),
+        history.loaded_since(c.gold.dim_address, LAST_RUN).select("ADDRESS_ID", "ADDRESS"),
+        dims.dim_address(c.lazy.stg_dvf_transactions.where(F.col("DATE_MUTATION") < F.lit(CUT))),
         ["ADDRESS_ID"],
     ),
     f"""SELECT ADDRESS_ID, ADDRESS FROM dim_address WHERE ADDRESS_ID NOT IN (
@@ -226,39 +227,45 @@ register(
       FROM (SELECT {o._NORMALISED} FROM stg WHERE DATE_MUTATION < DATE '{CUT}') n)""",
 )
 
+# Sales are published for the last five years: two loads, a year apart.
+LOADS = (dt.date(1997, 1, 1), dt.date(1998, 1, 1))
 
-def _history(c):
-    """Number of sales per address class, followed over two loads."""
-    def load(staged):
-        return outcomes(
-            geocode.normalised_address(staged), commune=F.col("COMMUNE"), voie=F.col("TYPE_DE_VOIE")
-        ).groupBy("commune").agg(
-            F.max("voie").alias("voie"), F.count_distinct("voie").alias("nb_types")
-        )
 
-    recent = c.lazy.stg_dvf_transactions.where(F.col("DATE_MUTATION") >= F.lit(CUT))
-    few = recent.where(F.col("CODE_DEPARTEMENT") != "03").where("TYPE_DE_VOIE <> 'rue' OR COMMUNE LIKE '%1'")
-    first = history.start_history(load(_earlier(c)), dt.date(1995, 1, 1))
-    return history.merge_history(first, load(few), ["commune"], ["voie", "nb_types"], CUT)
+def _published(c, on: dt.date):
+    """Addresses of a full load: last sale and number of sales in the five years before."""
+    staged = c.lazy.stg_dvf_transactions
+    window = staged.where(
+        (F.col("DATE_MUTATION") >= F.lit(on.replace(year=on.year - 5))) & (F.col("DATE_MUTATION") < F.lit(on))
+    )
+    sold = geocode.normalised_address(window, "DATE_MUTATION")
+    return sold.groupBy(address_id(*geocode.ADDRESS_COLUMNS).alias("ADDRESS_ID")).agg(
+        F.max("DATE_MUTATION").alias("DERNIERE_VENTE"), F.count(F.lit(1)).alias("NB_VENTES")
+    )
 
 
-def _load_sql(where: str) -> str:
-    return f"""SELECT COMMUNE AS commune, max(TYPE_DE_VOIE) AS voie, count(DISTINCT TYPE_DE_VOIE) AS nb_types
-    FROM (SELECT {o._NORMALISED} FROM stg WHERE {where}) n GROUP BY 1"""
+def _history(c):
+    """Addresses over two loads: new ones open, those without a sale left close, others may change."""
+    first = history.start_history(_published(c, LOADS[0]), LOADS[0])
+    return history.merge_history(
+        first, _published(c, LOADS[1]), ["ADDRESS_ID"], ["DERNIERE_VENTE", "NB_VENTES"], LOADS[1]
+    )
 
 
-_OLD_LOAD = _load_sql(f"DATE_MUTATION < DATE '{CUT}'")
-_NEW_LOAD = _load_sql(
-    f"DATE_MUTATION >= DATE '{CUT}' AND CODE_DEPARTEMENT <> '03' "
-    "AND (TYPE_DE_VOIE <> 'rue' OR COMMUNE LIKE '%1')"
-)
+def _published_sql(on: dt.date) -> str:
+    return f"""SELECT {o.hexkey(o.bar(*geocode.ADDRESS_COLUMNS))} AS ADDRESS_ID,
+    max(DATE_MUTATION) AS DERNIERE_VENTE, count(*) AS NB_VENTES
+    FROM (SELECT {o._NORMALISED}, DATE_MUTATION FROM stg
+      WHERE DATE_MUTATION >= DATE '{on}' - INTERVAL 5 YEAR AND DATE_MUTATION < DATE '{on}') n GROUP BY 1"""
+
+
+_CHANGED = "(a.DERNIERE_VENTE <> b.DERNIERE_VENTE OR a.NB_VENTES <> b.NB_VENTES)"
 register(
     "d_20_history",
     _history,
-    f"""SELECT a.*, DATE '1995-01-01' AS VALID_FROM, CASE WHEN b.commune IS NULL OR a.voie IS DISTINCT FROM b.voie
-      OR a.nb_types <> b.nb_types THEN DATE '{CUT}' END AS VALID_TO, VALID_TO IS NULL AS IS_CURRENT
-    FROM ({_OLD_LOAD}) a LEFT JOIN ({_NEW_LOAD}) b USING (commune)
-    UNION ALL SELECT b.*, DATE '{CUT}', CAST(NULL AS DATE), true
-    FROM ({_NEW_LOAD}) b LEFT JOIN ({_OLD_LOAD}) a USING (commune)
-    WHERE a.commune IS NULL OR a.voie IS DISTINCT FROM b.voie OR a.nb_types <> b.nb_types""",
+    f"""SELECT a.*, DATE '{LOADS[0]}' AS VALID_FROM,
+      CASE WHEN b.ADDRESS_ID IS NULL OR {_CHANGED} THEN DATE '{LOADS[1]}' END AS VALID_TO, VALID_TO IS NULL AS IS_CURRENT
+    FROM ({_published_sql(LOADS[0])}) a LEFT JOIN ({_published_sql(LOADS[1])}) b USING (ADDRESS_ID)
+    UNION ALL SELECT b.*, DATE '{LOADS[1]}', CAST(NULL AS DATE), true
+    FROM ({_published_sql(LOADS[1])}) b LEFT JOIN ({_published_sql(LOADS[0])}) a USING (ADDRESS_ID)
+    WHERE a.ADDRESS_ID IS NULL OR {_CHANGED}""",
 )

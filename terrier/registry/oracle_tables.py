@@ -9,11 +9,28 @@ from __future__ import annotations
 
 import re
 
-from terrier.functions.scoring import MATCH_SCORES, POSITION_LABELS, POSITION_SCORES
-from terrier.functions.text import LEADING_STREET_TYPE
 from terrier.sources.bronze import DERIVED_REGISTER_SQL, DERIVED_SALES_SQL
 from terrier.sources.seeds import departement_rows
 
+# Fixed values, stated here a second time so that a wrong one in the engine shows up.
+STREET_TYPES = (
+    "RUE", "AVENUE", "AVE", "AV", "BOULEVARD", "BD", "PLACE", "PL", "CHEMIN", "CHE", "IMPASSE",
+    "IMP", "ALLEE", "ALL", "ROUTE", "RTE", "QUAI", "SQUARE", "SQ", "PASSAGE", "VOIE", "COURS",
+    "CRS", "MAIL", "ESPLANADE", "PROMENADE", "PARC", "VILLA", "COUR", "HAMEAU", "CITE",
+    "RESIDENCE", "RES", "LOTISSEMENT", "LOT",
+)
+POSITION_SCORES = {"HOUSENUMBER": 100, "INTERPOLATION": 80, "STREET": 60, "LOCALITY": 40, "MUNICIPALITY": 20}
+MATCH_SCORES = {
+    "EXACT": 100, "SANS_TYPE": 90, "VOIE_SEULE": 70, "CODE_POSTAL": 50, "COMMUNE": 30, "NO_MATCH": 0,
+}
+POSITION_LABELS = {
+    "HOUSENUMBER": "Numéro exact (précision < 10m)",
+    "INTERPOLATION": "Numéro interpolé (précision ~10-50m)",
+    "STREET": "Centroïde de rue (précision ~50-200m)",
+    "LOCALITY": "Lieu-dit (précision ~200-500m)",
+    "MUNICIPALITY": "Centroïde commune (précision > 500m)",
+}
+
 _PLAIN = {n: n for n in ("lineitem", "orders", "customer", "nation")}
 
 
@@ -34,12 +51,15 @@ def e(c: str) -> str:
     return f"coalesce({c}, '')"
 
 
-def amount(c: str, cast: str = "CAST") -> str:
-    return f"{cast}(replace({c}, ',', '.') AS DECIMAL(18,2))"
+MONEY, WHOLE = "DECIMAL(18,2)", "DECIMAL(38,0)"
 
 
-def coord(c: str) -> str:
-    return f"TRY_CAST(replace({c}, ',', '.') AS DOUBLE)"
+def amount(c: str, cast: str = "CAST", kind: str = MONEY) -> str:
+    return f"{cast}(replace({c}, ',', '.') AS {kind})"
+
+
+def coord(c: str, kind: str = "DOUBLE") -> str:
+    return f"CAST(TRY_CAST(replace({c}, ',', '.') AS {kind}) AS DOUBLE)"
 
 
 def hexkey(text: str) -> str:
@@ -55,7 +75,7 @@ def bar(*parts: str) -> str:
 
 
 def untyped(c: str) -> str:
-    return f"regexp_replace({c}, '{LEADING_STREET_TYPE}', '')"
+    return rf"regexp_replace({c}, '^({'|'.join(STREET_TYPES)})\s+', '')"
 
 
 def score(c: str) -> str:
@@ -120,37 +140,45 @@ def _kpi(group: str, extra: str = "", per_type_counts: bool = False) -> str:
 
 _ZERO_CENTROID = (
     ", coalesce(avg(LATITUDE), 0.0) AS LATITUDE_CENTROID, "
-    "coalesce(avg(LONGITUDE), 0.0) AS LONGITUDE_CENTROID, count(*) > 4 AS HAS_SUFFICIENT_DATA"
+    "coalesce(avg(LONGITUDE), 0.0) AS LONGITUDE_CENTROID, count(*) >= 5 AS HAS_SUFFICIENT_DATA"
 )
 
-TABLES: dict[str, str] = {
-    "bronze_dvf": DERIVED_SALES_SQL.format(**_PLAIN),
-    "bronze_ban": DERIVED_REGISTER_SQL.format(**_PLAIN),
-    "seed": "SELECT * FROM (VALUES "
-    + ", ".join(
-        f"({_quote(c)}, {_quote(n)}, CAST({la} AS DOUBLE), CAST({lo} AS DOUBLE))"
-        for c, n, la, lo in departement_rows()
-    )
-    + ") s(CODE_DEPARTEMENT, NOM_DEPARTEMENT, LATITUDE, LONGITUDE)",
-    "stg": f"""SELECT * REPLACE (
+def _staged(kind: str) -> str:
+    return f"""SELECT * REPLACE (
     CAST(strptime(DATE_MUTATION, '%d/%m/%Y') AS DATE) AS DATE_MUTATION,
-    {amount('VALEUR_FONCIERE')} AS VALEUR_FONCIERE,
-    {amount('SURFACE_REELLE_BATI')} AS SURFACE_REELLE_BATI,
-    {amount('SURFACE_TERRAIN')} AS SURFACE_TERRAIN)
-  FROM bronze_dvf WHERE NATURE_MUTATION = 'Vente' AND {amount('VALEUR_FONCIERE')} > 20000""",
-    "ban_all": f"""SELECT trim(id) AS ID, trim(id_fantoir) AS ID_FANTOIR, trim(numero) AS NUMERO,
+    {amount('VALEUR_FONCIERE', kind=kind)} AS VALEUR_FONCIERE,
+    {amount('SURFACE_REELLE_BATI', kind=kind)} AS SURFACE_REELLE_BATI,
+    {amount('SURFACE_TERRAIN', kind=kind)} AS SURFACE_TERRAIN)
+  FROM bronze_dvf WHERE NATURE_MUTATION = 'Vente' AND {amount('VALEUR_FONCIERE', kind=kind)} > 20000"""
+
+
+def _cleaned_register(kind: str) -> str:
+    return f"""SELECT trim(id) AS ID, trim(id_fantoir) AS ID_FANTOIR, trim(numero) AS NUMERO,
     {u('rep')} AS REPETITION, {t('nom_voie')} AS NOM_VOIE, trim(code_postal) AS CODE_POSTAL,
     trim(code_insee) AS CODE_INSEE, {t('nom_commune')} AS NOM_COMMUNE,
     trim(code_insee_ancienne_commune) AS CODE_INSEE_ANCIENNE_COMMUNE,
     {t("nullif(nom_ancienne_commune, '')")} AS NOM_ANCIENNE_COMMUNE,
-    {coord('x')} AS X_LAMBERT93, {coord('y')} AS Y_LAMBERT93,
-    {coord('lon')} AS LONGITUDE, {coord('lat')} AS LATITUDE,
+    {coord('x', kind)} AS X_LAMBERT93, {coord('y', kind)} AS Y_LAMBERT93,
+    {coord('lon', kind)} AS LONGITUDE, {coord('lat', kind)} AS LATITUDE,
     {u('type_position')} AS TYPE_POSITION, alias AS ALIAS,
     {t("nullif(nom_ld, '')")} AS NOM_LIEU_DIT, {t('libelle_acheminement')} AS LIBELLE_ACHEMINEMENT,
     {t('nom_afnor')} AS NOM_AFNOR, {u('source_position')} AS SOURCE_POSITION,
     {u('source_nom_voie')} AS SOURCE_NOM_VOIE, trim(certification_commune) AS CERTIFICATION_COMMUNE,
     trim(cad_parcelles) AS PARCELLES_CADASTRALES, trim(departement) AS CODE_DEPARTEMENT
-  FROM bronze_ban WHERE id IS NOT NULL AND code_postal IS NOT NULL AND code_insee IS NOT NULL""",
+  FROM bronze_ban WHERE id IS NOT NULL AND code_postal IS NOT NULL AND code_insee IS NOT NULL"""
+
+
+TABLES: dict[str, str] = {
+    "bronze_dvf": DERIVED_SALES_SQL.format(**_PLAIN),
+    "bronze_ban": DERIVED_REGISTER_SQL.format(**_PLAIN),
+    "seed": "SELECT * FROM (VALUES "
+    + ", ".join(
+        f"({_quote(c)}, {_quote(n)}, CAST({la} AS DOUBLE), CAST({lo} AS DOUBLE))"
+        for c, n, la, lo in departement_rows()
+    )
+    + ") s(CODE_DEPARTEMENT, NOM_DEPARTEMENT, LATITUDE, LONGITUDE)",
+    "stg": _staged(MONEY),
+    "ban_all": _cleaned_register("DOUBLE"),
     "ban": f"""SELECT * RENAME (ID AS BAN_ID, NUMERO AS NUMERO_RAW, NOM_VOIE AS NOM_VOIE_RAW),
     NUMERO || coalesce(' ' || REPETITION, '') AS NUMERO_COMPLET,
     {untyped('NOM_VOIE')} AS NOM_VOIE_SANS_TYPE,
@@ -206,7 +234,7 @@ TABLES: dict[str, str] = {
     trim(NO_PLAN) AS NO_PLAN, trim({e('NO_VOLUME')}) AS vol FROM stg""",
     "dim_parcelle": f"""SELECT {longkey(bar('PREFIXE_DE_SECTION', 'SECTION', 'NO_PLAN', 'vol'))} AS PARCELLE_ID,
     PREFIXE_DE_SECTION, SECTION, NO_PLAN, nullif(vol, '') AS NO_VOLUME,
-    CASE WHEN SECTION IS NOT NULL AND NO_PLAN IS NOT NULL THEN 0 ELSE 1 END AS IS_PARTIAL FROM parcels""",
+    CASE WHEN SECTION IS NULL OR NO_PLAN IS NULL THEN 1 ELSE 0 END AS IS_PARTIAL FROM parcels""",
     "dim_type_local": f"""SELECT {longkey('TYPE_LOCAL')} AS TYPE_LOCAL_ID, TYPE_LOCAL, 'DVF' AS SOURCE_SYSTEM
   FROM (SELECT DISTINCT coalesce({u('TYPE_LOCAL')}, 'INCONNU') AS TYPE_LOCAL FROM stg) d""",
     "lines": f"""SELECT {_NORMALISED}, {u('PREFIXE_DE_SECTION')} AS px, {u('SECTION')} AS sec,
@@ -259,8 +287,13 @@ def _needed(sql: str, found: set[str]) -> set[str]:
     return found
 
 
-def oracle(sql: str) -> str:
+#: The same tables with whole amounts and coordinates.
+TABLES_SCALE0 = {**TABLES, "stg": _staged(WHOLE), "ban_all": _cleaned_register(WHOLE)}
+
+
+def oracle(sql: str, scale0: bool = False) -> str:
     """``sql`` preceded by the tables it names."""
+    tables = TABLES_SCALE0 if scale0 else TABLES
     needed = _needed(sql, set())
-    ctes = [f"{n} AS MATERIALIZED ({TABLES[n].strip()})" for n in TABLES if n in needed]
+    ctes = [f"{n} AS MATERIALIZED ({tables[n].strip()})" for n in tables if n in needed]
     return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + sql

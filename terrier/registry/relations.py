@@ -66,8 +66,8 @@ register(
 def _unmatched(c):
     staged, register_ = c.lazy.stg_dvf_transactions, c.lazy.stg_ban_addresses_normalized
     addresses = geocode.identified_addresses(staged)
-    sides = geocode.level_sides(register_)
-    hits = [geocode.match_level(addresses, sides[k], k) for k in ("EXACT", "SANS_TYPE")]
+    sides = {k: geocode.LEVEL_SIDES[k](register_) for k in ("EXACT", "SANS_TYPE")}
+    hits = [geocode.match_level(addresses, side, k) for k, side in sides.items()]
     return geocode.unmatched(addresses, *hits).select("ADDRESS_ID")
 
 

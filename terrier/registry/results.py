@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from terrier.operators import checks
 from terrier.plans import consumer, reports
 from terrier.plans.declared_checks import declared_checks
+from terrier.plans.fact import sold_in
 from terrier.registry import oracle_tables as o
+from terrier.registry.columns import MIN_SALES
 from terrier.registry.core import as_double, register, rounded
 
 # ---------------------------------------------------------------- tables
@@ -50,6 +52,35 @@ register(
     f"SELECT * REPLACE ({_AMOUNTS_SQL}, {_rounded_sql('LONGITUDE', 'LATITUDE')}) FROM fct_mutation",
 )
 
+# ---------------------------------------------------------------- whole amounts and coordinates
+
+register(
+    "mdl_1_scale0",
+    lambda c: as_double(c.gold_scale0.stg_dvf_transactions, *_AMOUNTS),
+    f"SELECT * REPLACE ({_AMOUNTS_SQL}) FROM stg",
+    scale0=True,
+)
+register(
+    "mdl_3_scale0",
+    lambda c: c.gold_scale0.stg_ban_addresses_normalized,
+    "SELECT * FROM ban",
+    scale0=True,
+)
+register(
+    "mdl_10_scale0",
+    lambda c: as_double(
+        rounded(c.gold_scale0.fct_mutation, "LONGITUDE", "LATITUDE").drop("ANNEE", "CREATED_AT"), *_AMOUNTS
+    ),
+    f"SELECT * REPLACE ({_AMOUNTS_SQL}, {_rounded_sql('LONGITUDE', 'LATITUDE')}) FROM fct_mutation",
+    scale0=True,
+)
+register(
+    "kpi_3_scale0",
+    lambda c: rounded(c.gold_scale0.gold_kpi_commune, *_CENTROID),
+    f"SELECT * REPLACE ({_rounded_sql('LATITUDE_CENTROID', 'LONGITUDE_CENTROID')}) FROM gold_kpi_commune",
+    scale0=True,
+)
+
 # ---------------------------------------------------------------- indicators
 
 _CENTROID = ("LATITUDE_CENTROID", "LONGITUDE_CENTROID")
@@ -139,10 +170,11 @@ register(
 )
 register(
     "rpt_8_suspicious_centroids",
-    lambda c: reports.suspicious_centroids(c.gold.gold_kpi_commune),
-    """SELECT CODE_COMMUNE, NOM_COMMUNE, NB_VENTES, LATITUDE_CENTROID, LONGITUDE_CENTROID
-    FROM gold_kpi_commune WHERE (LATITUDE_CENTROID = 0 OR LONGITUDE_CENTROID = 0) AND NB_VENTES > 100
+    lambda c: reports.suspicious_centroids(c.gold_scale0.gold_kpi_commune, MIN_SALES),
+    f"""SELECT CODE_COMMUNE, NOM_COMMUNE, NB_VENTES, LATITUDE_CENTROID, LONGITUDE_CENTROID
+    FROM gold_kpi_commune WHERE (LATITUDE_CENTROID = 0 OR LONGITUDE_CENTROID = 0) AND NB_VENTES > {MIN_SALES}
     ORDER BY NB_VENTES DESC, CODE_COMMUNE, NOM_COMMUNE LIMIT 20""",
+    scale0=True,
 )
 
 # ---------------------------------------------------------------- consumer queries
@@ -246,8 +278,7 @@ register(
 register(
     "chk_5_conditional_relationship",
     lambda c: checks.relationships(
-        c.gold.fct_mutation, "ADDRESS_ID", _enriched(c).where(_PRECISE), "ADDRESS_ID",
-        where=F.year("DATE_MUTATION") == YEAR,
+        sold_in(c.gold.fct_mutation, YEAR), "ADDRESS_ID", _enriched(c).where(_PRECISE), "ADDRESS_ID"
     ).select("ADDRESS_ID", "DATE_MUTATION"),
     f"""SELECT ADDRESS_ID, DATE_MUTATION FROM fct_mutation f WHERE year(DATE_MUTATION) = {YEAR} AND
     NOT EXISTS (FROM dim_address_enriched a WHERE a.ADDRESS_ID = f.ADDRESS_ID AND {_PRECISE})""",

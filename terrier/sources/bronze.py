@@ -92,7 +92,7 @@ SELECT 'ban_' || cast(c_custkey AS string) || CASE WHEN v = 1 THEN '' ELSE 'b' E
  '0' AS alias, '' AS nom_ld, 'ville ' || lower(n_name) AS libelle_acheminement, 'DE ' || n_name AS nom_afnor,
  CASE WHEN v = 1 THEN 'commune' ELSE 'ign' END AS source_position, 'commune' AS source_nom_voie,
  cast(c_custkey % 2 AS string) AS certification_commune,
- 'AB' || lpad(cast(c_custkey % 1000 AS string),4,'0') AS cad_parcelles,
+ 'A' || cast(c_custkey % 8 AS string) || lpad(cast(c_custkey % 1000 AS string),4,'0') AS cad_parcelles,
  lpad(cast(n_nationkey + 1 AS string),2,'0') AS departement
 FROM (SELECT c_custkey, c_nationkey, 1 AS v FROM {customer}
       UNION ALL SELECT c_custkey, c_nationkey, 2 AS v FROM {customer} WHERE c_custkey % 7 = 0) copies

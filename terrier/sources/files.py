@@ -72,11 +72,43 @@ def create_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Gold tables are rebuilt in full; returns the stored table."""
+def table_path(root: str, name: str, default_schema: str, schema: str | None = None) -> str:
+    """Folder of a table below ``root``, named like the table."""
+    return "/".join([root.rstrip("/"), *table_name(name, default_schema, schema).split(".")])
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the complete versions of a table, oldest first."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    done = hadoop.Path(f"{path}/v*/_SUCCESS")
+    found = done.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(done)
+    return sorted(f.getPath().getParent().toString() for f in found)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The newest complete version of a stored table."""
+    newest = _versions(spark, path)[-1]
+    return (spark.read.schema(schema) if schema else spark.read).parquet(newest)
+
+
+def overwrite_table(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, keep: int = 2
+) -> DataFrame:
+    """Gold tables are rebuilt in full; returns the stored table.
+
+    A rebuild goes to a new version folder, which counts once it is complete: readers of the version
+    before go on, and a failed run leaves it in place. Two runs at once cannot mix, as the second
+    finds its folder taken. Only the newest ``keep`` versions stay.
+    """
+    spark = df.sparkSession
+    versions = _versions(spark, path)
+    number = int(versions[-1].rpartition("/v")[2]) + 1 if versions else 1
+    target = f"{path}/v{number:08d}"
     if partition_by:
-        rebalanced = df.hint("rebalance", *partition_by)
-        rebalanced.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(target)
     else:
-        df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        df.write.parquet(target)
+    for old in _versions(spark, path)[:-keep]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(old)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return spark.read.schema(df.schema).parquet(target)

@@ -3,7 +3,6 @@
 import pytest
 
 import golden
-from terrier.operators import lookup
 from terrier.plans import geocode, silver
 from terrier.plans.warehouse import Star
 
@@ -33,11 +32,15 @@ def test_every_address_gets_its_best_match(star):
     assert _matches(star.dim_address_enriched) == golden.MATCHES
 
 
-def test_large_sides_are_salted_with_equal_result(star):
-    salted = geocode.dim_address_enriched(
-        star.stg_dvf_transactions, star.stg_ban_addresses_normalized, broadcast_rows=0
-    )
-    assert _matches(salted) == golden.MATCHES
+def test_joins_without_broadcast_give_the_same(spark, star):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        spark.conf.set(threshold, "-1")
+        found = geocode.dim_address_enriched(star.stg_dvf_transactions, star.stg_ban_addresses_normalized)
+        assert _matches(found) == golden.MATCHES
+    finally:
+        spark.conf.set(threshold, before)
 
 
 def test_level_by_level_gives_the_same(star):
@@ -69,15 +72,21 @@ def test_sale_without_postcode_falls_back_to_its_commune(star):
 
 
 def test_hot_postcode_and_street(spark):
-    """Many addresses of one street: all rows kept, spread or broadcast."""
+    """Many addresses of one street: all rows kept, with and without a broadcast."""
     rows = [golden.at(str(i), "RUE", "VICTOR HUGO", "75001", "PARIS", "75") for i in range(1, 400)]
     rows += [golden.at(str(i), "QUAI", "X", "75001", "PARIS", "75") for i in range(1, 400)]
     staged = silver.stg_dvf_transactions(golden.sales(spark, rows))
     register = silver.stg_ban_addresses_normalized(golden.register(spark))
-    for limit in (0, lookup.BROADCAST_ROWS):
-        found = geocode.dim_address_enriched(staged, register, broadcast_rows=limit)
-        levels = {r.MATCH_LEVEL: r["count"] for r in found.groupBy("MATCH_LEVEL").count().collect()}
-        assert levels == {"EXACT": 1, "SANS_TYPE": 1, "VOIE_SEULE": 397, "CODE_POSTAL": 399}
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        for limit in ("-1", before):
+            spark.conf.set(threshold, limit)
+            found = geocode.dim_address_enriched(staged, register)
+            levels = {r.MATCH_LEVEL: r["count"] for r in found.groupBy("MATCH_LEVEL").count().collect()}
+            assert levels == {"EXACT": 1, "SANS_TYPE": 1, "VOIE_SEULE": 397, "CODE_POSTAL": 399}
+    finally:
+        spark.conf.set(threshold, before)
 
 
 def test_equal_scores_take_the_smallest_identifier(spark):

@@ -86,3 +86,29 @@ def test_new_rows_treat_null_as_a_key(spark):
     current = _load(spark, [("a", "x", 1), (None, "x", 2), ("c", "x", 3)])
     stored = _load(spark, [("a", "z", 9), (None, "z", 9)])
     assert [r.k for r in history.new_rows(current, stored, ["k"]).collect()] == ["c"]
+
+
+def test_a_table_is_replaced_by_versions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = files.overwrite_table(_load(spark, [("a", "x", 1)]), path)
+    second = files.overwrite_table(_load(spark, [("b", "y", 2)]), path)
+    assert first.collect()[0].k == "a"  # readers of the version before go on
+    assert [r.k for r in files.read_table(spark, path).collect()] == ["b"]
+    (tmp_path / "t" / "v00000003").mkdir()  # a run that has not ended does not count
+    assert [r.k for r in files.read_table(spark, path).collect()] == ["b"]
+    assert second.collect()[0].k == "b"
+    (tmp_path / "t" / "v00000003").rmdir()
+    for i in range(3):
+        files.overwrite_table(_load(spark, [(str(i), "z", i)]), path)
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["v00000004", "v00000005"]
+
+
+def test_tables_go_to_their_schema():
+    assert files.table_path("/w/", "t", "gold") == "/w/gold/t"
+    assert files.table_path("/w", "t", "gold", " silver ") == "/w/silver/t"
+
+
+def test_rows_loaded_since_the_last_run(spark):
+    times = [dt.datetime(2024, 1, 1), dt.datetime(2024, 6, 1), None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "k int, CREATED_AT timestamp")
+    assert [r.k for r in history.loaded_since(df, dt.datetime(2024, 3, 1)).collect()] == [1]

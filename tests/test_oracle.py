@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__
+from terrier import registry
 from compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.01"
-QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
 @pytest.mark.parametrize("key", QUERIES)

@@ -6,8 +6,8 @@ from contextlib import redirect_stdout
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__
 import golden
+from terrier import registry
 from terrier.plans import consumer, fact, geocode, kpi, reports
 from terrier.plans.warehouse import Star
 from terrier.registry.core import context
@@ -22,9 +22,9 @@ def plan(df) -> str:
     return out.getvalue()
 
 
-@pytest.mark.parametrize("key", __spark_entry__.queries())
+@pytest.mark.parametrize("key", registry.QUERIES)
 def test_no_pair_joins_and_no_python(spark, key):
-    text = plan(__spark_entry__.queries()[key](spark, FOLDER))
+    text = plan(registry.QUERIES[key](spark, FOLDER))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "PythonUDF"):
         assert operator not in text, operator
 
@@ -103,3 +103,26 @@ def test_results_are_ordered(spark):
     prices = [r.VALEUR_FONCIERE for r in consumer.precisely_located(
         ctx.gold.fct_mutation, ctx.gold.dim_address_enriched, consumer.dt.date(1995, 1, 1)).collect()]
     assert len(prices) > 1 and prices == sorted(prices, reverse=True)
+
+
+def test_periods_prune_the_stored_fact(spark):
+    """The fact is split by year: a period names the folders to read."""
+    ctx = context(spark, FOLDER)
+    for key in ("d_1_filters", "qry_1_median_by_commune", "qry_3_monthly_trend", "qry_5_precisely_located",
+                "chk_5_conditional_relationship"):
+        text = plan(registry.QUERIES[key](spark, FOLDER))
+        fact_scans = [x for x in text.split("\n\n") if "PartitionFilters" in x]
+        if not fact_scans:  # medians have read the fact already, for their histogram
+            sold = fact.sold_in(ctx.gold.fct_mutation, 1998)
+            fact_scans = [x for x in plan(sold).split("\n\n") if "PartitionFilters" in x]
+        assert any("ANNEE#" in x.split("PartitionFilters")[1].split("\n")[0] for x in fact_scans), key
+
+
+def test_a_stored_star_parses_raw_sales_once(spark):
+    """Six tables are built from the written staged sales, none from the raw text."""
+    star = context(spark, FOLDER).gold
+    raw = {f.split("/")[-2] for f in star.bronze_dvf.inputFiles()}
+    for df in (star.sales, star.table("dim_parcelle")):
+        assert raw.isdisjoint(f.split("/")[-2] for f in df.inputFiles())
+    tree = plan(fact.fct_mutation(star.sales, star.dim_address_enriched))
+    assert "NATURE_MUTATION" in tree and "regexp" not in tree.split("\n\n")[0]

@@ -154,7 +154,7 @@ def test_stored_star_equals_lazy_star(spark, tmp_path):
     lazy = Star(golden.sales(spark, EDGES), golden.register(spark))
     stored = Star(golden.sales(spark, EDGES), golden.register(spark), parquet_store(str(tmp_path)))
     tables = build_all(stored)
-    assert (tmp_path / "gold" / "fct_mutation" / "ANNEE=2023").is_dir()
+    assert (tmp_path / "gold" / "fct_mutation" / "v00000001" / "ANNEE=2023").is_dir()
     for name, table in tables.items():
         plain = _means_rounded(lazy.table(name))
         kept = _means_rounded(table.select(plain.columns))
