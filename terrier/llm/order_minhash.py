@@ -10,10 +10,14 @@ MinHash, equal sketches ask for equal order, as edit similarity does. Texts at 0
 with probability about 0.33, so 32 sketches miss a pair of them with 3 in a million.
 
 Candidates without pairs of whole groups. Equal word sequences are one text first. Then every text is
-paired with the smallest id of each of its buckets only; verified pairs give classes. A bucket whose
-texts all are of one class has nothing to add. For the others an exact round follows: the texts of a
-bucket are paired if their classes differ and their lengths allow 0.8. No pair is given up: those left
-out are known to be of one class.
+paired with the smallest and the largest id of each of its buckets only; verified pairs give classes.
+A bucket whose texts all are of one class has nothing to add. The others are open and get an exact
+round: their texts meet as shingle sequences, in cells of at most ``CELL`` texts (a larger bucket is
+spread over all pairs of its cells). There all texts of different classes that lengths allow are
+compared by one matrix product, which gives the shingles that two texts share at most; where 0.8 is
+still possible they are aligned, unless links found before join them already. A cell sends only the
+links that join classes, and these are verified on the texts. No pair is given up: those left out are
+known to be of one class or too far apart.
 
 Alignment. Common ends are cut off, then the longest common subsequence is found a machine word of
 cells at a time, matches counting only within the band of diagonals that 0.8 allows.
@@ -45,6 +49,8 @@ KEPT = 5
 _SEEDS = text.seeds(SKETCHES, 3)
 _PLACES = text.seeds(KEPT, 4) | np.uint64(1)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+CELL = 1024
+_COLUMNS = 1 << 13  # shingles in one matrix product
 _WIDE = 1 << 20  # cells of the table of hash functions and shingles that is held at once
 
 
@@ -173,6 +179,117 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verifying(similarity), schema)
 
 
+def _short(batches):
+    """Shingle sequences in 32 bits each: an equal pair may look equal, a different one seldom does."""
+    for batch in batches:
+        found = [_sequence(t).astype(np.uint32).tobytes() for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(found, pa.binary())], names=["id", "shingles"])
+
+
+def shared_shingles(sequences: list[np.ndarray]) -> np.ndarray:
+    """For all pairs of texts, how many shingles they share, repeats counting."""
+    n = len(sequences)
+    owner = np.repeat(np.arange(n), [len(x) for x in sequences])
+    values = np.concatenate(sequences).astype(np.uint64)
+    label = text.occurrences(values, owner).astype(np.uint64)
+    _, column, times = np.unique(text.mixed(values + label * _GOLDEN), return_inverse=True, return_counts=True)
+    often = np.flatnonzero(times > 1)  # others are shared with nobody
+    place = np.full(len(times), -1)
+    place[often] = np.arange(len(often))
+    column = place[column]
+    owner, column = owner[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((n, n), np.float32)
+    for first in range(0, len(often), _COLUMNS):
+        a, b = np.searchsorted(column, [first, first + _COLUMNS])
+        has = np.zeros((n, min(_COLUMNS, len(often) - first)), np.float32)
+        has[owner[a:b], column[a:b] - first] = 1
+        out += has @ has.T
+    return out
+
+
+def joining_links(ids: list[int], classes: list[int], sequences: list[np.ndarray], allowed: np.ndarray,
+                  similarity: float) -> list[tuple[int, int]]:
+    """Pairs of similar texts that join all classes which similar texts of a cell connect.
+
+    ``allowed`` says which pairs to look at.
+    """
+    size = np.array([len(x) for x in sequences])
+    least, most = np.minimum.outer(size, size), np.maximum.outer(size, size)
+    numbers = np.unique(classes, return_inverse=True)[1]
+    allowed = allowed & (numbers[:, None] != numbers) & (least >= similarity * most - 1e-9)
+    if not allowed.any():
+        return []
+    need = similarity / (1 + similarity) * np.add.outer(size, size)
+    shared = shared_shingles(sequences)
+    left, right = np.nonzero(np.triu(allowed & (shared >= need - 1e-3), 1))
+    order = np.argsort(-(shared / need)[left, right], kind="stable")
+    label, out = numbers.copy(), []
+    for i, j in zip(left[order].tolist(), right[order].tolist()):
+        if label[i] != label[j] and similar(sequences[i], sequences[j], similarity):
+            label[label == label[j]] = label[i]
+            out.append((ids[i], ids[j]))
+    return out
+
+
+def _settling(similarity: float):
+    """Rows come sorted by cell: ``cell``, ``one``, ``other``, ``side``, ``id``, ``class``, ``shingles``."""
+
+    def settle(rows):
+        _, one, other, side, ids, classes, raw = zip(*rows)
+        side = np.array(side)
+        allowed = np.ones((len(ids), len(ids)), bool)
+        if one[0] != other[0]:
+            allowed = side[:, None] != side  # texts of one side meet in a cell of their own
+        return joining_links(
+            ids, classes, [np.frombuffer(x, np.uint32) for x in raw], allowed, similarity)
+
+    def settle_all(batches):
+        waiting = []
+        for batch in batches:
+            links = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if waiting and waiting[0][:3] != row[:3]:
+                    links += settle(waiting)
+                    waiting = []
+                waiting.append(row)
+            yield _links(links)
+        if waiting:
+            yield _links(settle(waiting))
+
+    return settle_all
+
+
+def _links(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([min(x) for x in links], pa.int64()), pa.array([max(x) for x in links], pa.int64())],
+        names=["a", "b"])
+
+
+def settled(open_: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) between the classes of open buckets.
+
+    ``open_`` has ``sketch``, ``value``, ``members`` of the bucket, ``id`` and ``class``.
+    """
+    short = texts.mapInArrow(_short, "id long, shingles binary")
+    cells = F.ceil(F.col("members") / F.lit(CELL)).cast("int")
+    dealt = (
+        open_.withColumn("cells", cells)
+        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
+        .withColumn("met", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+        .select(F.xxhash64("sketch", "value").alias("cell"), F.least("own", "met").alias("one"),
+                F.greatest("own", "met").alias("other"), F.col("own").alias("side"), "id", "class")
+    )
+    key = ["cell", "one", "other"]
+    sorted_ = (
+        dealt.join(short, "id").select(*key, "side", "id", "class", "shingles")
+        .repartition(*key).sortWithinPartitions(*key)
+    )
+    return sorted_.mapInArrow(_settling(similarity), "a long, b long")
+
+
 def _classed(nodes: DataFrame, classes: DataFrame, key: str = "id") -> DataFrame:
     return nodes.join(classes.withColumnRenamed("node", key), key, "left").withColumn(
         "class", F.coalesce("component", F.col(key))).drop("component")
@@ -192,33 +309,26 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_column:
         .dropDuplicates(["id", "n", "sketches"]), "firsts")
     buckets = firsts.select("id", "n", F.posexplode("sketches").alias("sketch", "value"))
     hubs = buckets.groupBy("sketch", "value").agg(
-        F.min("id").alias("a"), F.max("id").alias("top")).filter("a < top").select("sketch", "value", "a")
+        F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("members")
+    ).filter("low < high")
     # Only buckets of several texts go on.
     shared = written(buckets.join(hubs, ["sketch", "value"]), "buckets")
-    pairs = written(shared.filter("a < id").select("a", F.col("id").alias("b")).distinct(), "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = written(own.join(needed, "id", "left_semi").filter("text is not null").distinct(), "texts")
+    pairs = shared.select("id", F.explode(F.array("low", "high")).alias("hub")).filter("id != hub").select(
+        F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+    pairs = written(pairs, "pairs")
+    texts = written(own.join(shared.select("id").distinct(), "id", "left_semi")
+                    .filter("text is not null").distinct(), "texts")
     links = written(verified(pairs, texts, similarity), "links")
-    classes = components(links.select("a", "b"))
+    classes = components(links)
 
     # What the first round has left: buckets of several classes.
-    labelled = _classed(shared.drop("a"), classes)
-    open_ = labelled.groupBy("sketch", "value").agg(
-        F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
-    rest = written(labelled.join(open_.select("sketch", "value"), ["sketch", "value"]), "open-buckets")
-    left = rest.select("sketch", "value", F.col("id").alias("a"), F.col("n").alias("n_a"),
-                       F.col("class").alias("class_a"))
-    right = rest.select("sketch", "value", F.col("id").alias("b"), F.col("n").alias("n_b"),
-                        F.col("class").alias("class_b"))
-    fits = F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * F.lit(similarity) - 1e-9
-    more = (
-        left.join(right, ["sketch", "value"])
-        .filter((F.col("a") < F.col("b")) & (F.col("class_a") != F.col("class_b")) & fits)
-        .select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    )
-    more = written(more, "more-pairs")
-    needed = more.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    extra = verified(more, texts.join(needed, "id", "left_semi"), similarity)
+    labelled = _classed(shared.select("sketch", "value", "members", "id"), classes)
+    several = labelled.groupBy("sketch", "value").agg(
+        F.min("class").alias("least"), F.max("class").alias("most")).filter("least < most")
+    open_ = written(labelled.join(several.select("sketch", "value"), ["sketch", "value"]), "open-buckets")
+    open_texts = texts.join(open_.select("id").distinct(), "id", "left_semi")
+    found = written(settled(open_, open_texts, similarity).distinct(), "found")
+    extra = verified(found, texts, similarity)
     # Copies hang on the first of their word sequence; rows of one id are one document.
     same = known.join(copies, "digest").filter("id != first").select(
         F.col("first").alias("a"), F.col("id").alias("b")).distinct()

@@ -149,3 +149,27 @@ def test_components(spark):
         assert {found.get(n, low if n == low else None) for n in group} == {low}
     assert nodes[250] not in found
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 6), min_size=1, max_size=12), min_size=1, max_size=6))
+def test_shared_shingles_count_repeats(lists):
+    from collections import Counter
+
+    got = order_minhash.shared_shingles([np.array(x, np.uint32) for x in lists])
+    assert got.tolist() == [[(Counter(a) & Counter(b)).total() if i != j else got[i][i] for j, b in enumerate(lists)]
+                            for i, a in enumerate(lists)]
+
+
+def test_buckets_beyond_one_cell(spark, monkeypatch):
+    """A chain of edits whose ends differ, in buckets spread over many cells."""
+    monkeypatch.setattr(order_minhash, "CELL", 3)
+    chance = random.Random(9)
+    base, rows = [f"w{i}" for i in range(120)], []
+    for i in range(40):
+        base = edited(chance, base, 2)
+        rows.append((i, " ".join(base)))
+    chance.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.id: r.class_id for r in order_minhash.near_duplicates(docs).collect()}
+    assert got == classes(sorted(rows))
