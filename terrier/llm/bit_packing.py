@@ -14,8 +14,8 @@ per file; running totals over it give every document its global start. Files go
 and executors share, through ``pyarrow.fs``, which opens local paths and store addresses alike.
 
 Tokenising. The word-level tokenizer never joins text across white space, so each distinct word is
-tokenised once per task and texts are spelled out by number. The cache is emptied when it holds
-``CACHED`` words, so memory is bounded.
+tokenised once per worker process and texts are spelled out by number. The store takes words until
+it holds about ``CACHED``; later rare ones are tokenised where they occur, so memory is bounded.
 
 Nulls: a null text is empty, its only id is the end id; a null document id sorts first. Rows of equal id
 stand next to each other, ordered by text. An empty table gives no files and an empty result.
@@ -37,7 +37,7 @@ from terrier.llm import text
 from terrier.session import scratch_path, written
 
 BLOCK = 4096
-CACHED = 500_000
+CACHED = 2_000_000
 END_ID = 1
 MAGIC = 0x31534449_4B434150
 _NO_ID = np.iinfo(np.int64).min  # stands for a null document id
@@ -142,8 +142,63 @@ class Reader:
         return np.concatenate(parts)[start - first * BLOCK : end - first * BLOCK]
 
 
+class _Store:
+    """Ids of words by the words' hash, in arrays that grow by doubling: about 40 bytes a word."""
+
+    def __init__(self):
+        self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.flat = np.zeros(1 << 18, np.uint32)
+        self.rows = self.used = 0
+        # Sorted hashes and their rows: all but the latest, and the latest.
+        self.sorted = [(np.zeros(0, np.uint64), np.zeros(0, np.int32)) for _ in range(2)]
+
+    @staticmethod
+    def _room(array: np.ndarray, n: int) -> np.ndarray:
+        return array if n <= len(array) else np.resize(array, max(n, 2 * len(array)))
+
+    def append(self, ids: np.ndarray, sizes: np.ndarray) -> int:
+        """Puts words behind the kept ones and returns the first one's row; :meth:`keep` keeps them."""
+        n, used = self.rows + len(sizes), self.used + len(ids)
+        self.begin, self.size = self._room(self.begin, n), self._room(self.size, n)
+        self.flat = self._room(self.flat, used)
+        self.begin[self.rows : n] = self.used + np.cumsum(sizes) - sizes
+        self.size[self.rows : n] = sizes
+        self.flat[self.used : used] = ids
+        return self.rows
+
+    def keep(self, keys: np.ndarray, rows: np.ndarray, n_ids: int) -> None:
+        self.rows += len(rows)
+        self.used += n_ids
+        old, latest = self.sorted
+        latest = self._merged(latest, (keys, rows.astype(np.int32)))
+        if len(latest[0]) > max(1 << 16, len(old[0]) // 4):
+            old, latest = self._merged(old, latest), (latest[0][:0], latest[1][:0])
+        self.sorted = [old, latest]
+
+    @staticmethod
+    def _merged(a, b):
+        keys, rows = (np.concatenate(x) for x in zip(a, b))
+        order = np.argsort(keys, kind="stable")
+        return keys[order], rows[order]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Rows of some hashes, -1 for those that are not kept."""
+        out = np.full(len(keys), -1, np.int64)
+        for own, rows in self.sorted:
+            if len(own):
+                at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+                hit = own[at] == keys
+                out[hit] = rows[at[hit]]
+        return out
+
+
 class WordEncoder:
-    """Ids of whole texts from the ids of their distinct words."""
+    """Ids of whole texts from the ids of their distinct words.
+
+    Before words are compared, two things that the tokenizer does to every word anyway are done to the
+    bytes: words of ASCII only get lower case, unless they may be a special token, and a full stop or
+    comma that ends a word after a letter is a word of its own.
+    """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
@@ -153,84 +208,98 @@ class WordEncoder:
         self.vocabulary = max(*vocabulary.values(), end_id) + 1
         self.ends = np.zeros(self.vocabulary, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.end_id = end_id
-        self._empty()
-
-    def _empty(self) -> None:
-        self.row: dict[int, int] = {}
-        self.flat = [np.array([self.end_id], np.uint32)]  # row 0: the end of a document
-        self.sizes = [np.ones(1, np.int64)]
-        self.rows = 1
-
-    def _tokenized(self, words: list[str]) -> list[list[int]]:
-        """Ids of every word by itself.
-
-        Words of ASCII letters only are one unit each, and its last id, and no other, says that a
-        word ends there: many are tokenised as one text and told apart by that.
-        """
-        out: list[list[int]] = [[]] * len(words)
-        plain = [i for i, w in enumerate(words) if w.isascii() and w.isalpha()]
-        for at in range(0, len(plain), 1000):
-            own = plain[at : at + 1000]
-            ids = self._encoded([" ".join(words[i] for i in own)])[0]
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            begin = 0
-            for i, end in zip(own, cuts.tolist(), strict=True):
-                out[i] = ids[begin:end]
-                begin = end
-        known = set(plain)
-        other = [i for i in range(len(words)) if i not in known]
-        for at in range(0, len(other), 1000):
-            own = other[at : at + 1000]
-            for i, ids in zip(own, self._encoded([words[i] for i in own])):
-                out[i] = ids
-        return out
+        # The first rows: the end of a document, full stop and comma.
+        stop, comma = self._encoded([".", ","])
+        self.store = _Store()
+        self.store.append(np.array([end_id, *stop, *comma]), np.array([1, len(stop), len(comma)]))
+        self.store.rows, self.store.used = 3, 1 + len(stop) + len(comma)
 
     def _encoded(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        # Plain words go without their last mark and capitals, which the tokenizer treats apart anyway.
-        stems, marks = [], []
-        for w in words:
-            plain = w.isascii() and len(w) > 1 and w[-1] in ".," and w[:-1].isalpha()
-            stems.append(w[:-1].lower() if plain else w.lower() if w.isascii() and w.isalpha() else w)
-            marks.append(w[-1] if plain else "")
-        distinct = {w: i for i, w in enumerate(dict.fromkeys([*stems, ".", ","]))}
-        found = self._tokenized(list(distinct))
-        last = {m: found[distinct[m]] for m in ".,"} | {"": []}
-        all_ids = [found[distinct[s]] + last[m] for s, m in zip(stems, marks)]
-        self.row.update(zip(hashes, range(self.rows, self.rows + len(words))))
-        self.rows += len(words)
-        self.flat.append(np.array([t for ids in all_ids for t in ids], np.uint32))
-        self.sizes.append(np.array([len(ids) for ids in all_ids], np.int64))
+    def _tokenized(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Order in which words were tokenised, their ids one after another, and ids per word.
+
+        A word of letters up to U+00FF is one unit, and its last id, and no other, says that a word
+        ends there: many are tokenised as one text and told apart by that.
+        """
+        plain = np.array([w.isalpha() and max(w) <= "ÿ" for w in words], bool)
+        order = np.argsort(~plain, kind="stable")
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, int(plain.sum()), 1000):
+            own = order[at : min(at + 1000, int(plain.sum()))]
+            found = np.array(self._encoded([" ".join([words[i] for i in own])])[0], np.uint32)
+            cuts = np.flatnonzero(self.ends[found]) + 1
+            if len(cuts) != len(own):
+                raise ValueError("the tokenizer does not mark the ends of words")
+            ids.append(found)
+            sizes.append(np.diff(cuts, prepend=0))
+        for at in range(int(plain.sum()), len(words), 1000):
+            found = self._encoded([words[i] for i in order[at : at + 1000]])
+            ids.append(np.array([i for own in found for i in own], np.uint32))
+            sizes.append(np.array([len(own) for own in found], np.int64))
+        return order, np.concatenate(ids), np.concatenate(sizes)
+
+    def _units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[text.Words, np.ndarray]:
+        """Words without a last mark, and that mark's row (or 0) for each."""
+        words = text.Words(data, offsets)
+        if not len(words.start):
+            return words, np.zeros(0, np.int64)
+        foreign = np.r_[0, np.cumsum((data >= 128) | (data == ord("<")))]
+        bare = foreign[words.end] == foreign[words.start]
+        level = np.zeros(len(data) + 1, np.int8)
+        level[words.start[bare]] += 1
+        level[words.end[bare]] -= 1
+        upper = (data >= 65) & (data <= 90) & (np.cumsum(level[:-1]) > 0)
+        words.data = data + np.where(upper, 32, 0).astype(np.uint8)
+        last, before = data[words.end - 1], data[np.maximum(words.end - 2, 0)]
+        mark = np.where(last == ord("."), 1, np.where(last == ord(","), 2, 0))
+        letter = ((before | 32) >= 97) & ((before | 32) <= 122)
+        # A letter from U+00C0 to U+00FF: C3 and a second byte, which is not that of a sign.
+        lead = data[np.maximum(words.end - 3, 0)] == 0xC3
+        letter |= lead & (words.end - words.start > 2) & (before >= 128) & (before != 0x97) & (before != 0xB7)
+        mark[~letter | (words.end - words.start < 2)] = 0
+        cut = mark > 0
+        words.solid[words.end[cut] - 1] = False
+        words.end = words.end - cut
+        return words, mark
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents, each with its end id, and their number by document."""
-        words = text.Words(data, offsets)
-        distinct, first, inverse = np.unique(
-            words.hashes(lower=False), return_index=True, return_inverse=True)
-        if self.rows > CACHED:
-            self._empty()
-        listed = distinct.tolist()
-        new = [i for i, h in enumerate(listed) if h not in self.row]
-        if new:
-            raw = data.tobytes()
-            at = first[new]
-            self._learn([listed[i] for i in new], [
+        words, mark = self._units(data, offsets)
+        distinct, inverse, first = text.ranked(words.hashes(lower=False))
+        known, store = self.store.find(distinct), self.store
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            raw, at = words.data.tobytes(), first[new]
+            order, ids, lengths = self._tokenized([
                 raw[a:b].decode() for a, b in zip(words.start[at].tolist(), words.end[at].tolist())])
-            self.flat = [np.concatenate(self.flat)]
-            self.sizes = [np.concatenate(self.sizes)]
-        flat, sizes = self.flat[0], self.sizes[0]
-        begins = np.cumsum(sizes) - sizes
-        per_doc = words.counts()
-        rows = np.zeros(len(words.start) + words.n_docs, np.int64)
-        rows[np.arange(len(words.doc)) + words.doc] = np.array(
-            [self.row[h] for h in listed], np.int64)[inverse] if listed else 0
-        n = sizes[rows]
-        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begins[rows], n)
-        doc = np.repeat(np.arange(words.n_docs), per_doc + 1)
-        return flat[at], np.bincount(doc, n, words.n_docs).astype(np.int64)
+            known[new[order]] = store.append(ids, lengths) + np.arange(len(new))
+            if store.rows < CACHED:  # a full store stays as it is: it holds the frequent words
+                store.keep(distinct[new], known[new], len(ids))
+        # Rows of the text: each word, its mark if any, and the end of each document.
+        n_marks = np.cumsum(mark > 0)
+        place = np.arange(len(mark)) + words.doc + n_marks - (mark > 0)
+        per_doc = np.bincount(words.doc, 1 + (mark > 0), words.n_docs).astype(np.int64) + 1
+        rows = np.zeros(per_doc.sum(), np.int64)
+        if len(mark):
+            rows[place] = known[inverse]
+            rows[place[mark > 0] + 1] = mark[mark > 0]
+        n = store.size[rows].astype(np.int64)
+        at = np.arange(n.sum()) + np.repeat(store.begin[rows] - (np.cumsum(n) - n), n)
+        return store.flat[at], np.bincount(np.repeat(np.arange(words.n_docs), per_doc), n, words.n_docs).astype(np.int64)
+
+
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
+
+
+def encoder_of(path: str, end_id: int) -> WordEncoder:
+    """The encoder of this worker process, which serves one task after another."""
+    key = (path, end_id)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = WordEncoder(path, end_id)
+    return _ENCODERS[key]
 
 
 def _opened(path: str):
@@ -246,7 +315,7 @@ def _writing(folder: str, tokenizer_path: str, end_id: int):
         writer = None
         for batch in batches:
             if writer is None:
-                encoder = WordEncoder(tokenizer_path, end_id)
+                encoder = encoder_of(tokenizer_path, end_id)
                 system, at = _opened(folder)
                 system.create_dir(at, recursive=True)
                 name = f"part-{task.partitionId():06d}.ids"

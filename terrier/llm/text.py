@@ -34,6 +34,17 @@ def seeds(n: int, salt: int) -> np.ndarray:
     return mixed(np.arange(1, n + 1, dtype=np.uint64) * _GOLDEN + np.uint64(salt))
 
 
+def ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, the place of every key among them, and one place of each in ``keys``."""
+    order = np.argsort(keys)
+    found = keys[order]
+    new = np.ones(len(found), bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    rank = np.empty(len(keys), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return found[new], rank, order[new]
+
+
 def parts(column, limit: int = PART_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Row number of the first document, bytes of all documents, and their n + 1 offsets."""
     done = 0
