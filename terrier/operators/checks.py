@@ -72,51 +72,47 @@ def _row_failure(check: Check) -> Column:
     raise ValueError(f"not a row-level check: {check.kind}")
 
 
-def _row_level(table: DataFrame, checks: list[Check]) -> DataFrame:
-    """All row-level checks of one table in a single pass."""
-    totals = table.agg(*(F.count_if(_row_failure(c)).alias(f"f{i}") for i, c in enumerate(checks)))
-    results = F.array(
-        *(
-            F.struct(
-                F.lit(c.model).alias("model"),
-                F.lit(c.column).alias("column_name"),
-                F.lit(c.kind).alias("check_name"),
-                F.col(f"f{i}").alias("failures"),
-            )
-            for i, c in enumerate(checks)
-        )
-    )
-    return totals.select(F.inline(results))
-
-
-def _labelled(check: Check, failures: DataFrame) -> DataFrame:
-    return failures.select(
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.kind).alias("check_name"),
-        F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"),
-    )
-
-
-def _orphans(check: Check, child: DataFrame, parent: DataFrame) -> DataFrame:
-    """Number of orphan rows; the child is reduced to one row per key before the join."""
-    rows = child.where(check.where) if check.where else child
-    keys = rows.where(F.col(check.column).isNotNull()).groupBy(check.column)
-    counted = keys.agg(F.count(F.lit(1)).alias("n"))
-    lost = relationships(counted, check.column, parent, check.column)
-    return _labelled(check, lost.agg(F.sum("n").alias("failures")))
+def _found(table: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
+    """One pass over a table: failing rows per row check, rows per key for checks on keys."""
+    cases = []
+    for i, check in checks:
+        if check.kind in ("unique", "relationships"):
+            key = F.col(check.column)
+            wanted = key.isNotNull() & F.expr(check.where) if check.where else key.isNotNull()
+        else:
+            key, wanted = F.lit(None), _row_failure(check)
+        cases.append(F.when(wanted, F.struct(F.lit(i).alias("check"), key.cast("string").alias("key"))))
+    each = table.select(F.explode(F.array_compact(F.array(*cases))).alias("_c")).select("_c.*")
+    return each.groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
 def run_checks(table: Callable[[str], DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """One row per check: model, column, kind and number of failures."""
-    results = []
-    row_level = [c for c in checks if c.kind not in ("unique", "relationships")]
-    for model in dict.fromkeys(c.model for c in row_level):
-        results.append(_row_level(table(model), [c for c in row_level if c.model == model]))
-    for c in checks:
-        if c.kind == "unique":
-            repeated = unique(table(c.model), c.column)
-            results.append(_labelled(c, repeated.agg(F.count(F.lit(1)).alias("failures"))))
-        elif c.kind == "relationships":
-            results.append(_orphans(c, table(c.model), table(c.to)))
-    return reduce(DataFrame.unionByName, results)
+    """One row per check: model, column, kind and number of failures.
+
+    Every model is read once, and the parent of every relationship once more for its keys.
+    """
+    numbered = list(enumerate(checks))
+    found = reduce(DataFrame.unionByName, (
+        _found(table(model), [(i, c) for i, c in numbered if c.model == model])
+        for model in dict.fromkeys(c.model for c in checks)
+    ))
+    related = [(i, c) for i, c in numbered if c.kind == "relationships"]
+    if related:
+        parents = reduce(DataFrame.unionByName, (
+            table(c.to).select(F.lit(i).alias("check"), F.col(c.column).cast("string").alias("key"))
+            for i, c in related
+        ))
+        known = parents.distinct().withColumn("known", F.lit(True))
+        found = found.join(known, ["check", "key"], "left")
+    else:
+        found = found.withColumn("known", F.lit(None).cast("boolean"))
+    unique_ones = [i for i, c in numbered if c.kind == "unique"]
+    failing = F.when(F.col("check").isin(unique_ones), (F.col("n") > 1).cast("bigint")).when(
+        F.col("known").isNull(), F.col("n"))
+    totals = found.groupBy("check").agg(F.sum(failing).alias("failures"))
+    spark = found.sparkSession
+    named = spark.createDataFrame(
+        [(i, c.model, c.column, c.kind) for i, c in numbered],
+        "check int, model string, column_name string, check_name string")
+    return named.join(totals, "check", "left").select(
+        "model", "column_name", "check_name", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"))

@@ -112,3 +112,16 @@ def test_rows_loaded_since_the_last_run(spark):
     times = [dt.datetime(2024, 1, 1), dt.datetime(2024, 6, 1), None]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "k int, CREATED_AT timestamp")
     assert [r.k for r in history.loaded_since(df, dt.datetime(2024, 3, 1)).collect()] == [1]
+
+
+def test_a_scope_removes_what_it_wrote(spark):
+    import os
+
+    from terrier.session import scratch_scope, written
+
+    kept = written(_load(spark, [("a", "x", 1)]), "kept")
+    with scratch_scope(spark):
+        gone = written(_load(spark, [("b", "x", 1)]), "gone")
+        path = gone.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path) and gone.count() == 1
+    assert not os.path.exists(path) and kept.count() == 1
