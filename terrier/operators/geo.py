@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_M = 6371000.0
@@ -45,6 +45,10 @@ def cell(coordinate: Column, step: float) -> Column:
     return F.floor(F.round(coordinate, 6) / F.lit(float(step))).cast("bigint")
 
 
+# Cells per radius: a circle then holds some whole cells and is bordered by small ones.
+FINENESS = 3
+
+
 def sales_near(
     sites: DataFrame,
     points: DataFrame,
@@ -54,38 +58,64 @@ def sales_near(
 ) -> DataFrame:
     """Weight of the ``points`` within a radius of each site, and distance of the nearest one.
 
-    Both sides carry ``X_LAMBERT93`` and ``Y_LAMBERT93``. Points at one place are merged first.
-    Sites are then repeated into the nine cells around them, so that points meet only sites in
-    neighbouring cells.
+    Both sides carry ``X_LAMBERT93`` and ``Y_LAMBERT93``. Points at one place are merged first, and
+    places summed up in cells with their bounds. Sites meet the cells around them: a cell that lies
+    within the circle adds its sum. Only places of cells on the border, and of those that may hold the
+    nearest one, are paired with the site, so a dense town centre is not.
     """
     x, y = "X_LAMBERT93", "Y_LAMBERT93"
+    step = radius_m / FINENESS
     places = (
         points.where(F.col(x).isNotNull() & F.col(y).isNotNull())
         .groupBy(x, y)
         .agg(F.sum(weight).alias("_w"))
         .select(
             F.col(x).alias("_px"), F.col(y).alias("_py"), "_w",
-            cell(F.col(x), radius_m).alias("_cx"), cell(F.col(y), radius_m).alias("_cy"),
+            cell(F.col(x), step).alias("_cx"), cell(F.col(y), step).alias("_cy"),
         )
     )
-    around = F.sequence(F.lit(-1), F.lit(1))
+    cells = places.groupBy("_cx", "_cy").agg(
+        F.sum("_w").alias("_all"), F.min("_px").alias("_x0"), F.max("_px").alias("_x1"),
+        F.min("_py").alias("_y0"), F.max("_py").alias("_y1"))
     located = sites.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         site_id, F.col(x).alias("_sx"), F.col(y).alias("_sy")
     )
+    around = F.sequence(F.lit(-FINENESS), F.lit(FINENESS))
     spread = (
         located.withColumn("_dx", F.explode(around))
         .withColumn("_dy", F.explode(around))
         .select(
             site_id, "_sx", "_sy",
-            (cell(F.col("_sx"), radius_m) + F.col("_dx")).alias("_cx"),
-            (cell(F.col("_sy"), radius_m) + F.col("_dy")).alias("_cy"),
+            (cell(F.col("_sx"), step) + F.col("_dx")).alias("_cx"),
+            (cell(F.col("_sy"), step) + F.col("_dy")).alias("_cy"),
         )
     )
-    gap = planar_m(F.col("_sx"), F.col("_sy"), F.col("_px"), F.col("_py"))
-    return (
-        places.join(spread, ["_cx", "_cy"])
-        .withColumn("_d", gap)
+
+    def nearest(c: str, low: str, high: str) -> Column:
+        return F.greatest(F.col(low), F.least(F.col(c), F.col(high)))
+
+    def farthest(c: str, low: str, high: str) -> Column:
+        return F.when(F.col(c) - F.col(low) > F.col(high) - F.col(c), F.col(low)).otherwise(F.col(high))
+
+    def gap(px: Column, py: Column) -> Column:
+        return planar_m(F.col("_sx"), F.col("_sy"), px, py)
+
+    near = (
+        spread.join(cells, ["_cx", "_cy"])
+        .withColumn("_from", gap(nearest("_sx", "_x0", "_x1"), nearest("_sy", "_y0", "_y1")))
+        .withColumn("_to", gap(farthest("_sx", "_x0", "_x1"), farthest("_sy", "_y0", "_y1")))
+        .where(F.col("_from") <= radius_m)
+        .withColumn("_inside", F.col("_to") <= radius_m)
+        .withColumn("_best", F.min("_to").over(Window.partitionBy(site_id, "_sx", "_sy")))
+        .drop("_x0", "_x1", "_y0", "_y1")
+    )
+    whole = near.where("_inside").select(site_id, F.col("_all").alias("_w"), F.lit(None).cast("double").alias("_d"))
+    paired = (
+        near.where(~F.col("_inside") | (F.col("_from") <= F.col("_best")))
+        .join(places, ["_cx", "_cy"])
+        .withColumn("_d", gap(F.col("_px"), F.col("_py")))
         .where(F.col("_d") <= radius_m)
-        .groupBy(site_id)
-        .agg(F.sum("_w").alias("nb_near"), F.min("_d").alias("nearest_m"))
+        .select(site_id, F.when(~F.col("_inside"), F.col("_w")).alias("_w"), "_d")
     )
+    return whole.unionByName(paired).groupBy(site_id).agg(
+        F.sum("_w").alias("nb_near"), F.min("_d").alias("nearest_m"))

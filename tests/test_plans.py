@@ -126,3 +126,20 @@ def test_a_stored_star_parses_raw_sales_once(spark):
         assert raw.isdisjoint(f.split("/")[-2] for f in df.inputFiles())
     tree = plan(fact.fct_mutation(star.sales, star.dim_address_enriched))
     assert "NATURE_MUTATION" in tree and "regexp" not in tree.split("\n\n")[0]
+
+
+def test_the_street_level_shuffles_the_register_once(spark):
+    """One exchange serves the cut to asked keys, the merge of points, the choice and the join."""
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        spark.conf.set(threshold, "-1")
+        ctx = context(spark, FOLDER)
+        register = ctx.lazy.stg_ban_addresses_normalized
+        keyed = ctx.gold.dim_address.withColumn("key", geocode.sale_match_keys()["VOIE_SEULE"])
+        side = geocode.LEVEL_SIDES["VOIE_SEULE"](geocode.asked_for(register, "VOIE_SEULE", keyed))
+        tree = plan(geocode.lookup_left(keyed, side, "key")).split("\n\n")[0]
+        # The addresses twice (their keys, themselves), the register once.
+        assert tree.count("Exchange") == 3
+    finally:
+        spark.conf.set(threshold, before)

@@ -161,3 +161,29 @@ def test_stored_star_equals_lazy_star(spark, tmp_path):
         assert kept.exceptAll(plain).count() == 0
         assert kept.count() == plain.count()
     assert tables["fct_mutation"].where(F.col("CREATED_AT").isNull()).count() == 0
+
+
+def test_sales_near_sites_agree_with_all_pairs(spark):
+    import math
+    import random
+
+    from terrier.operators.geo import sales_near
+
+    chance = random.Random(12)
+    columns = "X_LAMBERT93 double, Y_LAMBERT93 double"
+    points = [(chance.gauss(0, 120), chance.gauss(0, 120), chance.randrange(1, 5)) for _ in range(900)]
+    points += points[:50] + [(None, 1.0, 1), (0.0, 0.0, 2), (100.0, 0.0, 3)]
+    sites = [(i, chance.uniform(-400, 400), chance.uniform(-400, 400)) for i in range(60)] + [(60, 0.0, 0.0), (61, None, 0.0)]
+    got = sales_near(
+        spark.createDataFrame(sites, f"id int, {columns}"), spark.createDataFrame(points, f"{columns}, w int"),
+        "id", "w", 100.0)
+    wanted = {}
+    for i, x, y in sites:
+        if x is not None:
+            near = [(math.hypot(x - a, y - b), w) for a, b, w in points if a is not None]
+            near = [(d, w) for d, w in near if d <= 100.0]
+            if near:
+                wanted[i] = (sum(w for _, w in near), min(near)[0])
+    found = {r.id: (r.nb_near, r.nearest_m) for r in got.collect()}
+    assert {k: v[0] for k, v in found.items()} == {k: v[0] for k, v in wanted.items()}
+    assert all(abs(found[k][1] - wanted[k][1]) < 1e-9 for k in wanted)
