@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrier.llm import text
+
 BLOCK_BYTES = 8 << 20
 ASKED = "range int, block int, keys binary, counts binary"
 ANSWERED = "block int, range int, counts binary"
@@ -88,11 +90,11 @@ def question(block: int, keys: np.ndarray, counts: np.ndarray, n: int) -> pa.Tab
 def totals(messages: pa.Table) -> tuple[np.ndarray, np.ndarray, Callable[[int], bytes]]:
     """Distinct keys of all messages, their summed counts, and the answer to each message."""
     keys = [_spread(k) for k in messages["keys"].to_pylist()]
-    distinct = np.unique(np.concatenate(keys))
-    total = np.zeros(len(distinct), np.uint64)
-    for own, counts in zip(keys, messages["counts"].to_pylist()):
-        total[np.searchsorted(distinct, own)] += _wide(counts)  # keys of a message differ
-    return distinct, total, lambda i: _narrow(total[np.searchsorted(distinct, keys[i])])
+    distinct, rank, _ = text.ranked(np.concatenate(keys))
+    counts = np.concatenate([_wide(c) for c in messages["counts"].to_pylist()])
+    total = np.bincount(rank, counts, len(distinct)).astype(np.uint64)
+    places = np.split(rank, np.cumsum([len(k) for k in keys])[:-1])
+    return distinct, total, lambda i: _narrow(total[places[i]])
 
 
 def answers(messages: pa.Table) -> np.ndarray:
