@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrier.llm import bit_packing, decontaminate, gam_quality, mixing, order_minhash
+from terrier.llm.ship import ship
 from terrier.session import scratch_path
 
 #: Weights by level: domains (by source number), languages, sources.
@@ -77,6 +78,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")

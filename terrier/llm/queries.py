@@ -2,36 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-import terrier
 from terrier.llm import (backoff_lm, bit_packing, chat_format, decontaminate, gam_quality, host_rules,
                          mixing, order_minhash, ppm_language, suffix_dedup)
 from terrier.llm.oracles import ORACLES  # noqa: F401
+from terrier.llm.ship import ship
 from terrier.session import written
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Gives the executors this package, which they need not have installed. Once a session."""
-    application = spark.sparkContext.applicationId
-    if application not in _SHIPPED:
-        package = os.path.dirname(os.path.abspath(terrier.__file__))
-        archive = shutil.make_archive(
-            os.path.join(tempfile.mkdtemp(prefix="terrier-"), "terrier"), "zip",
-            os.path.dirname(package), os.path.basename(package))
-        spark.sparkContext.addPyFile(archive)
-        _SHIPPED.add(application)
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -111,7 +92,6 @@ def op10_backoff_lm(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    ship(spark)
     return corpus_pipeline.run(spark, folder)
 
 
