@@ -6,9 +6,9 @@ damped, to the feature's lookup table. Then pairs of features whose joint cells
 is left get two-way tables the same way. A document's score is the logistic function of a sum of
 table entries, so scoring is one vectorised addition per feature and pair.
 
-The model is fitted on the driver on a bounded sample: the ``max_rows`` (20,000) labelled rows with
-the smallest hash of their id. Only these ids are broadcast, which the bound makes small; features
-are computed where the documents are. Scoring reads documents once and shuffles nothing.
+The model is fitted on the driver on a bounded sample of about ``max_rows`` (20,000) labelled rows, those
+whose hashed id is below that share of the hash range. Only these ids are broadcast, which the bound
+makes small; features are computed where the documents are. Scoring reads documents once and shuffles nothing.
 
 Nulls: a null text counts as empty and gets a score too; labels that are null, or of an id that is
 null, are not learned; an id with several labels has the smallest. With no labelled row, or one class
@@ -29,6 +29,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from terrier.llm import text
 from terrier.llm.host_rules import count_columns
+from terrier.llm.sampling import hashed_share
 
 MAX_ROWS = 20_000
 BINS = 32
@@ -222,12 +223,10 @@ def _featured(batches):
 def fit(docs: DataFrame, labels: DataFrame, trainable: Column, label_column: str = "quality",
         id_column: str = "doc_id", text_column: str = "text", max_rows: int = MAX_ROWS) -> Gam:
     """A model of the rows of ``labels`` for which ``trainable``, a condition on them, holds."""
-    sample = (
-        labels.filter(trainable & F.col(id_column).isNotNull() & F.col(label_column).isNotNull())
-        .groupBy(F.col(id_column).alias("gam_id"))
-        .agg(F.min(label_column).cast("int").alias("gam_label"))
-        .orderBy(F.xxhash64("gam_id"), "gam_id").limit(max_rows)
-    )
+    known = labels.filter(trainable & F.col(id_column).isNotNull() & F.col(label_column).isNotNull())
+    known = known.select(F.col(id_column).alias("gam_id"), F.col(label_column).cast("int").alias("gam_label"))
+    sample = known.filter(hashed_share("gam_id", max_rows, known.count())).groupBy("gam_id").agg(
+        F.min("gam_label").alias("gam_label"))
     own = docs.select(F.col(id_column).alias("gam_id"), F.col(text_column).alias("gam_text"))
     rows = (
         own.join(F.broadcast(sample), "gam_id").select("gam_text", "gam_label")
