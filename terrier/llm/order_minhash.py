@@ -50,6 +50,7 @@ _SEEDS = text.seeds(SKETCHES, 3)
 _PLACES = text.seeds(KEPT, 4) | np.uint64(1)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 CELL = 1024
+SALTS = 32
 _COLUMNS = 1 << 13  # shingles in one matrix product
 _WIDE = 1 << 20  # cells of the table of hash functions and shingles that is held at once
 
@@ -302,12 +303,11 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_column:
     sketched = written(
         own.mapInArrow(_sketched, "id long, digest binary, n long, sketches array<long>"), "sketches")
     known = sketched.filter("digest is not null and id is not null")
-    # One row for each word sequence, under its smallest id.
-    copies = known.groupBy("digest").agg(F.min("id").alias("first"))
-    firsts = written(
-        known.join(copies, "digest").filter("id = first").select("id", "n", "sketches")
-        .dropDuplicates(["id", "n", "sketches"]), "firsts")
-    buckets = firsts.select("id", "n", F.posexplode("sketches").alias("sketch", "value"))
+    # One row for each word sequence, under its smallest id: copies are reduced on the map side.
+    copies = written(known.groupBy("digest").agg(
+        F.min(F.struct("id", "sketches")).alias("first"), F.count(F.lit(1)).alias("rows")), "copies")
+    firsts = copies.select("first.id", "first.sketches")
+    buckets = firsts.select("id", F.posexplode("sketches").alias("sketch", "value"))
     hubs = buckets.groupBy("sketch", "value").agg(
         F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("members")
     ).filter("low < high")
@@ -329,9 +329,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_column:
     open_texts = texts.join(open_.select("id").distinct(), "id", "left_semi")
     found = written(settled(open_, open_texts, similarity).distinct(), "found")
     extra = verified(found, texts, similarity)
-    # Copies hang on the first of their word sequence; rows of one id are one document.
-    same = known.join(copies, "digest").filter("id != first").select(
-        F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    # Copies hang on the first of their word sequence, and rows of one id are one document. Copies of one
+    # text may be a third of all rows: they are spread over ``SALTS`` tasks.
+    several = copies.filter("rows > 1").select(
+        "digest", F.col("first.id").alias("a"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = known.select("digest", F.col("id").alias("b"), F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+    same = salted.join(several, ["digest", "salt"]).filter("a != b").select("a", "b").distinct()
     joined = classes.select(F.col("component").alias("a"), F.col("node").alias("b"))
     whole = components(joined, extra, same)
     return _classed(own.select("id"), whole).select("id", F.col("class").alias("class_id"))
