@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrier.session import written
+
 SLICES = 4096  # ranges of three hexadecimal digits
 
 
@@ -99,17 +101,22 @@ def mixed_documents(docs: DataFrame, path: list[Column], weights: list[dict[str,
     leaves = marked.groupBy(*names).agg(F.sum("mix_tokens").alias("mix_tokens"))
     total = leaves.agg(F.sum("mix_tokens")).first()[0] or 0
     plan = budgets(leaves, depth, weights, int(total * share), max_epochs)
-    plan = plan.select(
+    # Written: with its size known, the plan of some leaves is sent to the documents, which would
+    # otherwise be shuffled by leaf, a hot one into one task.
+    plan = written(plan.select(
         *names,
         F.when(F.col("mix_tokens") > 0, F.expr("mix_budget div mix_tokens")).otherwise(0)
         .cast("long").alias("mix_epochs"),
         F.when(F.col("mix_tokens") > 0, F.expr("mix_budget % mix_tokens")).otherwise(0)
-        .cast("long").alias("mix_rest"))
+        .cast("long").alias("mix_rest")), "mix-plan")
     key = F.md5(F.concat_ws(":", F.lit(seed), F.col("mix_epochs").cast("string"),
                             F.coalesce(F.col(id_column).cast("string"), F.lit(""))))
     keyed = marked.join(plan, names).withColumn("mix_key", key).withColumn(
         "mix_slice", F.substring("mix_key", 1, 3))
-    slices = keyed.groupBy(*names, "mix_slice").agg(F.sum("mix_tokens").alias("mix_in_slice"))
+    # Written, so that the sums of a leaf's slices are complete before they meet in one task: as one
+    # plan, every map task's part of them would go there.
+    slices = written(keyed.groupBy(*names, "mix_slice").agg(
+        F.sum("mix_tokens").alias("mix_in_slice")), "mix-slices")
     running = Window.partitionBy(*names).orderBy("mix_slice").rowsBetween(
         Window.unboundedPreceding, -1)
     slices = slices.select(*names, "mix_slice", F.coalesce(
