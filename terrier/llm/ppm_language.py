@@ -8,8 +8,8 @@ escape of probability ``T / (C + T)`` leads to the context without its first byt
 sum of logarithms. The language with the shortest code wins (ties: first by name); the score is its
 probability among all languages given these exact code lengths.
 
-Training is on a bounded sample: of each language the ``max_rows`` (1,000) rows with the smallest hash
-of their id. Grams are counted by Spark; the model keeps the ``MAX_CONTEXTS`` most frequent contexts of
+Training is on a bounded sample: of each language about ``max_rows`` (1,000) rows, those whose hashed
+id is below that share of the hash range (rows of one id go together). Grams are counted by Spark; the model keeps the ``MAX_CONTEXTS`` most frequent contexts of
 each length, which bounds what is sent to the executors. Lookup tables hold all languages side by side:
 one table lookup per byte and context length finds the gram, one row of numbers its code lengths.
 Documents are read once and not shuffled.
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrier.llm import text
+from terrier.llm.sampling import hashed_share
 
 ORDER = 3
 MAX_ROWS = 1_000
@@ -143,16 +144,14 @@ def fit(docs: DataFrame, trainable: Column, id_column: str = "doc_id", text_colu
         language_column: str = "lang", max_rows: int = MAX_ROWS) -> Model:
     """A model of the rows for which ``trainable`` holds and text and language are known."""
     rows = docs.filter(trainable).select(
-        F.col(language_column).alias("lang"), F.col(text_column).alias("text"),
-        F.xxhash64(id_column).alias("place")).filter("lang is not null and text is not null")
-    first = Window.partitionBy("lang").orderBy("place")
-    # One number per language: up to which hash its rows are learned.
-    limits = rows.select("lang", "place").withColumn("r", F.row_number().over(first)).filter(
-        F.col("r") <= max_rows).groupBy("lang").agg(F.max("place").alias("last")).collect()
-    languages = sorted(r["lang"] for r in limits)
+        F.col(language_column).alias("lang"), F.col(text_column).alias("text"), F.col(id_column).alias("id"),
+    ).filter("lang is not null and text is not null")
+    # One number per language: how many rows there are. Nothing is sorted, whatever its share.
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    languages = sorted(counts)
     chosen = F.lit(False)
-    for r in limits:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (F.col("place") <= r["last"]))
+    for name, n in counts.items():
+        chosen = chosen | ((F.col("lang") == name) & hashed_share("id", max_rows, n))
     grams = rows.filter(chosen).select("lang", "text").mapInArrow(
         _grams, "lang string, k int, gram long, n long")
     grams = grams.groupBy("k", "gram", "lang").agg(F.sum("n").alias("n"))
