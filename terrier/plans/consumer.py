@@ -131,3 +131,30 @@ def most_active_communes(fact: DataFrame, communes: DataFrame, top: int = 10) ->
         .orderBy(F.desc("nb_transactions"), "COMMUNE", "CODE_DEPARTEMENT")
         .limit(top)
     )
+
+
+def sales_by_star(
+    sales: DataFrame, communes: DataFrame, types: DataFrame, postcodes: DataFrame
+) -> DataFrame:
+    """Sales per commune, premises type and postcode; unknown keys are kept.
+
+    Sales are counted per key combination first: the dimensions meet the groups only.
+    """
+    by = ["COMMUNE_ID", "TYPE_LOCAL_ID", "CODE_POSTAL_ID"]
+    groups = sales.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    return (
+        groups.join(communes.select("COMMUNE_ID", "COMMUNE"), "COMMUNE_ID", "left")
+        .join(types.select("TYPE_LOCAL_ID", "TYPE_LOCAL"), "TYPE_LOCAL_ID", "left")
+        .join(postcodes.select("CODE_POSTAL_ID", "CODE_POSTAL"), "CODE_POSTAL_ID", "left")
+        .select("COMMUNE", "TYPE_LOCAL", "CODE_POSTAL", "n")
+    )
+
+
+def volume_by_commune_and_type(fact: DataFrame, communes: DataFrame, types: DataFrame) -> DataFrame:
+    """Volume of sales of known commune and premises type."""
+    groups = fact.groupBy("COMMUNE_ID", "TYPE_LOCAL_ID").agg(F.sum("VALEUR_FONCIERE").alias("volume"))
+    return (
+        groups.join(_commune_names(communes), "COMMUNE_ID")
+        .join(types.select("TYPE_LOCAL_ID", "TYPE_LOCAL"), "TYPE_LOCAL_ID")
+        .select("COMMUNE", "CODE_DEPARTEMENT", "TYPE_LOCAL", "volume")
+    )

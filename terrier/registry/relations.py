@@ -11,7 +11,7 @@ from terrier.functions import keys
 from terrier.functions.scoring import level_rank
 from terrier.operators import dedup
 from terrier.operators.quantiles import Quantile, Summary, grouped_median, summarise
-from terrier.plans import dims, fact, geocode, kpi, reports
+from terrier.plans import consumer, dims, fact, geocode, kpi, reports
 from terrier.registry import oracle_tables as o
 from terrier.registry.core import as_double, outcomes, outcomes_sql, register, rounded
 
@@ -128,23 +128,12 @@ register(
 )
 
 
-def _star_join(c):
-    """Sales counted per key combination first; the dimensions meet the groups only."""
-    by = ["COMMUNE_ID", "TYPE_LOCAL_ID", "CODE_POSTAL_ID"]
-    groups = kpi.eligible(c.gold.fct_mutation).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    return (
-        groups.join(c.gold.dim_commune.select("COMMUNE_ID", "COMMUNE"), "COMMUNE_ID", "left")
-        .join(c.gold.dim_type_local.select("TYPE_LOCAL_ID", "TYPE_LOCAL"), "TYPE_LOCAL_ID", "left")
-        .join(
-            c.gold.dim_code_postal.select("CODE_POSTAL_ID", "CODE_POSTAL"), "CODE_POSTAL_ID", "left"
-        )
-        .select("COMMUNE", "TYPE_LOCAL", "CODE_POSTAL", "n")
-    )
-
-
 register(
     "jn_13_star_join",
-    _star_join,
+    lambda c: consumer.sales_by_star(
+        kpi.eligible(c.gold.fct_mutation), c.gold.dim_commune, c.gold.dim_type_local,
+        c.gold.dim_code_postal,
+    ),
     outcomes_sql("sales", COMMUNE="COMMUNE", TYPE_LOCAL="TYPE_LOCAL", CODE_POSTAL="CODE_POSTAL"),
 )
 register(
@@ -162,20 +151,14 @@ register(
 )
 
 
-def _inner_star(c):
-    groups = c.gold.fct_mutation.groupBy("COMMUNE_ID", "TYPE_LOCAL_ID").agg(
-        F.sum("VALEUR_FONCIERE").cast("double").alias("volume")
-    )
-    return (
-        groups.join(c.gold.dim_commune, "COMMUNE_ID")
-        .join(c.gold.dim_type_local, "TYPE_LOCAL_ID")
-        .select("COMMUNE", "CODE_DEPARTEMENT", "TYPE_LOCAL", "volume")
-    )
-
-
 register(
     "jn_15_inner_star_join",
-    _inner_star,
+    lambda c: as_double(
+        consumer.volume_by_commune_and_type(
+            c.gold.fct_mutation, c.gold.dim_commune, c.gold.dim_type_local
+        ),
+        "volume",
+    ),
     """SELECT COMMUNE, CODE_DEPARTEMENT, TYPE_LOCAL, CAST(sum(VALEUR_FONCIERE) AS DOUBLE) AS volume
     FROM fct_mutation JOIN dim_commune USING (COMMUNE_ID) JOIN dim_type_local USING (TYPE_LOCAL_ID)
     GROUP BY ALL""",
