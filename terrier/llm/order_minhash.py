@@ -7,7 +7,14 @@ common subsequence). Texts of 0.8 or more are linked; classes are the connected
 Sketches. Shingles get their occurrence number, so that repeats count. For each of ``SKETCHES`` hash
 functions the ``KEPT`` smallest labelled shingles are listed in the order of the text: unlike a plain
 MinHash, equal sketches ask for equal order, as edit similarity does. Texts at 0.8 share one sketch
-with probability about 0.33, so 32 sketches miss a pair of them with 3 in a million.
+with probability about 0.33, so 32 sketches miss a pair of them with 3 in a million (6 in a million
+at 65 shingles). Texts of fewer shingles than ``KEPT`` smallest ones or little more would be missed far
+more often, so pairs of texts of at most ``SHORT`` shingles do not hang on sketches.
+
+Short texts. Similar texts share at least 0.8 of the labelled shingles of either, so in any order of all
+shingles their first ``n - ceil(0.8 * n) + 1`` have one in common. These, rarest first, are the keys of
+further buckets: two similar short texts always share a bucket. A shingle that no other text has takes
+its place in that order but needs no bucket.
 
 Candidates without pairs of whole groups. Equal word sequences are one text first. Then every text is
 paired with the smallest and the largest id of each of its buckets only; verified pairs give classes.
@@ -46,6 +53,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 32
 KEPT = 5
+SHORT = 64
 _SEEDS = text.seeds(SKETCHES, 3)
 _PLACES = text.seeds(KEPT, 4) | np.uint64(1)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -75,7 +83,7 @@ def sketches(values: np.ndarray) -> np.ndarray:
 
 def _sketched(batches):
     for batch in batches:
-        digests, counts, signs = [], [], []
+        digests, counts, signs, short = [], [], [], []
         for _, data, offsets in text.parts(batch.column(1)):
             words = text.Words(data, offsets)
             hashes = words.hashes()
@@ -86,6 +94,7 @@ def _sketched(batches):
             word_at = np.searchsorted(words.doc, np.arange(words.n_docs + 1))
             for a, b, x, y in zip(at, at[1:], word_at, word_at[1:]):
                 counts.append(b - a)
+                short.append(values[a:b].view(np.int64) if 0 < b - a <= SHORT else None)
                 if b == a:
                     digests.append(None)
                     signs.append(None)
@@ -100,8 +109,8 @@ def _sketched(batches):
                 signs.append(sketches(values[a:b]).view(np.int64))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()),
-             pa.array(signs, pa.list_(pa.int64()))],
-            names=["id", "digest", "n", "sketches"])
+             pa.array(signs, pa.list_(pa.int64())), pa.array(short, pa.list_(pa.int64()))],
+            names=["id", "digest", "n", "sketches", "short"])
 
 
 def _sequence(raw: str) -> np.ndarray:
@@ -291,6 +300,21 @@ def settled(open_: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
     return sorted_.mapInArrow(_settling(similarity), "a long, b long")
 
 
+def prefix_buckets(firsts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``id``, ``sketch``, ``value`` of the buckets in which all similar short texts meet.
+
+    ``firsts`` has ``digest``, ``id`` and the labelled shingles ``short``, null for a longer text.
+    """
+    own = firsts.select("digest", "id", F.size("short").alias("n"), F.explode("short").alias("value"))
+    rows = own.groupBy("value").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    ranked = own.join(rows, "value").groupBy("digest", "id", "n").agg(
+        F.array_sort(F.collect_list(F.struct("rows", "value"))).alias("known"))
+    lone = F.col("n") - F.size("known")
+    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(1e-9)) + 1
+    first = F.slice("known", F.lit(1), F.greatest(prefix - lone, F.lit(0)).cast("int"))
+    return ranked.select("id", F.lit(SKETCHES).alias("sketch"), F.explode(first.getField("value")).alias("value"))
+
+
 def _classed(nodes: DataFrame, classes: DataFrame, key: str = "id") -> DataFrame:
     return nodes.join(classes.withColumnRenamed("node", key), key, "left").withColumn(
         "class", F.coalesce("component", F.col(key))).drop("component")
@@ -301,13 +325,15 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_column:
     """``id`` and ``class_id`` (the smallest id of its class) for every row."""
     own = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     sketched = written(
-        own.mapInArrow(_sketched, "id long, digest binary, n long, sketches array<long>"), "sketches")
+        own.mapInArrow(_sketched, "id long, digest binary, n long, sketches array<long>, short array<long>"),
+        "sketches")
     known = sketched.filter("digest is not null and id is not null")
     # One row for each word sequence, under its smallest id: copies are reduced on the map side.
     copies = written(known.groupBy("digest").agg(
-        F.min(F.struct("id", "sketches")).alias("first"), F.count(F.lit(1)).alias("rows")), "copies")
-    firsts = copies.select("first.id", "first.sketches")
-    buckets = firsts.select("id", F.posexplode("sketches").alias("sketch", "value"))
+        F.min(F.struct("id", "sketches", "short")).alias("first"), F.count(F.lit(1)).alias("rows")), "copies")
+    firsts = copies.select("digest", "first.id", "first.sketches", "first.short")
+    buckets = firsts.select("id", F.posexplode("sketches").alias("sketch", "value")).unionByName(
+        written(prefix_buckets(firsts, similarity), "prefixes"))
     hubs = buckets.groupBy("sketch", "value").agg(
         F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("members")
     ).filter("low < high")

@@ -91,6 +91,25 @@ def test_classes_agree_with_all_pairs(spark):
     assert got == classes(sorted(rows))
 
 
+def test_short_texts_agree_with_all_pairs(spark):
+    """8 against 9 words share 4 of 5 shingles; 9 against 10, 12 against 14, 16 against 19 are close too."""
+    chance = random.Random(5)
+    rows = []
+    for group in range(120):
+        words = [f"g{group}x{i}" for i in range(chance.choice([9, 10, 14, 19, 40, 66]))]
+        cut = -(-(len(words) - 4) * 4 // 5) + 4
+        rows.append((len(rows), " ".join(words)))
+        rows.append((len(rows), " ".join(words[:cut])))
+        rows.append((len(rows), " ".join(words[len(words) - cut + chance.randrange(2) :])))
+    line = [f"c{i}" for i in range(8)]  # a line that many texts hold, and its like
+    rows += [(len(rows) + i, " ".join(line + [f"o{i}"])) for i in range(20)]
+    rows += [(len(rows), " ".join(line)), (len(rows) + 1, " ".join(line[:7]))]
+    rows += [(len(rows) + i, "ab ab " * i) for i in range(1, 9)]
+    docs = spark.createDataFrame(chance.sample(rows, len(rows)), "doc_id long, text string")
+    got = {r.id: r.class_id for r in order_minhash.near_duplicates(docs).collect()}
+    assert got == classes(sorted(rows))
+
+
 def test_query_on_whole_documents(spark, documents):
     got = {r.doc_id: r.class_id for r in queries.op3_order_minhash(spark, FOLDER).collect()}
     lower = {c: c + 32 for c in range(65, 91)}
