@@ -15,6 +15,10 @@ asks for the counts of the n-grams that its own texts contain (those of its trai
 the corpus counts are made of), gets them in the order it asked, and builds the part of the automaton
 that its documents can reach. See ``exchange``. N-grams and words are known by 64-bit hashes.
 
+Words and pairs are asked about first, then each longer n-gram in a round of its own, and only where both
+of the n-grams that are one word shorter are counted in training and stand in several blocks. Of all
+others a block knows the count: it is 0, or no other block holds the n-gram.
+
 Nulls: a null text counts as empty (its only token is the end); a null ``train`` flag means no. A row
 with a null id is scored too. Repeated rows are learned and scored one by one. Without training
 documents every count is 0. An empty table gives an empty result. Only the id, the text and the flag
@@ -30,14 +34,15 @@ from pyspark.sql import functions as F
 
 from terrier.llm import exchange, text
 
-ORDER = 2
+ORDER = 3
 STRENGTH = 800.0  # best on held-out documents of the test tables among 2 to 3,000
 PIECE = 512  # tokens read in step
 _START, _END = np.uint64(0x5354415254), np.uint64(0x454E44)
 _TAG = np.uint64(7)  # low bits of a key: the order of its n-gram, 0 for the start of a document
 _EMPTY = -1
+_LONE = 1
 
-ANSWERED = exchange.ANSWERED + ", tokens long, words long"
+ANSWERED = exchange.ANSWERED + ", round int, tokens long, words long"
 
 
 class Grams:
@@ -156,34 +161,78 @@ class Automaton:
         return np.bincount(doc, total, len(tokens))
 
 
+class _Counts:
+    """What a block knows of its n-grams after some rounds of answers, and what it asks next.
+
+    ``answers`` has the answers of each round; ``count`` is right for all n-grams that were asked about
+    or need not be.
+    """
+
+    def __init__(self, grams: Grams, train: pa.ChunkedArray, answers: list[np.ndarray]):
+        order = len(grams.keys)
+        self.distinct, self.index = grams.indexed()
+        learned = train.to_numpy().astype(bool)[grams.doc]
+        self.local = np.bincount(self.index[grams.exists & learned], minlength=len(self.distinct))
+        self.count = self.local.copy()
+        size = self.distinct & _TAG
+        self.asked = size <= 2
+        shared = np.zeros(len(self.distinct), bool)
+        for k, values in enumerate(answers, 2):
+            local = self.local[self.asked]
+            self.count[self.asked] = np.where(values == _LONE, local, values - (values > _LONE))
+            shared[self.asked] = values > _LONE
+            self.asked = np.zeros(len(self.distinct), bool)
+            if k < order:
+                at = np.flatnonzero(grams.exists[k])
+                shorter = self.index[k - 1]
+                self.asked[self.index[k][at]] = shared[shorter[at]] & shared[shorter[at - 1]]
+
+
+def _rounds(messages: pa.Table) -> list[np.ndarray]:
+    """Answers of all rounds so far."""
+    numbers = messages["round"].to_numpy()
+    return [exchange.answers(messages.filter(pa.array(numbers == r))).astype(np.int64)
+            for r in range(int(numbers.max()) + 1)]
+
+
 def _asking(order: int, n: int):
+    def question(docs: pa.Table, block: int, answers: list[np.ndarray]) -> pa.Table:
+        own = _Counts(Grams(docs["text"], order), docs["train"], answers)
+        return exchange.question(block, own.distinct[own.asked], own.local[own.asked], n)
+
     def ask(key: tuple[pa.Scalar, ...], docs: pa.Table) -> pa.Table:
-        grams = Grams(docs["text"], order)
-        distinct, index = grams.indexed()
-        learned = docs["train"].to_numpy().astype(bool)[grams.doc]
-        counts = np.bincount(index[grams.exists & learned], minlength=len(distinct))
-        return exchange.question(key[0].as_py(), distinct, counts, n)
+        return question(docs, key[0].as_py(), [])
+
+    def ask_on(key: tuple[pa.Scalar, ...], docs: pa.Table, messages: pa.Table) -> pa.Table:
+        return question(docs, key[0].as_py(), _rounds(messages))
+
+    return ask, ask_on
 
-    return ask
 
+def _answering(number: int):
+    """0: not counted; ``_LONE``: counted in the block that asks, which alone has it; else count + 1."""
+
+    def answer(messages: pa.Table) -> pa.Table:
+        distinct, total, blocks, reply = exchange.gathered(messages)
+        words = (distinct & _TAG) == 1
+        values = np.where((blocks == 1) & (total > 0), _LONE, total + (total > 0)).astype(np.uint64)
+        n = len(messages)
+        return pa.table({
+            "block": messages["block"], "range": messages["range"],
+            "counts": pa.array([reply(i, values) for i in range(n)], pa.binary()),
+            "round": pa.array(np.full(n, number), pa.int32()),
+            "tokens": pa.array(np.full(n, total[words].sum(), np.int64)),
+            "words": pa.array(np.full(n, (total[words] > 0).sum(), np.int64)),
+        })
 
-def _answer(messages: pa.Table) -> pa.Table:
-    distinct, total, answer = exchange.totals(messages)
-    words = (distinct & _TAG) == 1
-    n = len(messages)
-    return pa.table({
-        "block": messages["block"], "range": messages["range"],
-        "counts": pa.array([answer(i) for i in range(n)], pa.binary()),
-        "tokens": pa.array(np.full(n, total[words].sum(), np.int64)),
-        "words": pa.array(np.full(n, (total[words] > 0).sum(), np.int64)),
-    })
+    return answer
 
 
 def _scoring(order: int, strength: float):
     def score(docs: pa.Table, messages: pa.Table) -> pa.Table:
         grams = Grams(docs["text"], order)
-        distinct, index = grams.indexed()
-        count = exchange.answers(messages).astype(np.float64)
+        own = _Counts(grams, docs["train"], _rounds(messages))
+        index, count = own.index, own.count.astype(np.float64)
         tokens, words = (sum(messages[c].to_pylist()) for c in ("tokens", "words"))
         automaton = Automaton(grams, index, count, tokens, words, strength)
         n_docs = len(grams.sizes)
@@ -212,10 +261,14 @@ def scored(docs: DataFrame, train: Column, id_column: str = "doc_id", text_colum
                           F.coalesce(train, F.lit(False)).alias("train"))
     dealt, n = exchange.blocks_of(flagged, "id", "text", block_bytes)
     kind = flagged.schema["id"].dataType.simpleString()
-    answers = (
-        dealt.groupBy("block").applyInArrow(_asking(order, n), exchange.ASKED)
-        .repartition(n, "range").groupBy("range").applyInArrow(_answer, ANSWERED)
-    )
+    ask, ask_on = _asking(order, n)
+    answers = None
+    for number in range(max(1, order - 1)):
+        own = dealt.groupBy("block")
+        asked = own.cogroup(answers.groupBy("block")).applyInArrow(ask_on, exchange.ASKED) if answers else (
+            own.applyInArrow(ask, exchange.ASKED))
+        replies = asked.repartition(n, "range").groupBy("range").applyInArrow(_answering(number), ANSWERED)
+        answers = answers.unionByName(replies) if answers else replies
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _scoring(order, strength),
         f"id {kind}, train boolean, n_tokens long, n_known long, train_tokens long, "

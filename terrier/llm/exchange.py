@@ -10,6 +10,7 @@ asked, so keys are not sent back. Keys are hashes: ranges are even, however freq
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Callable
 
 import numpy as np
@@ -67,13 +68,16 @@ def _spread(raw: bytes) -> np.ndarray:
 
 
 def _narrow(counts: np.ndarray) -> bytes:
-    """Counts in as few bytes each as the largest needs; the first byte tells how many."""
+    """Counts in as few bytes each as the largest needs, all lowest bytes first, deflated: most are
+    small. The first byte tells how many bytes a count has."""
     kind = np.min_scalar_type(int(counts.max(initial=0)))
-    return bytes([kind.itemsize]) + counts.astype(kind.newbyteorder("<")).tobytes()
+    planes = counts.astype(kind.newbyteorder("<")).view(np.uint8).reshape(-1, kind.itemsize).T
+    return bytes([kind.itemsize]) + zlib.compress(planes.tobytes(), 1)
 
 
 def _wide(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.uint64)
+    planes = np.frombuffer(zlib.decompress(raw[1:]), np.uint8).reshape(raw[0], -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{raw[0]}").ravel().astype(np.uint64)
 
 
 def question(block: int, keys: np.ndarray, counts: np.ndarray, n: int) -> pa.Table:
@@ -87,14 +91,21 @@ def question(block: int, keys: np.ndarray, counts: np.ndarray, n: int) -> pa.Tab
     })
 
 
-def totals(messages: pa.Table) -> tuple[np.ndarray, np.ndarray, Callable[[int], bytes]]:
-    """Distinct keys of all messages, their summed counts, and the answer to each message."""
+def gathered(messages: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, Callable]:
+    """Distinct keys of all messages, their summed counts, how many messages hold each, and a function
+    that gives one value for every distinct key as the answer to each message."""
     keys = [_spread(k) for k in messages["keys"].to_pylist()]
     distinct, rank, _ = text.ranked(np.concatenate(keys))
     counts = np.concatenate([_wide(c) for c in messages["counts"].to_pylist()])
     total = np.bincount(rank, counts, len(distinct)).astype(np.uint64)
     places = np.split(rank, np.cumsum([len(k) for k in keys])[:-1])
-    return distinct, total, lambda i: _narrow(total[places[i]])
+    return distinct, total, np.bincount(rank, minlength=len(distinct)), lambda i, values: _narrow(values[places[i]])
+
+
+def totals(messages: pa.Table) -> tuple[np.ndarray, np.ndarray, Callable[[int], bytes]]:
+    """Distinct keys of all messages, their summed counts, and the answer to each message."""
+    distinct, total, _, answer = gathered(messages)
+    return distinct, total, lambda i: answer(i, total)
 
 
 def answers(messages: pa.Table) -> np.ndarray:

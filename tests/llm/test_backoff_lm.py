@@ -3,6 +3,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +102,22 @@ def test_messages_keep_keys_and_counts():
         replies = table.select(["range"]).append_column(
             "counts", [[answer(i) for i in range(len(table))]])
         assert exchange.answers(replies).tolist() == counts.tolist()
+
+
+def test_query_reads_trigrams_and_asks_only_for_shared_ones(spark):
+    """Failure arcs chain: histories of two words back off to one, then to none."""
+    from terrier.llm import exchange
+
+    assert backoff_lm.ORDER == 3
+    texts = ["a b c d", "a b c e", "x y z", "b c d", "q b c", "x y z w", "c d e a b"]
+    rows = [(i, t, i not in (3, 5)) for i, t in enumerate(texts * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
+    got = backoff_lm.scored(docs, F.col("learn"), strength=2.0, block_bytes=20)
+    compare(got, brute_force(rows, 3, 2.0))
+    assert {r.score for r in got.collect()} != {
+        r.score for r in backoff_lm.scored(docs, F.col("learn"), order=2, strength=2.0).collect()}
+    pair = exchange.question(0, np.array([10, 18, 26, 34], np.uint64), np.array([3, 0, 1, 0]), 1)
+    other = exchange.question(1, np.array([26, 34], np.uint64), np.array([4, 0]), 1)
+    replies = backoff_lm._answering(0)(pa.concat_tables([pair, other]))
+    # counted here only, not counted, five in several blocks, not counted anywhere
+    assert exchange.answers(replies.slice(0, 1)).tolist() == [backoff_lm._LONE, 0, 6, 0]
