@@ -10,15 +10,18 @@ it. All strings of a segment cover the same core (about 160 bytes around the anc
 only occur twice if its core does. So blocks of documents first ask how often their cores occur (one
 hash for about 20 bytes of text, see ``exchange``), then send the segments of cores found twice or
 more to the range of the core, equal segments of a block once. A passage that very many documents
-share is one segment after another, each of them once; where the texts around it differ, so do cores.
+share is one segment after another, each of them once. At its two edges cores lie in the passage while
+segments run into the text around it, so that each document has a segment of its own with one core.
+Therefore cores found more than ``HOT`` times are not sent as segments: each string of 200 bytes goes
+alone, as 128 bits of hashes, to the range of the first 64 of them, where all equal strings meet.
 
 Suffix sorting. A range sorts the suffixes of its distinct segments with a difference cover modulo 3:
 the triples at places 1 and 2 modulo 3 are sorted and named; unless the names differ or already span
 200 bytes, the string of names is sorted recursively; the remaining suffixes are sorted by their
 first symbol and the rank of the next, and merged in. Neighbours in that order are then compared over
-200 bytes. A range works core by core in batches of ``BATCH_BYTES``, so its memory does not depend on how
-much it holds, only on the distinct segments of one core; equal segments, however many there are, count
-once. Starts found go back to the blocks, which cut their texts.
+200 bytes. A range works core by core in batches of ``BATCH_BYTES``; a core has at most ``HOT``
+segments, and equal ones count once. Starts found, and hashes of hot strings found twice, go back to the
+blocks, which cut their texts.
 
 Nulls: a null text counts as empty; rows of null id are treated like others. A text under 200 bytes
 loses nothing. Repeated rows remove each other like any copies. An empty table gives an empty result.
@@ -32,6 +35,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from terrier.llm import exchange, text
@@ -40,10 +44,13 @@ LENGTH = 200
 ANCHOR = 50
 BANDS = 4
 BATCH_BYTES = 1 << 17
+HOT = 4096
 
 _BYTE = text.seeds(256, 11)
 _ODD = 0x9E3779B97F4A7C15
-_INVERSE = pow(_ODD, -1, 2**64)
+#: Of a second hash, independent of the first.
+_OTHER_BYTE = text.seeds(256, 12)
+_OTHER_ODD = 0xD1342543DE82EF95
 
 SEGMENTS = ("range int, block int, keys binary, sizes binary, doc binary, start binary, "
             "segment binary, bytes binary")
@@ -60,9 +67,9 @@ def _powers(base: int, n: int) -> np.ndarray:
 class _Hashes:
     """Numbers for any runs of bytes, from sums of random numbers times powers."""
 
-    def __init__(self, data: np.ndarray):
-        self.sums = np.r_[np.uint64(0), np.cumsum(_BYTE[data] * _powers(_ODD, len(data)))]
-        self.scale = _powers(_INVERSE, len(data) + 1)
+    def __init__(self, data: np.ndarray, byte: np.ndarray = _BYTE, odd: int = _ODD):
+        self.sums = np.r_[np.uint64(0), np.cumsum(byte[data] * _powers(odd, len(data)))]
+        self.scale = _powers(pow(odd, -1, 2**64), len(data) + 1)
 
     def windows(self, size: int) -> np.ndarray:
         """Of all runs of ``size`` bytes."""
@@ -126,6 +133,48 @@ class _Block:
             self.key, self.doc, self.start, self.n = (np.concatenate(c) for c in columns)
 
 
+    def strings(self, chosen: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Both hashes of the distinct strings that start in the ``chosen`` segments, sorted, and how
+        many starts each has."""
+        chosen = np.sort(chosen)  # by document
+        found = [np.zeros((0, 2), np.uint64)]
+        for first, data, offsets in text.parts(self.docs["text"]):
+            a, b = np.searchsorted(self.doc[chosen], [first, first + len(offsets) - 1])
+            own = chosen[a:b]
+            if len(own):
+                n = self.n[own]
+                begin = offsets[self.doc[own] - first] + self.start[own] - (np.cumsum(n) - n)
+                at = np.repeat(begin, n) + np.arange(n.sum())
+                found.append(np.stack([h.runs(at, at + length) for h in _both(data)], 1))
+        return _distinct(np.concatenate(found), None)
+
+
+def _both(data: np.ndarray) -> tuple[_Hashes, _Hashes]:
+    return _Hashes(data), _Hashes(data, _OTHER_BYTE, _OTHER_ODD)
+
+
+def _distinct(pairs: np.ndarray, times: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and second numbers of the distinct pairs, sorted, and their summed ``times`` (null: 1)."""
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    pairs = pairs[order]
+    first = np.flatnonzero(np.r_[True, (pairs[1:] != pairs[:-1]).any(1)][: len(pairs)])
+    if times is None:
+        total = np.diff(np.r_[first, len(pairs)])
+    else:
+        total = np.add.reduceat(times[order], first) if len(first) else times
+    return pairs[first, 0], pairs[first, 1], total
+
+
+def _among(pairs: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which of the pairs of ``one`` and ``other`` are among ``pairs``, sorted by their first number."""
+    a, b = np.searchsorted(pairs[:, 0], one, "left"), np.searchsorted(pairs[:, 0], one, "right")
+    hit = np.zeros(len(one), bool)
+    for j in range(int((b - a).max(initial=0))):
+        at = np.flatnonzero(a + j < b)
+        hit[at] |= pairs[a[at] + j, 1] == other[at]
+    return hit
+
+
 def _asking(n: int, length: int, anchor: int):
     def ask(key: tuple[pa.Scalar, ...], docs: pa.Table) -> pa.Table:
         block = _Block(docs, length, anchor)
@@ -143,15 +192,18 @@ def _answer(messages: pa.Table) -> pa.Table:
     })
 
 
-def _sending(n: int, length: int, anchor: int):
-    """Sends every segment whose core occurs twice, equal ones once, with all their places."""
+def _sending(n: int, length: int, anchor: int, hot: int):
+    """Sends every segment whose core occurs twice, equal ones once, with all their places.
+
+    Of cores that occur more than ``hot`` times the strings' hashes are sent, in rows without places.
+    """
 
     def send(docs: pa.Table, messages: pa.Table) -> pa.Table:
         block = _Block(docs, length, anchor)
         number = messages["block"][0].as_py()
         distinct = np.unique(block.key)
-        often = exchange.answers(messages) > 1
-        chosen = np.flatnonzero(often[np.searchsorted(distinct, block.key)])
+        times = exchange.answers(messages)[np.searchsorted(distinct, block.key)]
+        chosen = np.flatnonzero((times > 1) & (times <= hot))
         chosen = chosen[np.argsort(block.key[chosen], kind="stable")]
         at = exchange.edges(block.key[chosen], n)
         rows = []
@@ -174,6 +226,11 @@ def _sending(n: int, length: int, anchor: int):
                 "segment": np.array(places, np.int32).tobytes(),
                 "bytes": b"".join(c for _, c in known),
             })
+        one, other, starts = block.strings(np.flatnonzero(times > max(1, hot)), length)
+        at = exchange.edges(one, n)
+        rows += [{"range": r, "block": number, "keys": one[a:b].tobytes(),
+                  "sizes": starts[a:b].astype(np.int64).tobytes(), "bytes": other[a:b].tobytes()}
+                 for r, (a, b) in enumerate(zip(at, at[1:])) if b > a]
         kinds = [("range", pa.int32()), ("block", pa.int32())]
         kinds += [(c, pa.binary()) for c in ("keys", "sizes", "doc", "start", "segment", "bytes")]
         return pa.Table.from_pylist(rows, schema=pa.schema(kinds))
@@ -262,9 +319,27 @@ def repeated_starts(parts_: list[bytes], length: int) -> list[np.ndarray]:
     return [found[b : b + max(0, s - length + 1)] for b, s in zip(begins, sizes)]
 
 
+def _repeated_strings(messages: pa.Table) -> pa.Table:
+    """For every message the hashes of those of its hot strings that occur elsewhere too."""
+    keys, others = ([np.frombuffer(x, np.uint64) for x in messages[c].to_pylist()] for c in ("keys", "bytes"))
+    asked = [np.stack(x, 1) for x in zip(keys, others)]
+    times = np.concatenate([np.frombuffer(x, np.int64) for x in messages["sizes"].to_pylist()])
+    one, other, total = _distinct(np.concatenate(asked), times)
+    repeated = np.stack([one, other], 1)[total > 1]
+    found = [x[_among(repeated, x[:, 0], x[:, 1])].tobytes() for x in asked]
+    return messages.select(["block", "doc", "start"]).append_column(
+        "sizes", pa.nulls(len(found), pa.binary())).append_column("found", pa.array(found, pa.binary()))
+
+
 def _sorting(length: int):
     """Marks, in every segment of a range, the starts of strings that occur elsewhere too."""
 
+    def mark_all(messages: pa.Table) -> pa.Table:
+        alone = pc.is_null(messages["segment"])
+        strings, segments_ = messages.filter(alone), messages.filter(pc.invert(alone))
+        done = [f(m) for f, m in ((mark, segments_), (_repeated_strings, strings)) if len(m)]
+        return pa.concat_tables(done)
+
     def mark(messages: pa.Table) -> pa.Table:
         rows = messages.select(["block", "keys", "sizes", "segment", "bytes"]).to_pylist()
         times: dict[tuple[int, bytes], int] = {}
@@ -306,20 +381,37 @@ def _sorting(length: int):
                 for r, own in zip(rows, per_row)], pa.binary()),
         })
 
-    return mark
+    return mark_all
 
 
 def _cutting(length: int, with_text: bool):
     def cut(docs: pa.Table, messages: pa.Table) -> pa.Table:
         block = _Block(docs, length, 1, cut=False)
         starts, of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        hot = [np.zeros((0, 2), np.uint64)]
         for row in messages.to_pylist():
+            if row["doc"] is None:
+                hot.append(np.frombuffer(row["found"], np.uint64).reshape(-1, 2))
+                continue
             doc, start, sizes = (np.frombuffer(row[c], t) for c, t in
                                  (("doc", np.int32), ("start", np.int64), ("sizes", np.int32)))
             hit = np.unpackbits(np.frombuffer(row["found"], np.uint8), count=int(sizes.sum())).astype(bool)
             offset = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             starts.append((np.repeat(start, sizes) + offset)[hit])
             of.append(np.repeat(doc, sizes)[hit].astype(np.int64))
+        hot = np.concatenate(hot)
+        hot = hot[np.argsort(hot[:, 0])]
+        for first, data, offsets in text.parts(block.docs["text"]) if len(hot) else ():
+            if len(data) < length:
+                continue
+            one, other = _both(data)
+            at = np.flatnonzero(np.isin(one.windows(length), hot[:, 0]))
+            doc = np.searchsorted(offsets, at, "right") - 1
+            inside = at + length <= offsets[doc + 1]
+            at, doc = at[inside], doc[inside]
+            hit = _among(hot, one.runs(at, at + length), other.runs(at, at + length))
+            starts.append((at - offsets[doc])[hit])
+            of.append(doc[hit] + first)
         starts, of = np.concatenate(starts), np.concatenate(of)
         order = np.lexsort((starts, of))
         starts, of = starts[order], of[order]
@@ -350,7 +442,7 @@ def _cutting(length: int, with_text: bool):
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id",
                     text_column: str = "text", anchor: int | None = None, with_text: bool = False,
-                    block_bytes: int = exchange.BLOCK_BYTES) -> DataFrame:
+                    block_bytes: int = exchange.BLOCK_BYTES, hot: int = HOT) -> DataFrame:
     """``id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and, if asked for, ``kept``."""
     anchor = anchor or max(1, min(ANCHOR, length // 4))
     dealt, n = exchange.blocks_of(docs, id_column, text_column, block_bytes)
@@ -360,7 +452,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_column: str = "doc
     )
     found = (
         dealt.groupBy("block").cogroup(answers.groupBy("block"))
-        .applyInArrow(_sending(n, length, anchor), SEGMENTS)
+        .applyInArrow(_sending(n, length, anchor, hot), SEGMENTS)
         .repartition(n, "range").groupBy("range").applyInArrow(_sorting(length), FOUND)
     )
     kind = dealt.schema["id"].dataType.simpleString()

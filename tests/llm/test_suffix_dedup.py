@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -60,6 +61,35 @@ def test_small_alphabet_in_many_blocks(spark):
     assert got == [(i, *w) for i, w in enumerate(wanted)]
 
 
+def test_hot_cores_in_many_blocks(spark):
+    chance = random.Random(7)
+    own = lambda n: "".join(chance.choice("abcdefgh") for _ in range(n))
+    passage = own(30)
+    texts = [own(chance.randrange(30)) + passage + own(chance.randrange(30)) for _ in range(60)]
+    texts += ["".join(chance.choice("ab") for _ in range(chance.randrange(60))) for _ in range(60)]
+    texts += ["ab" * 40, "a" * 100, "", "é" * 30] + texts[:3]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    wanted = [(i, *w) for i, w in enumerate(brute_force([t.encode() for t in texts], 12))]
+    for hot in (0, 3, 20):
+        assert result(suffix_dedup.without_repeats(docs, 12, block_bytes=500, hot=hot)) == wanted
+
+
+def test_a_range_gets_few_segments_of_a_core():
+    """Documents that share a passage have different segments of one core at its edges."""
+    chance = random.Random(8)
+    own = lambda n: "".join(chance.choice("abcdefgh") for _ in range(n))
+    passage = own(600)
+    docs = pa.table({"id": list(range(50)), "text": [own(300) + passage + own(300) for _ in range(50)]})
+    asked = suffix_dedup._asking(1, 200, 50)((pa.scalar(0),), docs)
+    answers = suffix_dedup._answer(asked)
+    most = {}
+    for hot in (10, 10**6):
+        rows = suffix_dedup._sending(1, 200, 50, hot)(docs, answers).to_pylist()
+        keys = [np.frombuffer(r["keys"], np.uint64) for r in rows if r["segment"] is not None]
+        most[hot] = max(np.unique(k, return_counts=True)[1].max() for k in keys) if keys else 0
+    assert most[10] <= 10 < 50 <= most[10**6]
+
+
 def test_query_on_whole_documents(spark, documents):
     rows = queries.op8_suffix_dedup(spark, FOLDER).withColumnRenamed("doc_id", "id")
     texts = [t.encode() for _, t, _ in documents]
