@@ -173,10 +173,22 @@ def _quadrants(g: np.ndarray, h: np.ndarray) -> tuple[float, np.ndarray]:
     return float(gain[i, j] - _gain(sg[-1, -1], sh[-1, -1])), out
 
 
+def _cuts(values: np.ndarray) -> np.ndarray:
+    """Quantiles of a feature. If it may be zero, also those of the positive values and a cut below them,
+    so that what few texts have does not share the bin of zero."""
+    if not len(values):
+        return np.zeros(0)
+    shares = np.linspace(0, 1, BINS + 1)[1:-1]
+    found = [np.quantile(values, shares)]
+    positive = values[values > 0]
+    if 0 < len(positive) < len(values):
+        found += [np.quantile(positive, shares), positive.min(keepdims=True) / 2]
+    return np.unique(np.concatenate(found))
+
+
 def fitted(x: np.ndarray, y: np.ndarray) -> Gam:
     """Cyclic boosting on features ``x`` and labels ``y`` of 0 and 1."""
-    cuts = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) if len(x) else np.zeros(0)
-            for c in x.T]
+    cuts = [_cuts(c) for c in x.T]
     sizes = [len(c) + 1 for c in cuts]
     tables = [np.zeros(n) for n in sizes]
     rate = (y.sum() + 0.5) / (len(y) + 1)

@@ -176,6 +176,20 @@ def test_quality_on_held_out_documents(spark):
     assert sum(r.predicted == labels[r.doc_id] for r in held) >= 0.95 * len(held)
 
 
+def test_quality_learns_from_a_feature_that_few_texts_have():
+    chance = np.random.default_rng(3)
+    x = np.zeros((4000, 2))
+    x[:, 1] = chance.random(4000)
+    rare = chance.random(4000) < 0.015
+    x[rare, 0] = chance.uniform(0.05, 0.4, rare.sum())
+    model = gam_quality.fitted(x, (~rare & (x[:, 1] > 0.2)).astype(int))
+    bins = model.bins(np.array([[0.0, 0.9], [0.1, 0.9]]))
+    assert bins[0, 0] != bins[1, 0]
+    table = model.tables[0]
+    assert table[bins[1, 0]] < table[bins[0, 0]] - 1
+
+
+
 def test_scores_are_sums_of_table_entries():
     chance = np.random.default_rng(2)
     x = chance.integers(0, 30, (600, 3)).astype(float)
