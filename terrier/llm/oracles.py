@@ -102,3 +102,72 @@ shared AS (SELECT r, doc_id, item, count(*) AS n_shared FROM doc_runs JOIN item_
 SELECT doc_id, item_id, n_shingles, n_shared FROM shared JOIN sizes USING (item)
 WHERE n_shared >= ceil(0.8 * n_shingles - 1e-9)
 """
+
+ORACLES["op11_importance"] = rf"""
+WITH RECURSIVE steps AS (
+  SELECT CAST(i AS BIGINT) AS i, 0 AS round, CAST(i AS BIGINT) AS c FROM range(256) r(i) UNION ALL
+  SELECT i, round + 1, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END FROM steps WHERE round < 8),
+crc AS (SELECT list(c ORDER BY i) AS steps FROM steps WHERE round = 8),
+texts AS (
+  SELECT doc_id, text, true AS own FROM documents UNION ALL SELECT NULL, text, false FROM benchmark),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id, own,
+         regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts),
+words AS (SELECT r, own, unnest(words) AS word FROM docs),
+spelled AS (SELECT word, hex(encode(word)) AS spelled FROM (SELECT DISTINCT word FROM words)),
+buckets AS (
+  SELECT word, xor(4294967295, list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(spelled), 2),
+             lambda i: CAST('0x' || substr(spelled, i, 2) AS BIGINT))),
+           lambda c, b: xor(steps[xor(c & 255, b) + 1], c >> 8))) % 10000 AS bucket
+  FROM spelled, crc),
+features AS (SELECT r, own, bucket FROM words JOIN buckets USING (word)),
+sums AS (SELECT count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t FROM features),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((count(*) FILTER (NOT own) + 1)::DOUBLE * (any_value(s) + 10000))
+                       / ((count(*) FILTER (own) + 1)::DOUBLE * (any_value(t) + 10000)))) AS gain
+  FROM features, sums GROUP BY bucket),
+weights AS (SELECT r, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight FROM features JOIN gains USING (bucket)
+            WHERE own GROUP BY r),
+hashed AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         CAST('0x' || sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT) AS h
+  FROM docs LEFT JOIN weights USING (r) WHERE own),
+scored AS (
+  SELECT doc_id, n_features, weight,
+         CAST(weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM hashed),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS fit
+  FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * fit // 100 THEN place END AS rank FROM placed
+UNION ALL SELECT doc_id, n_features, weight, score, NULL FROM scored WHERE n_features < 20
+"""
+
+_ROUND = """
+n{i} AS (SELECT v, c, d FROM (
+  SELECT v, c, d, row_number() OVER (PARTITION BY v ORDER BY d, c) AS place FROM (
+    SELECT p.v, c.c, sum((p.x - c.x) * (p.x - c.x)) AS d FROM components p JOIN c{i} c USING (pos) GROUP BY ALL))
+  WHERE place = 1),
+m{i} AS (SELECT c, pos, sum(x) AS s, count(*) AS n FROM components JOIN n{i} USING (v) GROUP BY ALL),
+c{j} AS (SELECT c, pos, coalesce(CAST((s - ((s % n) + n) % n) // n AS BIGINT), x) AS x
+         FROM c{i} LEFT JOIN m{i} USING (c, pos)),"""
+
+ORACLES["op13_centroids"] = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS v, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+components AS MATERIALIZED (SELECT v, unnest(range(64)) AS pos, unnest(vector) AS x FROM kept),
+c0 AS (
+  SELECT c, unnest(range(64)) AS pos, unnest(vector) AS x FROM (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR))) - 1 AS c, vector
+    FROM kept QUALIFY c < 8)),
+{"".join(_ROUND.format(i=i, j=i + 1) for i in range(10)).replace(" AS (", " AS MATERIALIZED (")}
+{_ROUND.format(i=10, j=11).split("m10")[0]}
+digests AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY pos)) AS centroid_sha256 FROM c10 GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       centroid_sha256
+FROM n10 JOIN kept USING (v) JOIN digests USING (c)
+"""

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from terrier.llm import (backoff_lm, bit_packing, chat_format, decontaminate, gam_quality, host_rules,
-                         mixing, order_minhash, ppm_language, suffix_dedup)
+from terrier.llm import (backoff_lm, bit_packing, byte_bpe, centroids, chat_format, decontaminate,
+                         gam_quality, host_rules, importance, mixing, order_minhash, ppm_language,
+                         suffix_dedup)
 from terrier.llm.oracles import ORACLES  # noqa: F401
 from terrier.llm.ship import ship
 from terrier.session import written
@@ -91,10 +92,33 @@ def op10_backoff_lm(spark: SparkSession, folder: str) -> DataFrame:
         "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_importance(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = byte_bpe.encoded(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return byte_bpe.decoded(ids, path).select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.clustered(table(spark, folder, "embeddings")).select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_host_rules, op3_order_minhash, op4_ppm_language, op5_bit_packing,
-    op6_decontamination, op7_gam_quality, op8_suffix_dedup, op9_chat_format, op10_backoff_lm, pipeline)}
+    op6_decontamination, op7_gam_quality, op8_suffix_dedup, op9_chat_format, op10_backoff_lm, op11_importance,
+    op12_byte_bpe, op13_centroids, pipeline)}
