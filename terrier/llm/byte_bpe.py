@@ -16,8 +16,8 @@ starts anew, which changes no result. The work is linear in the length of a piec
 character back for the next step, so that a character whose bytes are split over tokens comes out whole; what is
 not UTF-8 becomes U+FFFD.
 
-Nothing is shuffled; memory follows the longest document. Distinct pieces are looked up among those of the
-same worker (``PIECES``, texts of up to ``PIECE_CHARS``) before the automaton reads them.
+Nothing is shuffled; memory follows the longest document. Pieces, and stretches between blanks, are first
+looked up among the last ones of up to ``KEPT_BYTES`` bytes that the same worker has encoded.
 
 Nulls and odd input: a null text is empty and has no ids; strings of special tokens in a text are ordinary
 text; null and repeated ids and rows pass through. A null list of ids decodes to an empty text, an id outside
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +37,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STATES = 200_000
-PIECES = 400_000
-PIECE_CHARS = 32
+from terrier.llm import text
+
+STATES = 250_000
+KEPT_PIECES = 600_000
+KEPT_STRETCHES = 800_000
+KEPT_BYTES = 48
 STEP = 4096
-PART_CHARS = 1 << 20
+PART_BYTES = 1 << 22
 NEVER = 1 << 60
 _UNSEEN = object()
 
@@ -135,15 +139,33 @@ class Transducer:
         if found is None:
             if len(self.fits) > STATES:
                 self.fits.clear()
-            # A first crossing merge joins two pieces that stand at the border, in time before they are gone.
-            get = self.ranks.get
-            found = not any(
-                get(a + b, NEVER) <= min(a_until, b_until, NEVER - 1)
-                for a, a_until in self.right[before] for b, b_until in self.left[token]
-            ) or self._merged(self.tokens[before] + self.tokens[token]) == [before, token]
+            found = not self._may_cross(before, token) or self._merged(
+                self.tokens[before] + self.tokens[token]) == [before, token]
             self.fits[key] = found
         return found
 
+    def _may_cross(self, before: int, token: int) -> bool:
+        """A first crossing merge joins two pieces that stand at the border, in time before they are gone."""
+        get = self.ranks.get
+        for a, a_until in self.right[before]:
+            for b, b_until in self.left[token]:
+                rank = get(a + b)
+                if rank is not None and rank <= a_until and rank <= b_until:
+                    return True
+        return False
+
+    def _last(self, number: int, byte: int) -> tuple[int, ...] | None:
+        """The tokens that wait after the last byte of a piece; no state is needed for it."""
+        paths, last = self.states[number]
+        child, token_at = self.child, self.token_at
+        for node, waiting in paths:
+            node = child[node].get(byte)
+            if node is not None:
+                token = token_at[node]
+                if token >= 0 and self._fit(waiting[-1] if waiting else last, token):
+                    return (*waiting, token)
+        return None
+
     def _step(self, number: int, byte: int) -> tuple[int, tuple[int, ...]] | None:
         """Builds the transition of a state on a byte."""
         paths, last = self.states[number]
@@ -162,23 +184,25 @@ class Transducer:
         if ended is None:  # no ranks of this kind are known
             return None
         live.append((0, ended))
-        emitted = ended
-        for _, waiting in live:  # what all paths agree on
-            if emitted[: len(waiting)] != waiting[: len(emitted)] or len(waiting) < len(emitted):
+        emitted = ended if live[0][1] else ()
+        if emitted:
+            for _, waiting in live:  # what all paths agree on
                 shared = 0
                 for a, b in zip(emitted, waiting):
                     if a != b:
                         break
                     shared += 1
-                emitted = emitted[:shared]
-                if not shared:
-                    break
+                if shared < len(emitted):
+                    emitted = emitted[:shared]
+                    if not shared:
+                        break
         if emitted:
             n, last = len(emitted), emitted[-1]
             live = [(node, waiting[n:]) for node, waiting in live]
-        kept = self.paths
-        state = tuple([kept.setdefault(path, path) for path in live])
-        return self._number((state, last if any([not w for _, w in live]) else -1)), emitted
+        if all([waiting for _, waiting in live]):
+            last = -1  # what was emitted no longer matters
+        kept = self.paths.setdefault
+        return self._number((tuple([kept(path, path) for path in live]), last)), emitted
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -187,7 +211,7 @@ class Transducer:
         if len(self.states) > STATES:
             self._restart()
         out, state, following = [], 0, self.next
-        for byte in piece:
+        for byte in piece[:-1]:
             key = state << 8 | byte
             found = following.get(key, _UNSEEN)
             if found is _UNSEEN:
@@ -197,36 +221,101 @@ class Transducer:
             state, emitted = found
             if emitted:
                 out += emitted
-        out += self.states[state][0][-1][1]
+        waiting = self._last(state, piece[-1])
+        if waiting is None:
+            return self._merged(piece)
+        out += waiting
         return out
 
 
+class Recent:
+    """Results for short texts; of the older half those that are asked for again stay."""
+
+    def __init__(self, find, size: int, chars: int = KEPT_BYTES):
+        self.find, self.size, self.chars = find, size // 2, chars
+        self.young: dict[bytes | str, tuple[int, ...]] = {}
+        self.old: dict[bytes | str, tuple[int, ...]] = {}
+
+    def missed(self, text) -> tuple[int, ...]:
+        """The result for a text that ``young`` does not hold."""
+        found = self.old.get(text)
+        if found is None:
+            found = tuple(self.find(text))
+        if len(text) <= self.chars:
+            if len(self.young) >= self.size:
+                self.old, self.young = self.young, {}
+            self.young[text] = found
+        return found
+
+
 class Encoder:
-    """Encodes texts; keeps the ids of short pieces."""
+    """Encodes parts of a column; keeps the ids of recent pieces, and of recent stretches between blanks.
+
+    A blank between two other characters always begins a piece of ``pattern`` if ``cut_at_blanks`` is set, so
+    texts may be cut there before the pattern is applied. Of equal stretches of a part one is encoded.
+    """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cut_at_blanks: bool = True):
         self.transducer = Transducer(ranks)
         self.pattern = regex.compile(pattern)
-        self.pieces: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, text: str) -> np.ndarray:
-        parts, waiting, known = [], [], self.pieces
-        # All pieces of a text at once, of a long one as they come.
-        pieces = self.pattern.findall(text) if len(text) < PART_CHARS else (
+        self.cut_at_blanks = cut_at_blanks
+        self.recent_pieces = Recent(lambda piece: self.transducer.encode(piece.encode()), KEPT_PIECES)
+        self.recent_stretches = Recent(self._pieces, KEPT_STRETCHES)
+
+    def _pieces(self, stretch: bytes) -> list[int]:
+        text = stretch.decode()
+        # Of a long text the pieces come one by one.
+        pieces = self.pattern.findall(text) if len(text) < PART_BYTES else (
             match.group() for match in self.pattern.finditer(text))
+        recent, out = self.recent_pieces, []
         for piece in pieces:
-            ids = known.get(piece)
-            if ids is None:
-                ids = tuple(self.transducer.encode(piece.encode()))
-                if len(piece) <= PIECE_CHARS:
-                    if len(known) >= PIECES:
-                        known.clear()
-                    known[piece] = ids
-            waiting += ids
-            if len(waiting) > PART_CHARS:
-                parts.append(np.array(waiting, np.int32))
-                waiting = []
-        return np.concatenate([*parts, np.array(waiting, np.int32)])
+            out += recent.young.get(piece) or recent.missed(piece)
+        return out
+
+    def _starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where stretches begin: documents, and blanks between two characters that are no white space."""
+        start = np.zeros(len(data) + 1, bool)
+        start[offsets] = True
+        if self.cut_at_blanks and len(data) > 2:
+            at = np.flatnonzero(data == 32)
+            at = at[(at > 0) & (at < len(data) - 1)]
+            before, after = data[at - 1], data[at + 1]
+            # White space of several bytes begins with one of four; where one stands near, nothing is cut.
+            free = ~(_SPACE[before] | _SPACE[after] | _LEAD[after])
+            free &= (data[at - 2] != 0xC2) | (at < 2)
+            free &= ~_LEAD[data[at - 3]] | (at < 3)
+            start[at[free]] = True
+        return np.flatnonzero(start[:-1])
+
+    def encode_part(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all documents of a part, and where each document ends among them (n + 1 places)."""
+        starts = self._starts(data, offsets)
+        bounds = np.r_[starts, len(data)].astype(np.int64)
+        stretches = pa.Array.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        recent, distinct = self.recent_stretches, stretches.dictionary.to_pylist()
+        lists = [recent.young.get(s) for s in distinct]
+        # In order, so that neighbours pass the same states.
+        for i in sorted((i for i, ids in enumerate(lists) if ids is None), key=distinct.__getitem__):
+            lists[i] = recent.missed(distinct[i])
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
+        which = stretches.indices.to_numpy(zero_copy_only=False)
+        n = sizes[which]
+        ends = np.r_[0, np.cumsum(n)]
+        first = np.cumsum(sizes) - sizes
+        ids = flat[np.repeat(first[which] - ends[:-1], n) + np.arange(ends[-1])]
+        return ids, ends[np.searchsorted(starts, offsets)]
+
+    def encode(self, text: str) -> np.ndarray:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        return self.encode_part(raw, np.array([0, len(raw)]))[0]
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+_LEAD = np.zeros(256, bool)
+_LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
 
 def _utf8_steps() -> np.ndarray:
@@ -289,8 +378,8 @@ def _once(make, *key):
     return _KEPT[(make, *key)]
 
 
-def _encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(read_ranks(path), pattern)
+def _encoder(path: str, pattern: str, cut_at_blanks: bool) -> Encoder:
+    return Encoder(read_ranks(path), pattern, cut_at_blanks)
 
 
 def _tokens(path: str) -> list[bytes]:
@@ -300,22 +389,28 @@ def _tokens(path: str) -> list[bytes]:
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
-            text_column: str = "text") -> DataFrame:
-    """``id`` and ``ids`` of every document. ``path`` names the rank file on every machine."""
+            text_column: str = "text", cut_at_blanks: bool = True, with_text: bool = False) -> DataFrame:
+    """``id`` and ``ids`` of every document, on request also the ``text`` that these ids decode to.
+
+    ``path`` names the rank file on every machine. ``cut_at_blanks`` holds for patterns whose pieces have a
+    blank at their beginning only (other than pieces of white space), as those of GPT-2 and its kin.
+    """
     source = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _once(_encoder, path, pattern)
+        encoder = _once(_encoder, path, pattern, cut_at_blanks)
+        tokens = _once(_tokens, path) if with_text else []
         for batch in batches:
-            for rows in _parts(batch, pc.binary_length(batch.column(1))):
-                lists = [encoder.encode(t or "") for t in rows.column(1).to_pylist()]
-                ends = np.r_[0, np.cumsum([len(ids) for ids in lists])]
-                ids = pa.ListArray.from_arrays(
-                    pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *lists])))
-                yield pa.record_batch([rows.column(0), ids], ["id", "ids"])
+            for first, data, offsets in text.parts(batch.column(1), PART_BYTES):
+                found, ends = encoder.encode_part(data, offsets)
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found, pa.int32()))
+                columns = [batch.column(0).slice(first, len(ids)), ids]
+                if with_text:
+                    columns.append(pa.array([_text(tokens, row.values) for row in ids], pa.string()))
+                yield pa.record_batch(columns, ["id", "ids", "text"][: len(columns)])
 
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(local, f"id {kind}, ids array<int>")
+    return source.mapInArrow(local, f"id {kind}, ids array<int>" + (", text string" if with_text else ""))
 
 
 def decoded(ids: DataFrame, path: str, id_column: str = "id", ids_column: str = "ids") -> DataFrame:
@@ -345,11 +440,11 @@ def _text(tokens: list[bytes], ids: pa.Array | None) -> str:
 
 
 def _parts(batch: pa.RecordBatch, sizes: pa.Array) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``PART_CHARS``, at least one row each."""
+    """Slices of about ``PART_BYTES``, at least one row each."""
     ends = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
     first = 0
     while first < batch.num_rows:
         before = ends[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(ends, before + PART_CHARS, "right")))
+        last = max(first + 1, int(np.searchsorted(ends, before + PART_BYTES, "right")))
         yield batch.slice(first, last - first)
         first = last

@@ -101,9 +101,10 @@ def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = byte_bpe.encoded(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+    both = byte_bpe.encoded(
+        table(spark, folder, "documents"), path, public_tokenizers.PATTERN, with_text=True)
     joined = F.array_join(F.col("ids").cast("array<string>"), " ")
-    return byte_bpe.decoded(ids, path).select(
+    return both.select(
         F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
