@@ -11,8 +11,10 @@ and a control string gets one after its first character, so control strings stan
 where the template puts them; it is read back by scanning for them, and unescaping gives every text
 back.
 
-Nulls: null roles and texts are empty; a record that is null, no JSON object or of an unknown layout
-has no turns and fingerprint or mapping null. Turns of equal number are ordered by role and text, those
+Nulls: null roles and texts are empty; a record that is null, no JSON object (or nested too deeply to be
+read) or of an unknown layout has no turns and fingerprint or mapping null. A role or text that is no
+string is kept as its JSON text (``0``, ``false``), a turn that is no object is a text without role, half
+a surrogate pair becomes U+FFFD. Roles are renamed only where a foreign layout's mapping says so. Turns of equal number are ordered by role and text, those
 without a number come first. Repeated rows of a conversation are turns of their own. A conversation
 is one record and is formatted in one task; conversations are spread by their id. An empty table
 gives an empty result. Further columns may have any name.
@@ -32,15 +34,18 @@ from pyspark.sql import functions as F
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]")
 _CONTROL = re.compile("|".join(map(re.escape, CONTROL)))
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
+_MARKED = re.compile(r"[.\[\]\\]")
+_HALF = re.compile("[\ud800-\udfff]")
 _SCAN = re.compile(r"\\.|" + "|".join(map(re.escape, CONTROL)), re.DOTALL)
-_ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant"}
 
 #: Layouts: where turns are found. ``list`` names a list of turns with fields for role and text;
-#: ``fields`` names the text fields of each role in order, ``optional`` those that may be missing.
+#: ``roles`` renames roles. ``fields`` names the text fields of each role in order, ``optional`` those that
+#: may be missing.
 LAYOUTS = {
     "messages": {"list": "messages", "role": "role", "text": "content"},
     "turns": {"list": "turns", "role": "role", "text": "text"},
-    "share": {"list": "conversations", "role": "from", "text": "value"},
+    "share": {"list": "conversations", "role": "from", "text": "value",
+              "roles": {"human": "user", "gpt": "assistant", "bot": "assistant"}},
     "prompt": {"fields": [("system", ["system"]), ("user", ["prompt"]), ("assistant", ["completion"])],
                "optional": ["system"]},
     "response": {"fields": [("system", ["system"]), ("user", ["prompt"]), ("assistant", ["response"])],
@@ -52,9 +57,13 @@ LAYOUTS = {
 
 
 def paths(value, prefix: str = "") -> set[str]:
-    """Nested field paths of a JSON value; list items share the path of their list."""
+    """Nested field paths of a JSON value; list items share the path of their list.
+
+    Dots and brackets in names are marked, so that no name looks like a path.
+    """
     if isinstance(value, dict):
-        return {p for k, v in value.items() for p in paths(v, f"{prefix}.{k}" if prefix else k)}
+        named = ((_MARKED.sub(r"\\\g<0>", k), v) for k, v in value.items())
+        return {p for k, v in named for p in paths(v, f"{prefix}.{k}" if prefix else k)}
     if isinstance(value, list):
         return {p for v in value for p in paths(v, prefix + "[]")} or {prefix + "[]"}
     return {prefix}
@@ -77,6 +86,22 @@ MAPPINGS = {fingerprint(v): name for name, layout in LAYOUTS.items() for v in _v
 _KNOWN = {p for layout in LAYOUTS.values() for v in _variants(layout) for p in v}
 
 
+def plain(value) -> str:
+    """A JSON value as text: strings as they are, null as nothing, others as JSON."""
+    if value is None:
+        return ""
+    text = value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return _HALF.sub("\ufffd", text)
+
+
+def read_record(raw: str | None):
+    """The record of a JSON text; None if there is none or it is nested too deeply."""
+    try:
+        return json.loads(raw) if raw is not None else None
+    except (ValueError, RecursionError):
+        return None
+
+
 def canonical(record) -> tuple[str | None, str | None, list[tuple[str, str]]]:
     """Fingerprint, name of the mapping and turns of a record."""
     if not isinstance(record, dict):
@@ -87,12 +112,17 @@ def canonical(record) -> tuple[str | None, str | None, list[tuple[str, str]]]:
         return mark, None, []
     layout = LAYOUTS[name]
     if "list" in layout:
-        return mark, name, [
-            (_ROLES.get(t.get(layout["role"]), str(t.get(layout["role"]) or "")),
-             str(t.get(layout["text"]) or "")) for t in record[layout["list"]]]
+        renamed = layout.get("roles", {})
+        turns = []
+        for turn in record[layout["list"]]:
+            if not isinstance(turn, dict):
+                turn = {layout["text"]: turn}
+            role = plain(turn.get(layout["role"]))
+            turns.append((renamed.get(role, role), plain(turn.get(layout["text"]))))
+        return mark, name, turns
     turns = []
     for role, names in layout["fields"]:
-        present = [str(record[f]) for f in names if record.get(f)]
+        present = [text for text in (plain(record.get(f)) for f in names) if text]
         if any(f in record for f in names):
             turns.append((role, "\n\n".join(present)))
     return mark, name, turns
@@ -138,10 +168,9 @@ def _formatting(batches):
         rows = []
         for raw in batch.column(1).to_pylist():
             try:
-                record = json.loads(raw) if raw is not None else None
-            except ValueError:
-                record = None
-            mark, name, turns = canonical(record)
+                mark, name, turns = canonical(read_record(raw))
+            except RecursionError:
+                mark, name, turns = None, None, []
             formatted, spans = render(turns)
             rows.append((mark, name, formatted, [a for a, _ in spans], [b for _, b in spans]))
         mark, name, formatted, begins, ends = zip(*rows) if rows else ((),) * 5
@@ -161,11 +190,33 @@ def formatted_records(records: DataFrame, id_column: str = "id", json_column: st
 
 
 def records_of_turns(turns: DataFrame, id_column: str = "conv_id") -> DataFrame:
-    """One record of layout ``turns`` for each conversation of a table of ``turn``, ``role``, ``text``."""
+    """One record for each conversation of a table of ``turn``, ``role``, ``text``.
+
+    A conversation that is one question and its answer becomes a record of layout ``question``, with a
+    system text before them one of ``prompt``, a longer one that begins with the user one of ``messages``,
+    any other one of ``turns``.
+    """
     empty = F.lit("")
     turn = F.struct("turn", F.coalesce("role", empty).alias("role"), F.coalesce("text", empty).alias("text"))
-    return turns.select(F.col(id_column).alias("id"), turn.alias("each")).groupBy("id").agg(
-        F.to_json(F.struct(F.array_sort(F.collect_list("each")).alias("turns"))).alias("record"))
+    listed = turns.select(F.col(id_column).alias("id"), turn.alias("each")).groupBy("id").agg(
+        F.array_sort(F.collect_list("each")).alias("turns"))
+    roles = F.transform("turns", lambda t: t["role"])
+
+    def are(*names: str):
+        return roles == F.array(*map(F.lit, names))
+
+    def text(i: int):
+        return F.get("turns", F.lit(i))["text"]
+
+    messages = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))
+    record = (
+        F.when(are("user", "assistant"), F.to_json(F.struct(text(0).alias("question"), text(1).alias("answer"))))
+        .when(are("system", "user", "assistant"), F.to_json(F.struct(
+            text(0).alias("system"), text(1).alias("prompt"), text(2).alias("completion"))))
+        .when(F.get("turns", F.lit(0))["role"] == "user", F.to_json(F.struct(messages.alias("messages"))))
+        .otherwise(F.to_json(F.struct("turns")))
+    )
+    return listed.select("id", record.alias("record"))
 
 
 def _reading_back(batches):
