@@ -8,7 +8,8 @@ ancestor only if all siblings together fall short. Shares of one family are foun
 capacity / weight, the groups that fill up are a prefix, which a running sum finds.
 
 Each leaf then reads its documents epoch by epoch. Complete epochs take every document; of the last
-one, ordered by the MD5 of seed, epoch and document, the longest prefix within the budget is taken.
+one, ordered by the MD5 of seed, epoch and document, the shortest prefix that fills the budget is taken:
+the document that reaches it is in, so a leaf exceeds its budget by less than one document.
 Running totals over a leaf that holds most rows never meet in one task: documents are dealt into
 ``SLICES`` equal ranges of that MD5, and a document's total is that of the ranges before it and of
 its own range.
@@ -70,7 +71,12 @@ def budgets(leaves: DataFrame, depth: int, weights: list[dict[str, float]], tota
             max_epochs: int) -> DataFrame:
     """Token budget of every leaf: columns ``mix_level0``.., ``mix_tokens``, ``mix_budget``."""
     path = [f"mix_level{i}" for i in range(depth)]
-    capped = leaves.withColumn("mix_capacity", F.col("mix_tokens") * max_epochs)
+    wanted = F.lit(True)
+    for level, own in zip(path, weights):
+        wanted &= _weight(level, own) > 0
+    # What is not wanted has no capacity, at any level: its tokens cannot fill the share of a group above.
+    capped = leaves.withColumn(
+        "mix_capacity", F.when(wanted, F.col("mix_tokens") * max_epochs).otherwise(F.lit(0)).cast("long"))
     given = None
     for i in range(depth):
         level = path[: i + 1]

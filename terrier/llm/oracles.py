@@ -31,7 +31,7 @@ def _level(i: int, weight: str) -> str:
 
 ORACLES["op1_mixing"] = rf"""
 WITH docs AS (
-  SELECT doc_id, coalesce('domain' || (CAST(nullif(regexp_extract(source, '[0-9]+'), '') AS BIGINT) % 4), '(none)') AS domain,
+  SELECT doc_id, coalesce('domain' || (TRY_CAST(nullif(regexp_extract(source, '[0-9]+'), '') AS BIGINT) % 4), '(none)') AS domain,
          coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
          len({_WORDS}) AS n_tokens FROM documents),
 leaves AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS n_tokens,
