@@ -9,13 +9,14 @@ sum of logarithms. The language with the shortest code wins (ties: first by name
 probability among all languages given these exact code lengths.
 
 Training is on a bounded sample: of each language about ``max_rows`` (1,000) rows, those whose hashed
-id is below that share of the hash range (rows of one id go together). Grams are counted by Spark; the model keeps the ``MAX_CONTEXTS`` most frequent contexts of
-each length, which bounds what is sent to the executors. Lookup tables hold all languages side by side:
-one table lookup per byte and context length finds the gram, one row of numbers its code lengths.
+id is below that share of the hash range (rows of one id go together; without an id the text is hashed).
+Grams are counted by Spark; the model keeps all contexts of the sample, whose size bounds what is sent to
+the executors. Lookup tables hold all languages side by side: one table lookup per byte and context length
+finds the gram, one row of numbers its code lengths.
 Documents are read once and not shuffled.
 
 Nulls: a null text, or one without a letter, is ``und`` with score 0; rows of null language or text are
-not learned; a null id is hashed like any value. Repeated rows are learned and predicted one by one.
+not learned. Repeated rows are learned and predicted one by one.
 Without any training row every text is ``und``. An empty table gives an empty result. Only the id, the
 text and the language are read, so further columns may have any name.
 """
@@ -25,7 +26,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrier.llm import text
@@ -33,7 +34,6 @@ from terrier.llm.sampling import hashed_share
 
 ORDER = 3
 MAX_ROWS = 1_000
-MAX_CONTEXTS = 1 << 16
 
 
 class Model:
@@ -151,18 +151,11 @@ def fit(docs: DataFrame, trainable: Column, id_column: str = "doc_id", text_colu
     languages = sorted(counts)
     chosen = F.lit(False)
     for name, n in counts.items():
-        chosen = chosen | ((F.col("lang") == name) & hashed_share("id", max_rows, n))
+        chosen = chosen | ((F.col("lang") == name) & hashed_share("id", max_rows, n, "text"))
     grams = rows.filter(chosen).select("lang", "text").mapInArrow(
         _grams, "lang string, k int, gram long, n long")
     grams = grams.groupBy("k", "gram", "lang").agg(F.sum("n").alias("n"))
-    if ORDER:
-        # Only grams whose context is among the most frequent of its length.
-        contexts = grams.filter("k > 0").groupBy("k", F.shiftright("gram", 8).alias("context")).agg(
-            F.sum("n").alias("times"))
-        rank = F.row_number().over(Window.partitionBy("k").orderBy(F.desc("times"), "context"))
-        kept = contexts.withColumn("r", rank).filter(F.col("r") <= MAX_CONTEXTS).select("k", "context")
-        grams = grams.withColumn("context", F.shiftright("gram", 8))
-        grams = grams.filter("k = 0").unionByName(grams.filter("k > 0").join(kept, ["k", "context"]))
+    # As many rows as the sample has distinct contexts: its size bounds the table.
     table = grams.select("lang", "k", "gram", "n").toArrow()
     lang = np.searchsorted(languages, table["lang"].to_pylist()) if languages else np.zeros(0, int)
     order, gram, n = (table[c].to_numpy() for c in ("k", "gram", "n"))
