@@ -40,11 +40,11 @@ from pyspark.sql import functions as F
 from terrier.llm import text
 
 STATES = 250_000
-KEPT_PIECES = 600_000
-KEPT_STRETCHES = 800_000
+KEPT_PIECES = 500_000
+KEPT_STRETCHES = 400_000
 KEPT_BYTES = 48
 STEP = 4096
-PART_BYTES = 1 << 22
+PART_BYTES = 1 << 21
 NEVER = 1 << 60
 _UNSEEN = object()
 
