@@ -82,6 +82,20 @@ def test_prefixes_of_seeded_epochs(spark, documents):
     assert 0.8 * sum(words.values()) - 100 <= taken <= 0.8 * sum(words.values()) + sum(map(max, leaves.values()))
 
 
+def test_a_group_without_weight_fills_no_share(spark):
+    """Tokens below weight 0 are no capacity: what they leave goes to the siblings of the group above."""
+    leaves = spark.createDataFrame([("d0", "a", 10), ("d0", "b", 1000), ("d1", "a", 1000)],
+                                   "mix_level0 string, mix_level1 string, mix_tokens long")
+    rows = mixing.budgets(leaves, 2, [{"d0": 1, "d1": 1}, {"b": 0}], 804, 1).collect()
+    assert {(r.mix_level0, r.mix_level1): r.mix_budget for r in rows} == {("d0", "a"): 10, ("d0", "b"): 0, ("d1", "a"): 794}
+
+
+def test_the_document_that_reaches_the_budget_is_taken(spark):
+    docs = spark.createDataFrame([(i, "w " * 100) for i in range(9)], "doc_id int, text string")
+    taken = mixing.mixed_documents(docs, [F.lit("g")], [{}], share=0.5, max_epochs=1)
+    assert taken.count() == 5  # 500 tokens for a budget of 450
+
+
 def test_mixing_of_odd_input(spark):
     rows = [(1, "a b c", "x"), (1, "a b c", "x"), (2, None, "x"), (3, "", None), (None, "d e", None), (4, "f", "y")]
     docs = spark.createDataFrame(rows, "doc_id int, text string, g string").withColumn("budget", F.lit(1))
@@ -203,6 +217,38 @@ def test_layouts(record, name, turns):
     assert (found, got) == (name, turns)
 
 
+@pytest.mark.parametrize("raw, name, turns", [
+    ('{"messages": [{"role": ["a"], "content": "x"}, {"role": {"b": 1}, "content": "y"}, {"role": "user", "content": 0}]}',
+     "messages", [('["a"]', "x"), ('{"b": 1}', "y"), ("user", "0")]),
+    ('{"messages": [{"role": "user", "content": "q"}, ["role", "content"]]}', "messages",
+     [("user", "q"), ("", '["role", "content"]')]),
+    ('{"messages[].role": "x", "messages[].content": "y"}', None, []),
+    ('{"messages[]": 1}', None, []),
+    ('{"question": "\\ud800 q", "answer": false}', "question", [("user", "\ufffd q"), ("assistant", "false")]),
+    ('{"question": 0, "answer": ""}', "question", [("user", "0"), ("assistant", "")]),
+    ("[" * 100_000, None, []),
+    ('{"question": ' + "[" * 100_000 + "]" * 100_000 + ', "answer": "a"}', None, []),
+    ('{"turns": [{"role": "human", "text": "q"}, {"role": "gpt", "text": "a"}]}', "turns", [("human", "q"), ("gpt", "a")]),
+    ('{"conversations": [{"from": "human", "value": "q"}, {"from": "bot", "value": "a"}]}', "share",
+     [("user", "q"), ("assistant", "a")]),
+])
+def test_records_that_used_to_end_the_task(spark, raw, name, turns):
+    records = spark.createDataFrame([(1, raw)], "id int, record string")
+    row = chat_format.formatted_records(records).collect()[0]
+    assert row.mapping == name
+    assert chat_format.parse(row.formatted) == turns
+
+
+def test_conversations_become_records_of_several_layouts(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (2, 0, "system", "s"), (2, 1, "user", ""), (2, 2, "assistant", None),
+            (3, 0, "user", "q"), (3, 1, "assistant", "a"), (3, 2, "user", "q"), (4, 0, "assistant", "a"), (5, 0, "human", "q")]
+    turns = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    formatted = {r.id: r for r in chat_format.formatted_records(chat_format.records_of_turns(turns)).collect()}
+    assert {i: r.mapping for i, r in formatted.items()} == {1: "question", 2: "prompt", 3: "messages", 4: "turns", 5: "turns"}
+    for i, r in formatted.items():
+        assert chat_format.parse(r.formatted) == [(role, text or "") for c, _, role, text in rows if c == i]
+
+
 def test_fingerprints_tell_layouts_apart():
     assert len(chat_format.MAPPINGS) == sum(len(chat_format._variants(x)) for x in chat_format.LAYOUTS.values())
 
@@ -257,6 +303,15 @@ def test_pipeline_stages(spark, documents):
     assert sorted(map(tuple, corpus_pipeline.run(spark, FOLDER).collect())) == wanted
 
 
+def test_near_dedup_keeps_different_texts_of_one_id(spark):
+    one = " ".join(f"first{i}" for i in range(80))
+    other = " ".join(f"second{i}" for i in range(80))
+    rows = [(1, one), (1, other), (2, one + " more"), (None, other), (None, None), (None, "lone words " * 9), (3, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_key", F.lit(5)).coalesce(1)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, FOLDER).collect()]
+    assert Counter(kept) == Counter([(1, one), (1, other), (None, None), (None, "lone words " * 9)])
+
+
 def test_pipeline_stages_on_odd_input(spark):
     rows = [(1, "Some plain text of a few words here.", "en", "src1", 3), (1, "Some plain text of a few words here.", "en", "src1", 3),
             (None, None, None, None, None), (2, "", "de", "src2", 0), (3, "Another plain text, of other words.", None, "other", 1)]
