@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from terrier.llm import bit_packing, decontaminate, gam_quality, mixing, order_minhash
 from terrier.llm.ship import ship
-from terrier.session import scratch_path
+from terrier.session import scratch_path, written
 
 #: Weights by level: domains (by source number), languages, sources.
 WEIGHTS = [{"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
@@ -22,7 +22,7 @@ WEIGHTS = [{"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
 def mixed(docs: DataFrame, tokens: Column | None = None, share: float = 0.8) -> DataFrame:
     """Documents mixed to ``WEIGHTS``; a source belongs to one of four domains by its number."""
     number = F.regexp_extract("source", "[0-9]+", 0)
-    domain = F.concat(F.lit("domain"), F.when(number != "", F.pmod(number.cast("long"), F.lit(4))))
+    domain = F.concat(F.lit("domain"), F.when(number != "", F.pmod(number.try_cast("long"), F.lit(4))))
     return mixing.mixed_documents(
         docs, [domain, F.col("lang"), F.col("source")], WEIGHTS, tokens=tokens, share=share)
 
@@ -42,11 +42,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates the document of the smallest id; all rows without an id."""
-    kept = order_minhash.near_duplicates(docs).filter("id = class_id").select(
-        F.col("id").alias("doc_id"))
-    own = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return own.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    """Of each class of near-duplicates the row that the stage before stored first.
+
+    Rows are told apart by their place in that table, so documents that share an id, or have none, are
+    compared and kept by their texts like any others.
+    """
+    key = "row_key"
+    while key in docs.columns:
+        key += "_"
+    keyed = written(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    classes = order_minhash.near_duplicates(keyed, id_column=key)
+    first = classes.filter("id = class_id").select(F.col("id").alias(key))
+    return keyed.join(first, key, "left_semi").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
