@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -51,6 +53,10 @@ def coordinates_outside(
     return df.where(F.col("LATITUDE").isNotNull() & outside)
 
 
+# Checks that need more than one row to tell.
+KEY_CHECKS = ("unique", "relationships")
+
+
 @dataclass(frozen=True)
 class Check:
     model: str
@@ -72,11 +78,34 @@ def _row_failure(check: Check) -> Column:
     raise ValueError(f"not a row-level check: {check.kind}")
 
 
+def watched(
+    name: str, df: DataFrame, checks: Sequence[Check]
+) -> tuple[DataFrame, Callable[[], dict[Check, int]]]:
+    """``df`` with its row checks counted by whatever writes it, and the counts to ask for afterwards.
+
+    Counted are the checks of model ``name`` that look at single rows; the write needs no second scan.
+    """
+    own = [c for c in dict.fromkeys(checks) if c.model == name and c.kind not in KEY_CHECKS]
+    if not own:
+        return df, dict
+    seen = Observation(f"checks-{name}-{uuid.uuid4().hex}")
+    counts = [F.count_if(_row_failure(c)).alias(f"c{i}") for i, c in enumerate(own)]
+
+    def failures() -> dict[Check, int]:
+        try:
+            found = seen.get
+        except Py4JJavaError:  # the planner knew the table to be empty and counted nothing
+            found = {}
+        return {c: found.get(f"c{i}", 0) for i, c in enumerate(own)}
+
+    return df.observe(seen, *counts), failures
+
+
 def _found(table: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
     """One pass over a table: failing rows per row check, rows per key for checks on keys."""
     cases = []
     for i, check in checks:
-        if check.kind in ("unique", "relationships"):
+        if check.kind in KEY_CHECKS:
             key = F.col(check.column)
             wanted = key.isNotNull() & F.expr(check.where) if check.where else key.isNotNull()
         else:
@@ -86,33 +115,50 @@ def _found(table: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
     return each.groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
 
 
-def run_checks(table: Callable[[str], DataFrame], checks: Sequence[Check]) -> DataFrame:
+def run_checks(
+    table: Callable[[str], DataFrame], checks: Sequence[Check],
+    counted: Callable[[str], dict[Check, int]] | None = None,
+) -> DataFrame:
     """One row per check: model, column, kind and number of failures.
 
-    Every model is read once, and the parent of every relationship once more for its keys.
+    ``counted(model)`` gives what was counted when the table was written (:func:`watched`). For the other
+    checks every model is read once, and the parent of every relationship once more for its keys.
     """
     numbered = list(enumerate(checks))
+    known: dict[int, int] = {}
+    if counted is not None:
+        of_model = {model: counted(model) for model in dict.fromkeys(c.model for c in checks)}
+        known = {i: of_model[c.model][c] for i, c in numbered if c in of_model[c.model]}
+    open_ = [(i, c) for i, c in numbered if i not in known]
+    spark = SparkSession.active()
+    if not open_:
+        return _named(spark, numbered, known).select(*RESULT, F.col("known").alias("failures"))
     found = reduce(DataFrame.unionByName, (
-        _found(table(model), [(i, c) for i, c in numbered if c.model == model])
-        for model in dict.fromkeys(c.model for c in checks)
+        _found(table(model), [(i, c) for i, c in open_ if c.model == model])
+        for model in dict.fromkeys(c.model for _, c in open_)
     ))
-    related = [(i, c) for i, c in numbered if c.kind == "relationships"]
+    related = [(i, c) for i, c in open_ if c.kind == "relationships"]
     if related:
         parents = reduce(DataFrame.unionByName, (
             table(c.to).select(F.lit(i).alias("check"), F.col(c.column).cast("string").alias("key"))
             for i, c in related
         ))
-        known = parents.distinct().withColumn("known", F.lit(True))
-        found = found.join(known, ["check", "key"], "left")
+        held = parents.distinct().withColumn("held", F.lit(True))
+        found = found.join(held, ["check", "key"], "left")
     else:
-        found = found.withColumn("known", F.lit(None).cast("boolean"))
+        found = found.withColumn("held", F.lit(None).cast("boolean"))
     unique_ones = [i for i, c in numbered if c.kind == "unique"]
     failing = F.when(F.col("check").isin(unique_ones), (F.col("n") > 1).cast("bigint")).when(
-        F.col("known").isNull(), F.col("n"))
+        F.col("held").isNull(), F.col("n"))
     totals = found.groupBy("check").agg(F.sum(failing).alias("failures"))
-    spark = found.sparkSession
-    named = spark.createDataFrame(
-        [(i, c.model, c.column, c.kind) for i, c in numbered],
-        "check int, model string, column_name string, check_name string")
-    return named.join(totals, "check", "left").select(
-        "model", "column_name", "check_name", F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"))
+    return _named(spark, numbered, known).join(totals, "check", "left").select(
+        *RESULT, F.coalesce("known", "failures", F.lit(0)).cast("bigint").alias("failures"))
+
+
+RESULT = ("model", "column_name", "check_name")
+
+
+def _named(spark: SparkSession, numbered: list[tuple[int, Check]], known: dict[int, int]) -> DataFrame:
+    return spark.createDataFrame(
+        [(i, c.model, c.column, c.kind, known.get(i)) for i, c in numbered],
+        "check int, model string, column_name string, check_name string, known long")

@@ -105,17 +105,17 @@ def sales_near(
         .withColumn("_from", gap(nearest("_sx", "_x0", "_x1"), nearest("_sy", "_y0", "_y1")))
         .withColumn("_to", gap(farthest("_sx", "_x0", "_x1"), farthest("_sy", "_y0", "_y1")))
         .where(F.col("_from") <= radius_m)
-        .withColumn("_inside", F.col("_to") <= radius_m)
         .withColumn("_best", F.min("_to").over(Window.partitionBy(site_id, "_sx", "_sy")))
-        .drop("_x0", "_x1", "_y0", "_y1")
     )
-    whole = near.where("_inside").select(site_id, F.col("_all").alias("_w"), F.lit(None).cast("double").alias("_d"))
-    paired = (
-        near.where(~F.col("_inside") | (F.col("_from") <= F.col("_best")))
-        .join(places, ["_cx", "_cy"])
-        .withColumn("_d", gap(F.col("_px"), F.col("_py")))
-        .where(F.col("_d") <= radius_m)
-        .select(site_id, F.when(~F.col("_inside"), F.col("_w")).alias("_w"), "_d")
+    # Only cells on the border and those that may hold the nearest place look for their places.
+    opened = (F.col("_to") > radius_m) | (F.col("_from") <= F.col("_best"))
+    # The others ask for a column that no place has, rather than NULL, which would be one hot key.
+    nowhere = F.when(opened, F.lit(0)).otherwise(F.lit(1 << 40))
+    asking = near.select(site_id, "_sx", "_sy", "_all", (F.col("_cx") + nowhere).alias("_cx"), "_cy")
+    paired = asking.join(places, ["_cx", "_cy"], "left").withColumn("_d", gap(F.col("_px"), F.col("_py")))
+    whole = F.col("_px").isNull()
+    return (
+        paired.where(whole | (F.col("_d") <= radius_m))
+        .groupBy(site_id)
+        .agg(F.sum(F.when(whole, F.col("_all")).otherwise(F.col("_w"))).alias("nb_near"), F.min("_d").alias("nearest_m"))
     )
-    return whole.unionByName(paired).groupBy(site_id).agg(
-        F.sum("_w").alias("nb_near"), F.min("_d").alias("nearest_m"))

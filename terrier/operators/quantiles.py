@@ -38,13 +38,18 @@ class Quantile:
 
 @dataclass
 class Summary:
-    """What to compute per group: quantiles of one value, counts of rows, means of columns."""
+    """What to compute per group: quantiles of one value, counts of rows, means of columns.
+
+    With ``weight`` a row stands for that many rows of equal value; a mean is then given as the sum over
+    these rows and their number.
+    """
 
     value: Column
     quantiles: dict[str, Quantile]
     counts: dict[str, Column | None] = field(default_factory=dict)
-    means: dict[str, Column] = field(default_factory=dict)
+    means: dict[str, Column | tuple[Column, Column]] = field(default_factory=dict)
     sums: dict[str, Column] = field(default_factory=dict)
+    weight: Column | None = None
 
 
 def bucket_of(value: Column) -> Column:
@@ -68,14 +73,16 @@ def _histogram(rows: DataFrame, by: list[str], spec: Summary, names: list[str])
     aggs = []
     for m in names:
         aggs += [
-            F.count(f"v_{m}").alias(f"n_{m}"),
+            F.coalesce(F.sum(F.when(F.col(f"v_{m}").isNotNull(), F.col("_w"))), F.lit(0)).alias(f"n_{m}")
+            if spec.weight is not None else F.count(f"v_{m}").alias(f"n_{m}"),
             F.min(f"v_{m}").alias(f"min_{m}"),
             F.max(f"v_{m}").alias(f"max_{m}"),
         ]
     aggs += [F.sum(f"c_{c}").alias(f"c_{c}") for c in spec.counts]
     aggs += [F.sum(f"s_{c}").alias(f"s_{c}") for c in spec.sums]
     for c in spec.means:
-        aggs += [F.sum(f"m_{c}").alias(f"ms_{c}"), F.count(f"m_{c}").alias(f"mn_{c}")]
+        n = F.sum(f"k_{c}") if spec.weight is not None else F.count(f"m_{c}")
+        aggs += [F.sum(f"m_{c}").alias(f"ms_{c}"), n.alias(f"mn_{c}")]
     return rows.groupBy(*by, "_bucket").agg(*aggs)
 
 
@@ -83,12 +90,19 @@ def _rows(df: DataFrame, by: list[str], spec: Summary) -> DataFrame:
     """Only the columns needed: keys, bucket, the value under each condition, other measures."""
     value = spec.value.cast("double")
     columns = [bucket_of(value).alias("_bucket")]
+    if spec.weight is not None:
+        columns.append(spec.weight.cast("bigint").alias("_w"))
     for m, q in spec.quantiles.items():
         columns.append((value if q.when is None else F.when(q.when, value)).alias(f"v_{m}"))
     for c, cond in spec.counts.items():
-        one = F.lit(1) if cond is None else F.when(cond, F.lit(1)).otherwise(F.lit(0))
+        one = F.lit(1) if spec.weight is None else spec.weight
+        one = one if cond is None else F.when(cond, one).otherwise(F.lit(0))
         columns.append(one.cast("bigint").alias(f"c_{c}"))
-    columns += [c.cast("double").alias(f"m_{name}") for name, c in spec.means.items()]
+    for name, c in spec.means.items():
+        total, n = (c, None) if spec.weight is None else c
+        columns.append(total.cast("double").alias(f"m_{name}"))
+        if n is not None:
+            columns.append(n.alias(f"k_{name}"))
     columns += [c.alias(f"s_{name}") for name, c in spec.sums.items()]
     return df.select(*by, *columns)
 
@@ -151,25 +165,28 @@ def _open_ranges(located: DataFrame, by: list[str], names: list[str]) -> DataFra
         *by, F.explode(F.array_compact(F.array(*cases))).alias("_t")).select(*by, "_t.*")
 
 
-def _narrowed(rows: DataFrame, ranges: DataFrame, by: list[str], names: list[str], zones) -> DataFrame:
-    """One pass: values of the ranks that it settles, narrower ranges for the others."""
-    fine, keys = ranges, by
-    if zones is not None:
-        fine, keys = zones.spread(ranges), zones.fine(by)
+def _inside(rows: DataFrame, ranges: DataFrame, by: list[str], names: list[str]) -> DataFrame:
+    """The values inside open ranges, one row for each range that a value lies in."""
     # No broadcast hint: the ranges are stored, so their real size decides the join.
-    values = rows.join(fine, _same(rows, fine, [*keys, "_bucket"]))
+    joined = rows.join(ranges, _same(rows, ranges, [*by, "_bucket"]))
     value = F.when(F.lit(False), F.lit(None).cast("double"))
     for i, m in enumerate(names):
         value = value.when(F.col("_m") == i, F.col(f"v_{m}"))
-    case = [*(fine[k].alias(k) for k in by), "_m", "_lo", "_hi", "_least", "_most"]
-    inside = values.select(*case, fine["_bucket"].alias("_bucket"), value.alias("_x")).where(
-        F.col("_x").between(F.col("_least"), F.col("_most")))
+    weight = F.col("_w") if "_w" in rows.columns else F.lit(1).cast("bigint")
+    return joined.select(
+        *(ranges[k].alias(k) for k in by), "_m", value.alias("_x"), weight.alias("_w"),
+        "_lo", "_hi", "_least", "_most",
+    ).where(F.col("_x").between(F.col("_least"), F.col("_most")))
+
+
+def _narrowed(inside: DataFrame, by: list[str]) -> DataFrame:
+    """One pass: values of the ranks that it settles, narrower ranges for the others."""
     # Halved before the difference, which could exceed the largest double.
     part = (F.col("_x") / 2 - F.col("_least") / 2) / (F.col("_most") / 2 - F.col("_least") / 2)
     slot = F.least(F.lit(SLOTS - 1), F.floor(part * SLOTS))
-    key = [*by, "_m", "_lo", "_hi", "_bucket"]
+    key = [*by, "_m", "_lo", "_hi"]
     slots = inside.groupBy(*key, slot.alias("_slot")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_least"), F.max("_x").alias("_most"))
+        F.sum("_w").alias("_n"), F.min("_x").alias("_least"), F.max("_x").alias("_most"))
     before = F.coalesce(F.sum("_n").over(
         Window.partitionBy(*by, "_m").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranked = slots.withColumn("_before", before)
@@ -184,19 +201,28 @@ def _narrowed(rows: DataFrame, ranges: DataFrame, by: list[str], names: list[str
     return ranked.groupBy(*key).agg(*aggs)
 
 
-def _refined(rows: DataFrame, ranges: DataFrame, by: list[str], names: list[str], zones) -> DataFrame:
-    """Values at the open ranks, one row per group: ``y_lo_m`` and ``y_hi_m`` for each quantile m."""
+def _refined(rows: DataFrame, ranges: DataFrame, by: list[str], names: list[str]) -> DataFrame:
+    """Values at the open ranks, one row per group: ``y_lo_m`` and ``y_hi_m`` for each quantile m.
+
+    The values inside open ranges, about a thousandth of a large group, are written once; the passes
+    read those, not the input.
+    """
+    inside = survivors = written(_inside(rows, ranges, by, names), "open")
     found = []
     while True:
-        passed = written(_narrowed(rows, ranges, by, names, zones), "pass")
+        passed = written(_narrowed(inside, by), "pass")
         found.append(passed.select(*by, "_m", "_y_lo", "_y_hi"))
         left = passed.where("_o_lo is not null or _o_hi is not null")
         if left.isEmpty():
             break
         bounds = F.coalesce("_o_lo", "_o_hi")
         ranges = left.select(
-            *by, "_m", "_bucket", bounds["_least"].alias("_least"), bounds["_most"].alias("_most"),
+            *by, "_m", bounds["_least"].alias("_least"), bounds["_most"].alias("_most"),
             F.col("_o_lo.r").alias("_lo"), F.col("_o_hi.r").alias("_hi"))
+        values = survivors.select(*by, "_m", "_x", "_w")
+        on = _same(values, ranges, [*by, "_m"]) & F.col("_x").between(F.col("_least"), F.col("_most"))
+        inside = values.join(ranges, on).select(
+            *(values[c] for c in (*by, "_m")), "_x", "_w", "_lo", "_hi", "_least", "_most")
     picks = [
         F.max(F.when(F.col("_m") == i, F.col(f"_y_{side}"))).alias(f"y_{side}_{m}")
         for i, m in enumerate(names) for side in ("lo", "hi")
@@ -204,51 +230,21 @@ def _refined(rows: DataFrame, ranges: DataFrame, by: list[str], names: list[str]
     return reduce(DataFrame.unionByName, found).groupBy(*by).agg(*picks)
 
 
-@dataclass
-class Zones:
-    """Groups of a finer key: ``table`` has ``key`` and the column ``zone``, one row per key.
-
-    Histograms are taken by the finer key and added up by zone, so the table meets histograms and
-    open ranges, not rows.
-    """
-
-    table: DataFrame
-    key: str
-    zone: str
-
-    def fine(self, by: list[str]) -> list[str]:
-        return [self.key if k == self.zone else k for k in by]
-
-    def spread(self, ranges: DataFrame) -> DataFrame:
-        return ranges.join(self.table.select(self.key, self.zone), self.zone)
-
-    def gathered(self, hist: DataFrame, by: list[str]) -> DataFrame:
-        how = {"min": F.min, "max": F.max}
-        aggs = [how.get(c.split("_")[0], F.sum)(c).alias(c)
-                for c in hist.columns if c not in (*self.fine(by), "_bucket")]
-        placed = hist.join(self.table.select(self.key, self.zone), self.key)
-        return placed.groupBy(*by, "_bucket").agg(*aggs)
-
-
-def summarise(df: DataFrame, by: list[str], spec: Summary, zones: Zones | None = None) -> DataFrame:
+def summarise(df: DataFrame, by: list[str], spec: Summary) -> DataFrame:
     """``by``, the counts, means and sums, and the exact quantiles (NULL where no value counts).
 
-    NULL is an ordinary group. Runs one job for the histogram and one or two for each pass over open
-    ranges; the input is read again by each, so it should be a stored table rather than a long plan.
-    With ``zones`` one of ``by`` is a column of the zone table.
+    NULL is an ordinary group. Runs one job for the histogram and, if it leaves ranges open, one that
+    writes the values inside them; these two read the input, so it should be a stored table.
     """
     names = list(spec.quantiles)
-    fine = by if zones is None else zones.fine(by)
-    rows = _rows(df, fine, spec)
-    hist = _histogram(rows, fine, spec, names)
-    if zones is not None:
-        hist = zones.gathered(hist, by)
+    rows = _rows(df, by, spec)
+    hist = _histogram(rows, by, spec, names)
     any_open = reduce(lambda a, b: a | b, (_is_open(m) for m in names))
     located = written(_locate(hist, by, spec).withColumn("_open", any_open), "quantiles", split_by="_open")
     ranges = _open_ranges(located, by, names)
     out = located
     if not ranges.isEmpty():
-        refined = _refined(rows, ranges, by, names, zones)
+        refined = _refined(rows, ranges, by, names)
         kept = [c for c in refined.columns if c not in by]
         out = located.join(refined, _same(located, refined, by), "left").select(located["*"], *kept)
     columns = [F.col(k) for k in by]

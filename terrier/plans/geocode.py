@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from terrier.functions import keys, text
 from terrier.functions.scoring import MATCH_SCORES
+from terrier.operators.bloom import having_keys
 from terrier.operators.dedup import best_per_key, distinct_blank_insensitive
 from terrier.operators.lookup import lookup_left
 from terrier.session import written
@@ -194,12 +195,6 @@ LEVEL_KEYS = {
 }
 
 
-def asked_for(register: DataFrame, level: str, keyed: DataFrame) -> DataFrame:
-    """Register rows whose key of that level some address has."""
-    asked = keyed.select(F.col("key").alias(LEVEL_KEYS[level])).distinct()
-    return register.join(asked, LEVEL_KEYS[level], "left_semi")
-
-
 def identified_addresses(staged: DataFrame) -> DataFrame:
     addresses = unique_addresses(staged)
     return addresses.select(keys.address_id(*ADDRESS_COLUMNS).alias("ADDRESS_ID"), "*")
@@ -245,26 +240,44 @@ def matches_by_level(staged: DataFrame, register: DataFrame) -> dict[str, DataFr
     return found
 
 
-def dim_address_enriched(staged: DataFrame, register: DataFrame) -> DataFrame:
-    """Distinct sale addresses with their best register match.
+def geocoded(addresses: DataFrame, register: DataFrame) -> DataFrame:
+    """The six components of unique addresses, with the payload of their best register match.
 
-    Every level reads the register, and normalising its text costs far more than reading it back:
-    it is written once, without the columns no level needs. A level works on the addresses that the
+    Every level reads the register, and normalising its text costs far more than reading it back: a
+    plan that still has to do so is best written first. A level works on the addresses that the
     better levels left: found ones leave the flow with their payload, the rest is written, so that
-    the next level's join is planned by its real size. The register side of a level is first cut to
-    the keys that the addresses left ask for.
+    the next level's join is planned by its real size. The scan of the register drops the rows whose key
+    no address left asks for; what remains is shuffled once, by the key that the winner and the join need.
     """
-    stored = written(register.select(*MATCHED_COLUMNS), "register")
-    rest = written(unique_addresses(staged), "addresses")
+    rest = written(addresses, "addresses")
     found = []
     for level, key in sale_match_keys().items():
+        n_left = rest.count()
+        if not n_left:
+            break
         keyed = rest.withColumn("key", key)
-        joined = written(lookup_left(keyed, LEVEL_SIDES[level](asked_for(stored, level, keyed)), "key"), level)
-        found.append(joined.where(F.col("payload").isNotNull()).select(*ADDRESS_COLUMNS, "payload"))
+        asked = having_keys(register, LEVEL_KEYS[level], keyed, "key", n_left)
+        joined = lookup_left(keyed, LEVEL_SIDES[level](asked), "key").select(*ADDRESS_COLUMNS, "payload")
+        if level == list(LEVEL_SIDES)[-1]:
+            rest = joined
+            break
+        joined = written(joined, level)
+        found.append(joined.where(F.col("payload").isNotNull()))
         rest = joined.where(F.col("payload").isNull()).select(*ADDRESS_COLUMNS)
-    matched = rest.withColumn("payload", payload_struct("NO_MATCH"))
+    if "payload" not in rest.columns:
+        rest = rest.withColumn("payload", F.lit(None).cast(payload_type()))
+    matched = rest.withColumn("payload", F.coalesce("payload", payload_struct("NO_MATCH")))
     for part in found:
         matched = matched.unionByName(part)
+    return matched
+
+
+def payload_type() -> str:
+    return f"struct<{','.join(f'{name}:{kind}' for name, kind in PAYLOAD.items())}>"
+
+
+def enriched(matched: DataFrame) -> DataFrame:
+    """The enriched address dimension of addresses with their payload."""
     return matched.select(
         keys.address_id(*ADDRESS_COLUMNS).alias("ADDRESS_ID"),
         "payload.BAN_ID",
@@ -272,3 +285,12 @@ def dim_address_enriched(staged: DataFrame, register: DataFrame) -> DataFrame:
         text.address_label_full(*ADDRESS_COLUMNS[:5]).alias("ADDRESS_FULL"),
         *(f"payload.{c}" for c in PAYLOAD if c != "BAN_ID"),
     )
+
+
+def dim_address_enriched(staged: DataFrame, register: DataFrame) -> DataFrame:
+    """Distinct sale addresses with their best register match.
+
+    The normalised register is written once, without the columns no level needs.
+    """
+    stored = written(register.select(*MATCHED_COLUMNS), "register")
+    return enriched(geocoded(unique_addresses(staged), stored))

@@ -1,4 +1,10 @@
-"""Price indicators per zone and year."""
+"""Price indicators per zone and year, all from one stored table of price counts.
+
+``price_cells`` reduces the fact to one row per year, commune, postcode, INSEE code, premises type and
+exact price, with the number of sales and the sums of their positions. Cells of a year can be replaced or added
+up, and every indicator is exact over them, so the fact is read once for the four of them, and a load of one
+year counts that year only.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +13,7 @@ from pyspark.sql import functions as F
 
 from terrier.functions.keys import premises_is
 from terrier.functions.numbers import price_per_m2
-from terrier.operators.quantiles import Quantile, Summary, Zones, summarise
+from terrier.operators.quantiles import Quantile, Summary, summarise
 
 # Premises types with own indicators; sales needed for a reliable indicator.
 APARTMENT, HOUSE = "APPARTEMENT", "MAISON"
@@ -26,20 +32,29 @@ def eligible(fact: DataFrame) -> DataFrame:
     )
 
 
+CELL_KEYS = ["ANNEE", "COMMUNE_ID", "CODE_POSTAL_ID", "CODE_INSEE", "TYPE_LOCAL_ID", "PRIX_M2"]
+_POSITION = ("LATITUDE", "LONGITUDE")
+
+
+def price_cells(fact: DataFrame) -> DataFrame:
+    """Number of eligible sales and sums of their positions per zone keys, premises type and price."""
+    sums = [F.sum(c).alias(f"{c}_SUM") for c in _POSITION]
+    counts = [F.count(c).alias(f"{c}_N") for c in _POSITION]
+    return eligible(fact).groupBy(*CELL_KEYS).agg(F.count(F.lit(1)).alias("NB_VENTES"), *sums, *counts)
+
+
 def _spec(centroid: bool = False, counts_by_type: bool = False) -> Summary:
     counts: dict[str, Column | None] = {"NB_VENTES": None}
     if counts_by_type:
         counts["NB_VENTES_APPARTEMENT"] = premises_is(APARTMENT)
         counts["NB_VENTES_MAISON"] = premises_is(HOUSE)
-    means = {}
-    if centroid:
-        means = {"LATITUDE_CENTROID": F.col("LATITUDE"), "LONGITUDE_CENTROID": F.col("LONGITUDE")}
+    means = {f"{c}_CENTROID": (F.col(f"{c}_SUM"), F.col(f"{c}_N")) for c in _POSITION} if centroid else {}
     quantiles = {
         "PRIX_MEDIAN_M2": Quantile(),
         "PRIX_MEDIAN_APPARTEMENT": Quantile(when=premises_is(APARTMENT)),
         "PRIX_MEDIAN_MAISON": Quantile(when=premises_is(HOUSE)),
     }
-    return Summary(F.col("PRIX_M2"), quantiles, counts, means)
+    return Summary(F.col("PRIX_M2"), quantiles, counts, means, weight=F.col("NB_VENTES"))
 
 
 def _zero_centroid_and_flag(kpis: DataFrame) -> DataFrame:
@@ -51,20 +66,20 @@ def _zero_centroid_and_flag(kpis: DataFrame) -> DataFrame:
     )
 
 
-def gold_kpi_france(fact: DataFrame) -> DataFrame:
-    return summarise(eligible(fact), ["ANNEE"], _spec(counts_by_type=True)).select(
+def gold_kpi_france(cells: DataFrame) -> DataFrame:
+    return summarise(cells, ["ANNEE"], _spec(counts_by_type=True)).select(
         "ANNEE", "PRIX_MEDIAN_M2", "NB_VENTES", "PRIX_MEDIAN_APPARTEMENT",
         "NB_VENTES_APPARTEMENT", "PRIX_MEDIAN_MAISON", "NB_VENTES_MAISON",
     )
 
 
 def gold_kpi_departement(
-    fact: DataFrame, communes: DataFrame, departements: DataFrame
+    cells: DataFrame, communes: DataFrame, departements: DataFrame
 ) -> DataFrame:
     """Per département; name and centroid fall back to the reference list."""
-    zones = Zones(communes.where(F.col("CODE_DEPARTEMENT").isNotNull()), "COMMUNE_ID", "CODE_DEPARTEMENT")
+    known = communes.where(F.col("CODE_DEPARTEMENT").isNotNull()).select("COMMUNE_ID", "CODE_DEPARTEMENT")
     spec = _spec(centroid=True, counts_by_type=True)
-    kpis = summarise(eligible(fact), ["CODE_DEPARTEMENT", "ANNEE"], spec, zones)
+    kpis = summarise(cells.join(known, "COMMUNE_ID"), ["CODE_DEPARTEMENT", "ANNEE"], spec)
     joined = kpis.join(departements, "CODE_DEPARTEMENT", "left")
     return joined.select(
         "CODE_DEPARTEMENT",
@@ -76,13 +91,13 @@ def gold_kpi_departement(
     )
 
 
-def gold_kpi_commune(fact: DataFrame, communes: DataFrame) -> DataFrame:
+def gold_kpi_commune(cells: DataFrame, communes: DataFrame) -> DataFrame:
     """Per INSEE code and commune.
 
     The sale carries the INSEE code of its address, and a commune key stands for one name: both are
     grouped on as they are, and the names joined to the finished groups.
     """
-    coded = eligible(fact).where(F.col("CODE_INSEE").isNotNull())
+    coded = cells.where(F.col("CODE_INSEE").isNotNull())
     kpis = summarise(coded, ["CODE_INSEE", "COMMUNE_ID", "ANNEE"], _spec(centroid=True))
     named = kpis.join(communes, "COMMUNE_ID", "left")
     return _zero_centroid_and_flag(named).select(
@@ -92,14 +107,14 @@ def gold_kpi_commune(fact: DataFrame, communes: DataFrame) -> DataFrame:
     )
 
 
-def gold_kpi_code_postal(fact: DataFrame, postcodes: DataFrame) -> DataFrame:
+def gold_kpi_code_postal(cells: DataFrame, postcodes: DataFrame) -> DataFrame:
     """Per postcode and INSEE code, sales without INSEE code forming a group of their own.
 
-    A postcode may lie in several départements: the histograms of its keys are added up.
+    A postcode may lie in several départements, each with a key of its own.
     """
-    zones = Zones(postcodes.where(F.col("CODE_POSTAL").isNotNull()), "CODE_POSTAL_ID", "CODE_POSTAL")
+    known = postcodes.where(F.col("CODE_POSTAL").isNotNull()).select("CODE_POSTAL_ID", "CODE_POSTAL")
     by = ["CODE_POSTAL", "CODE_INSEE", "ANNEE"]
-    kpis = summarise(eligible(fact), by, _spec(centroid=True), zones)
+    kpis = summarise(cells.join(known, "CODE_POSTAL_ID"), by, _spec(centroid=True))
     return _zero_centroid_and_flag(kpis).select(
         "CODE_POSTAL", F.col("CODE_INSEE").alias("CODE_COMMUNE"), "ANNEE", "PRIX_MEDIAN_M2",
         "NB_VENTES", "PRIX_MEDIAN_APPARTEMENT", "PRIX_MEDIAN_MAISON", "LATITUDE_CENTROID",

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrier.operators.checks import Check, watched
 from terrier.plans import dims, fact, geocode, kpi, silver
 from terrier.session import written
 from terrier.sources.files import overwrite_table, table_path
@@ -20,6 +21,7 @@ SALE_COLUMNS = (*geocode.ADDRESS_COLUMNS, *dims.PARCEL_COLUMNS, "TYPE_LOCAL", *f
 BUILD_STEPS = (
     ("dim_address", "dim_address_enriched", "dim_code_postal", "dim_parcelle", "dim_type_local"),
     ("dim_commune", "fct_mutation"),
+    ("price_cells",),
     ("gold_kpi_france", "gold_kpi_departement", "gold_kpi_commune", "gold_kpi_code_postal"),
 )
 GOLD_TABLES = (
@@ -27,6 +29,8 @@ GOLD_TABLES = (
     "dim_type_local", "fct_mutation", "gold_kpi_france", "gold_kpi_departement",
     "gold_kpi_commune", "gold_kpi_code_postal",
 )
+# Tables stored by year, and how they come by their year.
+YEARLY = {"fct_mutation": fact.by_year, "price_cells": lambda cells: cells}
 AUDIT_COLUMNS = {
     "stg_ban_addresses": ("CREATED_AT",),
     "stg_ban_addresses_normalized": ("CREATED_AT",),
@@ -46,19 +50,25 @@ def with_audit(name: str, df: DataFrame) -> DataFrame:
 
 
 def parquet_store(
-    root: str, schema: str = "gold", schemas: dict[str, str] | None = None
+    root: str, schema: str = "gold", schemas: dict[str, str] | None = None,
+    checks: Sequence[Check] = (), failures: dict[Check, int] | None = None,
 ) -> Callable[[str, DataFrame], DataFrame]:
-    """Full refresh of every gold table below ``root``; the fact is split by year.
+    """Full refresh of every gold table below ``root``; the fact and its price cells are split by year.
 
-    A table goes to ``schema``, or to the schema of its own that ``schemas`` names.
+    A table goes to ``schema``, or to the schema of its own that ``schemas`` names. Row checks among
+    ``checks`` are counted by the write, and their numbers put into ``failures``.
     """
 
     def store(name: str, df: DataFrame) -> DataFrame:
         path = table_path(root, name, schema, (schemas or {}).get(name))
-        audited = with_audit(name, df)
-        if name != "fct_mutation":
-            return overwrite_table(audited, path)
-        return overwrite_table(fact.by_year(audited), path, [fact.YEAR_COLUMN])
+        rows, counted = watched(name, with_audit(name, df), checks)
+        if name in YEARLY:
+            stored = overwrite_table(YEARLY[name](rows), path, [fact.YEAR_COLUMN])
+        else:
+            stored = overwrite_table(rows, path)
+        if failures is not None:
+            failures.update(counted())
+        return stored
 
     return store
 
@@ -144,28 +154,32 @@ class Star:
         sales = fact.fct_mutation(self.sales, self.dim_address_enriched)
         return self._gold("fct_mutation", sales)
 
+    @cached_property
+    def price_cells(self) -> DataFrame:
+        return self._gold("price_cells", kpi.price_cells(self.fct_mutation))
+
     @cached_property
     def gold_kpi_france(self) -> DataFrame:
-        return self._gold("gold_kpi_france", kpi.gold_kpi_france(self.fct_mutation))
+        return self._gold("gold_kpi_france", kpi.gold_kpi_france(self.price_cells))
 
     @cached_property
     def gold_kpi_departement(self) -> DataFrame:
         kpis = kpi.gold_kpi_departement(
-            self.fct_mutation, self.dim_commune, self.ref_departements
+            self.price_cells, self.dim_commune, self.ref_departements
         )
         return self._gold("gold_kpi_departement", kpis)
 
     @cached_property
     def gold_kpi_commune(self) -> DataFrame:
         return self._gold(
-            "gold_kpi_commune", kpi.gold_kpi_commune(self.fct_mutation, self.dim_commune)
+            "gold_kpi_commune", kpi.gold_kpi_commune(self.price_cells, self.dim_commune)
         )
 
     @cached_property
     def gold_kpi_code_postal(self) -> DataFrame:
         return self._gold(
             "gold_kpi_code_postal",
-            kpi.gold_kpi_code_postal(self.fct_mutation, self.dim_code_postal),
+            kpi.gold_kpi_code_postal(self.price_cells, self.dim_code_postal),
         )
 
 

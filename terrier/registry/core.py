@@ -8,11 +8,15 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrier.plans.fact import YEAR_COLUMN, by_year
-from terrier.plans.warehouse import Star, with_audit
+from terrier.operators.checks import Check, watched
+from terrier.plans.declared_checks import declared_checks
+from terrier.plans.fact import YEAR_COLUMN
+from terrier.plans.incremental import Warehouse
+from terrier.plans.warehouse import YEARLY, Star, with_audit
 from terrier.registry.oracle_tables import oracle
-from terrier.session import written
+from terrier.session import scratch_path, written
 from terrier.sources.bronze import derived_register, derived_sales
+from terrier.sources.files import sale_year
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +32,7 @@ class Context:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self.row_failures: dict[str, Callable[[], dict[Check, int]]] = {}
 
     @cached_property
     def bronze_dvf(self) -> DataFrame:
@@ -44,25 +49,51 @@ class Context:
 
     @cached_property
     def gold(self) -> Star:
-        return Star(self.bronze_dvf, self.bronze_ban, self._stored)
+        return Star(self.bronze_dvf, self.bronze_ban, self._checked)
 
     @cached_property
     def gold_scale0(self) -> Star:
         """The same star with whole amounts and coordinates."""
         return Star(self.bronze_dvf, self.bronze_ban, self._stored, scale0=True)
 
-    @staticmethod
-    def _stored(name: str, df: DataFrame) -> DataFrame:
-        audited = with_audit(name, df)
-        if name != "fct_mutation":
-            return written(audited, name)
-        return written(by_year(audited), name, split_by=YEAR_COLUMN)
+    def _checked(self, name: str, df: DataFrame) -> DataFrame:
+        """Stores a table; its write counts the row checks that it fails."""
+        return self._stored(name, df, watch=True)
+
+    def _stored(self, name: str, df: DataFrame, watch: bool = False) -> DataFrame:
+        rows = with_audit(name, df)
+        if watch:
+            rows, self.row_failures[name] = watched(name, rows, declared_checks())
+        if name not in YEARLY:
+            return written(rows, name)
+        return written(YEARLY[name](rows), name, split_by=YEAR_COLUMN)
+
+    def counted(self, name: str) -> dict[Check, int]:
+        """Row checks counted when a gold table was written; silver tables are never written."""
+        if name.startswith("stg_"):
+            return {}
+        self.gold.table(name)
+        return self.row_failures[name]()
+
+    @cached_property
+    def loaded_by_year(self) -> Warehouse:
+        """Tables of three loads: older years, half of the last year, then the whole last year."""
+        sales = self.bronze_dvf
+        years = [int(r[0]) for r in sales.select(sale_year()).distinct().collect()]
+        last = max(years)
+        half = sales.where(F.substring("DATE_MUTATION", 4, 2) <= "06")
+        warehouse = Warehouse(self.spark, scratch_path(self.spark, "warehouse"))
+        warehouse.load(sales, self.bronze_ban, [y for y in years if y < last])
+        warehouse.load(half, None, [last])
+        warehouse.load(sales, self.bronze_ban, [last])
+        return warehouse
 
     @property
     def indicators(self) -> Star:
-        """Indicators computed anew, over the stored fact and dimensions."""
+        """Indicators computed anew, over the stored price cells and dimensions."""
         star = Star(self.bronze_dvf, self.bronze_ban)
-        for name in ("dim_address_enriched", "dim_code_postal", "dim_commune", "fct_mutation"):
+        for name in ("dim_address_enriched", "dim_code_postal", "dim_commune", "fct_mutation",
+                     "price_cells"):
             setattr(star, name, self.gold.table(name))
         return star
 
@@ -93,6 +124,12 @@ def register(
         ORACLES[key] = oracle(sql, scale0)
 
 
+def register_like(key: str, run: Callable[[Context], DataFrame], other: str) -> None:
+    """A further way to the rows of a registered query."""
+    register(key, run)
+    ORACLES[key] = ORACLES[other]
+
+
 def outcomes(df: DataFrame, **columns: Column) -> DataFrame:
     """Every distinct outcome of some column expressions, with its number of rows."""
     return df.groupBy(*(c.alias(n) for n, c in columns.items())).agg(

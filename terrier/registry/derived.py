@@ -243,7 +243,7 @@ def _published(c, on: dt.date):
     )
 
 
-def _history(c):
+def address_history(c):
     """Addresses over two loads: new ones open, those without a sale left close, others may change."""
     first = history.start_history(_published(c, LOADS[0]), LOADS[0])
     return history.merge_history(
@@ -259,13 +259,10 @@ def _published_sql(on: dt.date) -> str:
 
 
 _CHANGED = "(a.DERNIERE_VENTE <> b.DERNIERE_VENTE OR a.NB_VENTES <> b.NB_VENTES)"
-register(
-    "d_20_history",
-    _history,
-    f"""SELECT a.*, DATE '{LOADS[0]}' AS VALID_FROM,
+VERSIONS_SQL = f"""SELECT a.*, DATE '{LOADS[0]}' AS VALID_FROM,
       CASE WHEN b.ADDRESS_ID IS NULL OR {_CHANGED} THEN DATE '{LOADS[1]}' END AS VALID_TO, VALID_TO IS NULL AS IS_CURRENT
     FROM ({_published_sql(LOADS[0])}) a LEFT JOIN ({_published_sql(LOADS[1])}) b USING (ADDRESS_ID)
     UNION ALL SELECT b.*, DATE '{LOADS[1]}', CAST(NULL AS DATE), true
     FROM ({_published_sql(LOADS[1])}) b LEFT JOIN ({_published_sql(LOADS[0])}) a USING (ADDRESS_ID)
-    WHERE a.ADDRESS_ID IS NULL OR {_CHANGED}""",
-)
+    WHERE a.ADDRESS_ID IS NULL OR {_CHANGED}"""
+register("d_20_history", address_history, VERSIONS_SQL)

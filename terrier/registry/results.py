@@ -336,6 +336,6 @@ def _check_sql(check: checks.Check) -> str:
 
 register(
     "chk_8_all_declared",
-    lambda c: checks.run_checks(c.checked_table, declared_checks()),
+    lambda c: checks.run_checks(c.checked_table, declared_checks(), c.counted),
     "\nUNION ALL ".join(_check_sql(x) for x in declared_checks()),
 )

@@ -49,3 +49,38 @@ def test_coordinates_on_the_border_are_inside(spark):
         "LATITUDE double, LONGITUDE double",
     )
     assert checks.coordinates_outside(df, (41.0, 51.5), (-5.5, 10.0)).count() == 2
+
+
+def test_row_checks_are_counted_by_the_write(spark, tmp_path):
+    """One action writes the table and counts; the runner then reads for checks on keys only."""
+    child = _tables(spark)["child"]
+    declared = [
+        Check("child", "fk", "not_null"), Check("child", "kind", "accepted_values", values=("a", "b")),
+        Check("child", "median", "prix_median_positif"), Check("child", "fk", "relationships", to="parent"),
+        Check("parent", "fk", "unique"),
+    ]
+    rows, counted = checks.watched("child", child, declared)
+    rows.write.parquet(str(tmp_path / "child"))
+    assert counted() == {declared[0]: 1, declared[1]: 2, declared[2]: 2}
+    read = []
+
+    def table(name):
+        read.append(name)
+        return _tables(spark)[name]
+
+    given = lambda model: counted() if model == "child" else {}
+    result = checks.run_checks(table, declared, given)
+    assert sorted(map(tuple, result.collect())) == sorted(map(tuple, checks.run_checks(table, declared).collect()))
+    read.clear()
+    assert {r.failures for r in checks.run_checks(table, declared[:3], given).collect()} == {1, 2} and not read
+
+
+def test_a_store_counts_its_row_checks(spark, tmp_path):
+    from terrier.plans.warehouse import parquet_store
+
+    failures = {}
+    store = parquet_store(str(tmp_path), checks=[Check("t", "k", "not_null")], failures=failures)
+    store("t", spark.createDataFrame([("a",), (None,), (None,)], "k string"))
+    assert list(failures.values()) == [2]
+    store("t", spark.createDataFrame([], "k string"))
+    assert list(failures.values()) == [0]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import golden
 from terrier import registry
+from terrier.operators.bloom import having_keys
 from terrier.plans import consumer, fact, geocode, kpi, reports
 from terrier.plans.warehouse import Star
 from terrier.registry.core import context
@@ -128,18 +129,20 @@ def test_a_stored_star_parses_raw_sales_once(spark):
     assert "NATURE_MUTATION" in tree and "regexp" not in tree.split("\n\n")[0]
 
 
-def test_the_street_level_shuffles_the_register_once(spark):
-    """One exchange serves the cut to asked keys, the merge of points, the choice and the join."""
+def test_the_register_is_cut_in_its_scan_and_shuffled_once(spark):
+    """A broadcast filter drops unasked rows; one exchange serves points, choice and join of a level."""
     threshold = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(threshold)
     try:
         spark.conf.set(threshold, "-1")
         ctx = context(spark, FOLDER)
         register = ctx.lazy.stg_ban_addresses_normalized
-        keyed = ctx.gold.dim_address.withColumn("key", geocode.sale_match_keys()["VOIE_SEULE"])
-        side = geocode.LEVEL_SIDES["VOIE_SEULE"](geocode.asked_for(register, "VOIE_SEULE", keyed))
-        tree = plan(geocode.lookup_left(keyed, side, "key")).split("\n\n")[0]
-        # The addresses twice (their keys, themselves), the register once.
-        assert tree.count("Exchange") == 3
+        for level, key in geocode.LEVEL_KEYS.items():
+            keyed = ctx.gold.dim_address.withColumn("key", geocode.sale_match_keys()[level])
+            asked = having_keys(register, key, keyed, "key", 1000)
+            tree = plan(geocode.lookup_left(keyed, geocode.LEVEL_SIDES[level](asked), "key")).split("\n\n")[0]
+            assert tree.count("BroadcastExchange") == 1
+            # By shuffle: the addresses for the filter, the addresses, the register.
+            assert tree.count("Exchange") - tree.count("BroadcastExchange") == 3, level
     finally:
         spark.conf.set(threshold, before)

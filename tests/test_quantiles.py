@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from terrier.operators.quantiles import Quantile, Summary, Zones, bucket_of, grouped_median, summarise
+from terrier.operators.quantiles import Quantile, Summary, bucket_of, grouped_median, summarise
 
 
 def _frame(spark, rows):
@@ -94,13 +94,41 @@ def test_many_values_in_one_bucket(spark):
     assert row.q == pytest.approx(1.0 + (n - 1) / 4 * 5e-11, abs=1e-13)
 
 
-def test_zones_are_added_up_from_finer_groups(spark):
+def test_weighted_rows_count_as_often_as_their_weight(spark):
+    """Rows with counts against the same rows written out, with close values and several passes."""
     chance = random.Random(4)
-    rows = [(f"k{chance.randrange(9)}", chance.choice([1.0, 1.0001]) * chance.randrange(1, 50), 0) for _ in range(4000)]
-    zones = spark.createDataFrame([(f"k{i}", f"z{i % 3}") for i in range(8)], "g string, zone string")
-    got = summarise(_frame(spark, rows), ["zone"], Summary(F.col("v"), {"m": Quantile()}, counts={"n": None}),
-                    Zones(zones, "g", "zone")).collect()
-    for r in got:
-        own = [v for g, v, _ in rows if g != "k8" and f"z{int(g[1:]) % 3}" == r.zone]
-        assert (r.n, r.m) == (len(own), statistics.median(own))
-    assert len(got) == 3
+    rows = [(f"g{chance.randrange(4)}", 100 + chance.randrange(400) * 1e-9, chance.randrange(1, 5))
+            for _ in range(3000)] + [("hot", 5.0 + i * 1e-13, 3) for i in range(2000)]
+    rows += [("none", None, 2)]
+    spec = Summary(F.col("v"), {"m": Quantile(), "q": Quantile(0.3, F.col("c") > 2)}, {"n": None},
+                   {"a": (F.col("v") * F.col("c"), F.when(F.col("v").isNotNull(), F.col("c")))}, weight=F.col("c"))
+    got = {r.g: r for r in summarise(_frame(spark, rows), ["g"], spec).collect()}
+    for g in {g for g, _, _ in rows}:
+        own = sorted(v for k, v, c in rows if k == g and v is not None for _ in range(c))
+        some = sorted(v for k, v, c in rows if k == g and v is not None and c > 2 for _ in range(c))
+        assert got[g].n == sum(c for k, _, c in rows if k == g)
+        assert got[g].m == (statistics.median(own) if own else None)
+        assert got[g].a == (pytest.approx(statistics.fmean(own)) if own else None)
+        if some:
+            low = 0.3 * (len(some) - 1)
+            at, part = int(low), low - int(low)
+            assert got[g].q == pytest.approx(some[at] * (1 - part) + some[min(at + 1, len(some) - 1)] * part, rel=1e-15)
+        else:
+            assert got[g].q is None
+
+
+def test_passes_read_the_written_values_only(spark, monkeypatch):
+    """However many passes a group needs, the input is read for the histogram and the open values."""
+    from terrier.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "SLOTS", 2)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = _frame(spark, [("a", 1 + i * 1e-9, 0) for i in range(1000)]).mapInArrow(counted, "g string, v double, c int")
+    assert _medians(grouped_median(df, ["g"], F.col("v"), "m")) == {"a": pytest.approx(1 + 499.5e-9, rel=1e-15)}
+    assert read.value == 2000
