@@ -247,7 +247,8 @@ def geocoded(addresses: DataFrame, register: DataFrame) -> DataFrame:
     plan that still has to do so is best written first. A level works on the addresses that the
     better levels left: found ones leave the flow with their payload, the rest is written, so that
     the next level's join is planned by its real size. The scan of the register drops the rows whose key
-    no address left asks for; what remains is shuffled once, by the key that the winner and the join need.
+    no address left asks for; what remains is shuffled once by the key that the winner and the join need,
+    for streets and postcodes after their points were merged by finer keys.
     """
     rest = written(addresses, "addresses")
     found = []
