@@ -10,6 +10,7 @@ import golden
 from terrier.plans import geocode
 from terrier.plans.incremental import Warehouse
 from terrier.plans.warehouse import Star
+from terrier.session import written
 from terrier.sources.manifest import ConcurrentLoad, PartitionedTable
 
 SCHEMA = "k string, n int, y int"
@@ -113,12 +114,14 @@ def rows_of(df):
     return Counter(tuple(r) for r in df.select(*kept).collect())
 
 
-def assert_as_full_build(spark, warehouse, years, register=golden.REGISTER):
-    full = Star(golden.sales(spark, [s for rows in years.values() for s in rows]), golden.register(spark, register))
+def assert_as_full_build(spark, warehouse, years, register=golden.REGISTER, kpis=False):
+    full = Star(golden.sales(spark, [s for rows in years.values() for s in rows]), golden.register(spark, register),
+                lambda name, df: written(df, name))
     assert rows_of(warehouse.fct_mutation) == rows_of(full.fct_mutation)
     assert rows_of(warehouse.dim_address_enriched) == rows_of(full.dim_address_enriched)
-    for name, kpis in warehouse.indicators().items():
-        assert rows_of(kpis) == rows_of(full.table(name)), name
+    if kpis:
+        for name, found in warehouse.indicators().items():
+            assert rows_of(found) == rows_of(full.table(name)), name
 
 
 def load(spark, warehouse, years, *changed, register=None):
@@ -144,7 +147,7 @@ def test_loads_equal_full_builds(spark, tmp_path):
     years[2022] = dated(2022, LYON, LYON | {"VALEUR_FONCIERE": "99000"})
     load(spark, warehouse, years, 2022)
     assert warehouse.geocoded_last == 0
-    assert_as_full_build(spark, warehouse, years)
+    assert_as_full_build(spark, warehouse, years, kpis=True)
     # The same load once more changes nothing; a year may become empty.
     load(spark, warehouse, years, 2022)
     assert_as_full_build(spark, warehouse, years)
