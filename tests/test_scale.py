@@ -2,6 +2,12 @@
 
 import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
+
+from terrier.operators import dedup
+from terrier.plans.incremental import _may_be_of
+from terrier.session import unsorted_split, written
 from terrier.sources import bronze
 from test_plans import plan
 
@@ -34,3 +40,59 @@ def test_sales_are_derived_in_another_order_with_the_same_rows(spark, tmp_path):
     assert got.exceptAll(wanted).isEmpty() and wanted.exceptAll(got).isEmpty()
     details = [x for x in plan(got).split("\n\n") if "Arguments: hashpartitioning" in x]
     assert len(details) == 1 and "hashpartitioning(l_orderkey" in details[0] and "l_comment" not in details[0]
+
+
+def test_a_split_table_is_written_without_a_sort(spark):
+    """A task keeps a writer open for each of a few folders; its rows are not sorted in memory."""
+    rows = spark.range(0, 1000, 1, 4).select("id", (F.col("id") % 5 + 1990).cast("int").alias("year"))
+    seen = []
+    with unsorted_split(spark):
+        seen.append(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+        with unsorted_split(spark):
+            pass
+        seen.append(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+    assert seen == ["16", "16"]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    stored = written(rows, "split", split_by="year")
+    assert stored.exceptAll(rows).isEmpty() and stored.count() == 1000
+    # More folders than writers still work.
+    many = written(rows.withColumn("year", F.col("id") % 40), "many", split_by="year")
+    assert many.count() == 1000 and many.select("year").distinct().count() == 40
+
+
+def test_an_owner_of_the_session_keeps_its_setting(spark):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    spark.conf.set(name, "3")
+    try:
+        with unsorted_split(spark):
+            assert spark.conf.get(name) == "3"
+        assert spark.conf.get(name) == "3"
+    finally:
+        spark.conf.unset(name)
+
+
+ROWS = [("a", None), (None, "a"), ("a", None), ("b", "c"), (None, None), (None, None), ("", None), ("x", "y")]
+
+
+@pytest.mark.parametrize("max_shared", [0, 100])
+def test_rows_are_counted_whether_they_repeat_or_not(spark, max_shared):
+    df = spark.createDataFrame(ROWS, "a string, b string")
+    wanted = df.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    got = dedup.counted_rows(df, "n", max_shared)
+    assert got.dtypes == wanted.dtypes
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, wanted.collect()), key=str)
+
+
+def test_single_rows_are_not_shuffled(spark):
+    """Only rows that share their hash are grouped: one exchange, behind the semi join."""
+    df = written(spark.createDataFrame(ROWS, "a string, b string"), "rows")
+    tree = plan(dedup.counted_rows(df, "n")).split("\n\n")[0]
+    assert tree.count("Exchange") - tree.count("BroadcastExchange") - tree.count("ReusedExchange") == 1
+    assert "LeftSemi" in tree and "LeftAnti" in tree
+
+
+def test_a_load_parses_the_rows_of_its_years(spark):
+    dates = ["31/12/1997", "01/01/1998", "1/1/98", "01/01/01998", None, "01-01-1997"]
+    df = spark.createDataFrame([(d,) for d in dates], "DATE_MUTATION string")
+    kept = {r[0] for r in df.where(_may_be_of([1998])).collect()}
+    assert kept == set(dates) - {"31/12/1997"}  # what is not plainly dated is left to the strict parse
