@@ -63,7 +63,7 @@ def load_csv(
     for name, fault in reversed(reasons.items()):
         reason = F.when(fault, F.lit(name)).otherwise(reason)
     parsed = written(
-        raw.select("*", F.element_at(F.split("_metadata.file_path", "/"), -1).alias(FILE), reason.alias(REASON))
+        raw.select("*", F.substring_index("_metadata.file_path", "/", -1).alias(FILE), reason.alias(REASON))
         .withColumn("_bad", F.col(REASON).isNotNull()), "csv-load", split_by="_bad")
     good = parsed.where("not _bad").select(*schema.names).withColumns(split)
     accepted = PartitionedTable(spark, target, list(split))
