@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrier.operators import dedup
 from terrier.plans.incremental import _may_be_of
-from terrier.session import unsorted_split, written
+from terrier.session import TASKS_A_CORE, even_tasks, unsorted_split, written
 from terrier.sources import bronze
 from test_plans import plan
 
@@ -96,3 +96,23 @@ def test_a_load_parses_the_rows_of_its_years(spark):
     df = spark.createDataFrame([(d,) for d in dates], "DATE_MUTATION string")
     kept = {r[0] for r in df.where(_may_be_of([1998])).collect()}
     assert kept == set(dates) - {"31/12/1997"}  # what is not plainly dated is left to the strict parse
+
+
+def test_a_write_is_cut_into_several_tasks_a_core(spark, tmp_path):
+    """As many as cores and a few more would leave most cores waiting for the last ones."""
+    keys = ["spark.sql.files.minPartitionNum", "spark.sql.adaptive.coalescePartitions.minPartitionNum"]
+    cores = spark.sparkContext.defaultParallelism
+    n = TASKS_A_CORE * cores
+    spark.range(n * 10).repartition(n).write.parquet(str(tmp_path / "t"))
+    source = spark.read.parquet(str(tmp_path / "t"))
+    stored = written(source, "even", even=True)
+    assert len(stored.inputFiles()) > 2 * cores and stored.count() == n * 10
+    assert [spark.conf.get(k, None) for k in keys] == [None, None]
+    try:  # a setting of the session's owner stays
+        spark.conf.set(keys[0], "1")
+        with even_tasks(spark), even_tasks(spark):
+            assert [spark.conf.get(k) for k in keys] == ["1", str(n)]
+        assert [spark.conf.get(k, None) for k in keys] == ["1", None]
+        assert len(written(source, "whole", even=True).inputFiles()) <= cores
+    finally:
+        spark.conf.unset(keys[0])
