@@ -19,6 +19,7 @@ id and label alone, and the score never sees anything but the text.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import combinations
 
 import numpy as np
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from terrier.llm import text
-from terrier.llm.host_rules import count_columns
+from terrier.llm.host_rules import part_counts
 from terrier.llm.sampling import hashed_share
 
 MAX_ROWS = 20_000
@@ -38,6 +39,8 @@ PAIR_ROUNDS = 60
 PAIRS = 8
 RATE = 0.1
 RIDGE = 1.0
+#: Bytes of text whose features are computed at a time; that takes about 50 times their memory.
+PART_BYTES = 1 << 18
 
 FEATURES = (
     "log_words", "word_length", "upper", "digits", "symbols", "marks", "non_ascii",
@@ -83,12 +86,12 @@ def _word_features(words: text.Words) -> list[np.ndarray]:
 
 def features(column) -> np.ndarray:
     """One row per text, one column per name in ``FEATURES``."""
-    counts, rows = count_columns(column), []
-    for first, data, offsets in text.parts(column):
+    rows = []
+    for _, data, offsets in text.parts(column, PART_BYTES):
         n = len(offsets) - 1
         words = text.Words(data, offsets)
-        own = slice(first, first + n)
-        n_words = np.maximum(counts["n_words"][own], 1)
+        counts = part_counts(words)
+        n_words = np.maximum(counts["n_words"], 1)
         doc = np.repeat(np.arange(n), np.diff(offsets))
         solid = np.maximum(np.bincount(doc[words.solid], minlength=n), 1)
         kinds = np.bincount(doc * 8 + _KIND[data], minlength=8 * n).reshape(n, 8)
@@ -96,9 +99,9 @@ def features(column) -> np.ndarray:
         distinct, doubled, short, long, spread, most, mean = _word_features(words)
         letters = np.maximum(kinds[:, 1] + kinds[:, 2], 1)
         rows.append(np.column_stack([
-            np.log1p(counts["n_words"][own]), mean, kinds[:, 1] / letters, kinds[:, 3] / solid,
+            np.log1p(counts["n_words"]), mean, kinds[:, 1] / letters, kinds[:, 3] / solid,
             kinds[:, 4] / solid, kinds[:, 5] / solid, kinds[:, 6] / solid,
-            counts["n_repeat_words"][own] / n_words, counts["n_dup_lines"][own] / lines,
+            counts["n_repeat_words"] / n_words, counts["n_dup_lines"] / lines,
             distinct, doubled, short, long, n_words / lines, spread, most,
         ]))
     return np.concatenate(rows) if rows else np.zeros((0, len(FEATURES)))
@@ -252,18 +255,23 @@ def fit(docs: DataFrame, labels: DataFrame, trainable: Column, label_column: str
 
 
 def scored(docs: DataFrame, model: Gam, text_column: str = "text", score_column: str = "score",
-           ) -> DataFrame:
+           keep: Sequence[str] | None = None) -> DataFrame:
     """``docs`` with the model's probability of label 1 in ``score_column``.
 
-    The other columns pass through; one that is named like the score is replaced.
+    The other columns pass through, or those of ``keep`` only: Spark does not see that a column is not
+    asked for, and texts that nobody reads would come back from Python. One that is named like the score
+    is replaced.
     """
     docs = docs.drop(score_column)
     at = docs.columns.index(text_column)
+    kept = [i for i, c in enumerate(docs.columns) if keep is None or c in keep]
 
     def score(batches):
         for batch in batches:
             values = pa.array(model.scores(features(batch.column(at))))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, values], names=[*batch.schema.names, score_column])
+                [*(batch.column(i) for i in kept), values],
+                names=[*(batch.schema.names[i] for i in kept), score_column])
 
-    return docs.mapInArrow(score, StructType([*docs.schema, StructField(score_column, DoubleType())]))
+    fields = [docs.schema[i] for i in kept]
+    return docs.mapInArrow(score, StructType([*fields, StructField(score_column, DoubleType())]))

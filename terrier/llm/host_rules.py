@@ -50,21 +50,25 @@ def _duplicate_lines(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray) -
     return out
 
 
+def part_counts(words: text.Words) -> dict[str, np.ndarray]:
+    """The five counts of the documents that ``words`` were cut from."""
+    data, offsets, n = words.data, words.offsets, words.n_docs
+    doc_of_byte = np.repeat(np.arange(n), np.diff(offsets))
+    points = words.solid & ((data & 0xC0) != 0x80)  # a code point has one byte that leads
+    repeated = text.windows_repeated(words.hashes(lower=False), words.doc, n, WINDOW)
+    return {
+        "n_words": words.counts(),
+        "word_chars": np.bincount(doc_of_byte[points], minlength=n),
+        "n_symbols": np.bincount(doc_of_byte[_SYMBOLS[data]], minlength=n),
+        "n_dup_lines": _duplicate_lines(data, offsets, words.solid),
+        "n_repeat_words": np.bincount(words.doc[repeated], minlength=n),
+    }
+
+
 def count_columns(column) -> dict[str, np.ndarray]:
     """The five counts of every text of an Arrow string column."""
-    found: dict[str, list[np.ndarray]] = {c: [] for c in COUNTS}
-    for _, data, offsets in text.parts(column):
-        words = text.Words(data, offsets)
-        n = words.n_docs
-        doc_of_byte = np.repeat(np.arange(n), np.diff(offsets))
-        points = words.solid & ((data & 0xC0) != 0x80)  # a code point has one byte that leads
-        repeated = text.windows_repeated(words.hashes(lower=False), words.doc, n, WINDOW)
-        found["n_words"].append(words.counts())
-        found["word_chars"].append(np.bincount(doc_of_byte[points], minlength=n))
-        found["n_symbols"].append(np.bincount(doc_of_byte[_SYMBOLS[data]], minlength=n))
-        found["n_dup_lines"].append(_duplicate_lines(data, offsets, words.solid))
-        found["n_repeat_words"].append(np.bincount(words.doc[repeated], minlength=n))
-    return {c: np.concatenate(v) if v else np.zeros(0, np.int64) for c, v in found.items()}
+    found = [part_counts(text.Words(data, offsets)) for _, data, offsets in text.parts(column)]
+    return {c: np.concatenate([f[c] for f in found]) if found else np.zeros(0, np.int64) for c in COUNTS}
 
 
 def _counted(batches):

@@ -1,6 +1,8 @@
 """Word helpers, host rules, decontamination, language and quality models."""
 
+import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -214,3 +216,29 @@ def test_quality_of_odd_input(spark):
         rows = gam_quality.scored(docs, model).collect()
         assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows)
     assert gam_quality.scored(docs.limit(0), model).count() == 0
+
+
+def test_quality_takes_little_memory_at_a_time():
+    chance = random.Random(4)
+    words = [f"{chance.choice('abcdef')}{chance.randrange(3000)}" for _ in range(600_000)]
+    texts = [" ".join(words[i : i + 300]) for i in range(0, len(words), 300)]
+    tracemalloc.start()
+    found = gam_quality.features(pa.array(texts))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 20e6  # 3 MB of text in parts of a quarter of a MB
+    alone = np.concatenate([gam_quality.features(pa.array([t])) for t in texts[::100]])
+    assert (found[::100] == alone).all()
+
+
+def test_quality_brings_back_only_what_is_kept(spark):
+    docs = spark.createDataFrame(
+        [(1, "some words here", "a"), (2, None, "b"), (None, "x", "c")], "doc_id int, text string, source string")
+    model = gam_quality.fit(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id int, quality int"), F.lit(True))
+    whole = gam_quality.scored(docs, model)
+    short = gam_quality.scored(docs, model, keep=["doc_id"])
+    assert short.columns == ["doc_id", "score"]
+    assert sorted(short.collect(), key=str) == sorted(whole.select("doc_id", "score").collect(), key=str)
+    plan = queries.op7_gam_quality(spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    returned = [line.split("[", 1)[1] for line in plan.splitlines() if "MapInArrow" in line]
+    assert len(returned) == 1 and "doc_id#" in returned[0] and "text#" not in returned[0]
