@@ -1,7 +1,12 @@
+import os
 import sys
 from pathlib import Path
 
-import pytest
+# One thread, as in Spark's workers, set before numpy is loaded: after the fork that starts Spark's JVM, a call
+# that OpenBLAS deals out to its threads may wait for ever.
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
+
+import pytest  # noqa: E402
 
 sys.path[:0] = [str(Path(__file__).parent.parent), str(Path(__file__).parent)]
 
