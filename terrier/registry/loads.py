@@ -9,7 +9,7 @@ from terrier.operators.asof import as_of
 from terrier.registry.core import as_double, register, register_like, rounded
 from terrier.registry.derived import VERSIONS_SQL, address_history
 from terrier.registry.results import _AMOUNTS, _AMOUNTS_SQL, _CENTROID, _MEANS, _rounded_sql
-from terrier.session import scratch_path
+from terrier.session import even_tasks, scratch_path
 from terrier.sources.bronze import SALES_COLUMNS
 from terrier.sources.buckets import store_bucketed
 from terrier.sources.loads import load_csv
@@ -62,9 +62,10 @@ def _bad_rows(c):
     }
     columns = [F.coalesce(spoiled[x], F.col(x)).alias(x) if x in spoiled else F.col(x) for x in SALES_COLUMNS]
     line = F.to_csv(F.struct(*columns), {"sep": ";", "ignoreLeadingWhiteSpace": "false"})
-    c.bronze_dvf.select(
-        F.when(F.expr(SHORT_LINE), F.substring_index(line, ";", 3)).otherwise(line).alias("value")
-    ).write.text(source)
+    lines = c.bronze_dvf.select(
+        F.when(F.expr(SHORT_LINE), F.substring_index(line, ";", 3)).otherwise(line).alias("value"))
+    with even_tasks(c.spark):  # a compressed file is parsed by one task
+        lines.write.option("zlib.compress.level", "BEST_SPEED").text(source, compression="gzip")
     for _ in range(2):
         load = load_csv(c.spark, source, target, rejected, sep=";", header=False)
     good = load.accepted.read().groupBy("annee", "departement").agg(F.count(F.lit(1)).alias("n"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import golden
 from terrier.operators import bloom
 from terrier.operators.asof import as_of
+from terrier.sources import loads
 from terrier.sources.bronze import SALES_SCHEMA
 from terrier.sources.loads import load_csv
 
@@ -57,6 +58,22 @@ def test_a_corrected_file_replaces_its_rows_and_rejects(spark, tmp_path):
     assert bad == [("b.csv", "MONTANT")] and counts == {"a.csv": (2, 0)}
 
 
+def test_rows_gathered_in_slices_are_those_of_one_load(spark, tmp_path, monkeypatch):
+    """Every partition lies in one slice, so its rows come to one file still."""
+    text = [line(CODE_DEPARTEMENT=f"{n % 9:02d}", VOIE=f"v{n}") for n in range(90)] + [line(DATE_MUTATION="??")] * 5
+    put(tmp_path / "in", "a.csv", *text[::2])
+    put(tmp_path / "in", "b.csv", *text[1::2])
+    whole = run(spark, tmp_path)
+    size = sum(p.stat().st_size for p in (tmp_path / "in").iterdir())
+    assert loads._bytes(spark, [str(tmp_path / "in")]) == loads._bytes(spark, [str(tmp_path / "in" / "*.csv")]) == size
+    written_parts, write = [], loads.PartitionedTable._write
+    monkeypatch.setattr(loads, "SLICE_BYTES", size // 3 + 1)
+    monkeypatch.setattr(loads.PartitionedTable, "_write", lambda *args: (written_parts.append(args[1]), write(*args)))
+    assert run(spark, tmp_path) == whole and len(whole[0]) == 90 and len(whole[1]) == 5
+    accepted = loads.PartitionedTable(spark, str(tmp_path / "good"), ["annee", "departement"])
+    assert len(written_parts) == 3 + 1 and len(accepted.names()) == 9 == len(accepted.read().inputFiles())
+
+
 def test_rejected_lines_can_be_read_again(spark, tmp_path):
     put(tmp_path / "in", "a.csv", "05/03/2023;Vente;1", line(DATE_MUTATION="??", VOIE="A;B"))
     load = load_csv(spark, str(tmp_path / "in"), str(tmp_path / "g"), str(tmp_path / "b"), sep=";")

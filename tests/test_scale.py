@@ -1,14 +1,19 @@
 """What grows with the input: shuffled, written and sorted rows."""
 
 import datetime as dt
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from terrier.operators import dedup
 from terrier.plans.incremental import _may_be_of
-from terrier.session import TASKS_A_CORE, even_tasks, unsorted_split, written
+from terrier.registry.core import Context
+from terrier.registry.loads import _bad_rows
+from terrier.session import TASKS_A_CORE, even_tasks, scratch_root, shuffles_dropped, unsorted_split, written
 from terrier.sources import bronze
+from terrier.sources.manifest import PartitionedTable
 from test_plans import plan
 
 
@@ -116,3 +121,66 @@ def test_a_write_is_cut_into_several_tasks_a_core(spark, tmp_path):
         assert len(written(source, "whole", even=True).inputFiles()) <= cores
     finally:
         spark.conf.unset(keys[0])
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {Path(f) for f in files.split("\n") if "/shuffle_" in f and f.endswith(".data")}
+
+
+def left_over(spark, before, most=0):
+    """Bytes of shuffle files that came since and stay; they are deleted in the background."""
+    for _ in range(100):
+        found = sum(f.stat().st_size for f in shuffle_files(spark) - before if f.exists())
+        if found <= most:
+            break
+        time.sleep(0.1)
+    return found
+
+
+def test_a_shuffle_goes_with_the_write_that_needed_it(spark, tmp_path):
+    base_tables(spark, tmp_path)
+    before = shuffle_files(spark)
+    sales = Context(spark, str(tmp_path)).bronze_dvf
+    assert left_over(spark, before) == 0 and sales.count() > 0
+    before = shuffle_files(spark)
+    table = PartitionedTable(spark, str(tmp_path / "t"), ["y"])
+    rows = spark.range(20_000).selectExpr("md5(string(id)) AS v", "id % 3 AS y")
+    table.replace(rows)
+    table.append(rows)
+    assert left_over(spark, before, 50_000) <= 50_000  # that of the count of rows
+    assert table.read().count() == 40_000
+
+
+def test_dropping_shuffles_is_over_after_the_write(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    with shuffles_dropped(spark), shuffles_dropped(spark):
+        assert spark.conf.get(name) == "true"
+    assert spark.conf.get(name, None) is None
+    try:  # a setting of the session's owner stays
+        spark.conf.set(name, "false")
+        with shuffles_dropped(spark):
+            assert spark.conf.get(name) == "false"
+        assert spark.conf.get(name) == "false"
+    finally:
+        spark.conf.unset(name)
+
+
+def test_rows_that_lie_together_are_written_where_they_lie(spark, tmp_path):
+    df = spark.range(0, 40, 1, 2).selectExpr("id", "id % 2 AS y")
+    for gathered, n in ((False, 2), (True, 4)):
+        table = PartitionedTable(spark, str(tmp_path / f"t{n}"), ["y"])
+        assert table.replace(df, gathered=gathered) == 40
+        assert len(table.read().inputFiles()) == n and table.read().distinct().count() == 40
+
+
+def test_lines_with_faults_are_stored_compressed_and_scratch_goes_with_the_load(spark, tmp_path):
+    base_tables(spark, tmp_path)
+    root = Path(scratch_root(spark).removeprefix("file:"))
+    before = set(root.glob("*"))
+    c = Context(spark, str(tmp_path))
+    rows = _bad_rows(c).collect()
+    assert {r.motif for r in rows} > {"OK"} and sum(r.n for r in rows) == c.bronze_dvf.count()
+    made = {p.name.rpartition("-")[0]: p for p in set(root.glob("*")) - before}
+    assert "csv-load" not in made and made.keys() >= {"lines", "loaded", "rejected"}
+    assert {p.suffix for p in made["lines"].glob("part-*")} == {".gz"}
